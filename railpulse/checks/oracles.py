@@ -94,11 +94,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "daily": (("raw",), """
         select provider, {fields}, route_id || '_' || coalesce(cast(direction_id as varchar),
                    'None') || '_' || stop_id as stop_path,
-               year(day) as "Year", month(day) as "Month", day(day) as "Day",
-               day, cast(moment as date) as raw_day
-        from (select *, cast(moment - interval 3 hour as date) as day from raw)"""),
+               year(svc) as "Year", month(svc) as "Month", day(svc) as "Day",
+               svc, cast(moment as date) as raw_day
+        from (select * exclude ("Year", "Month", "Day"),
+                  cast(moment - interval 3 hour as date) as svc from raw)"""),
     "month": (("daily",), """
-        select * from daily where day between date '2024-01-01' and date '2024-01-30'
+        select * from daily where svc between date '2024-01-01' and date '2024-01-30'
             and raw_day between date '2024-01-01' and date '2024-01-31'"""),
 }
 
@@ -146,8 +147,8 @@ EMPTY_ROWS = """select "routeName", "trainNumRaw", "destCode", provider, null as
     null as tz, null as bus, null as "schArr", null as "schDep", null as arr, null as dep,
     null as status from station_rows where event_type = 'purchase'"""
 DAILY_COLUMNS = f"""provider, {EVENT_FIELDS}, stop_path, "Year", "Month", "Day" """
-SUMMARY = """select provider, cast(day as varchar) as service_day, count(*) as events_count,
-    count(distinct stop_path) as files_uploaded from month group by provider, day"""
+SUMMARY = """select provider, cast(svc as varchar) as service_day, count(*) as events_count,
+    count(distinct stop_path) as files_uploaded from month group by provider, svc"""
 RAW_ROWS = f"provider, {EVENT_FIELDS}"
 AGENCIES = """with c as (
     select c_name as agency, c_mktsegment as segment,
@@ -286,10 +287,10 @@ def oracle_sql() -> dict[str, str]:
         "daily_events": _with(f"select {DAILY_COLUMNS} from daily", "daily"),
         "collate_range": _with(f"select {DAILY_COLUMNS} from month", "month"),
         "collate_same_day": _with(
-            f"""select {DAILY_COLUMNS} from daily where day = raw_day
-                and day between date '2024-01-01' and date '2024-01-30'""", "daily"),
+            f"""select {DAILY_COLUMNS} from daily where svc = raw_day
+                and svc between date '2024-01-01' and date '2024-01-30'""", "daily"),
         "service_day_slice": _with(
-            f"select {DAILY_COLUMNS} from daily where day = date '2024-01-15'", "daily"),
+            f"select {DAILY_COLUMNS} from daily where svc = date '2024-01-15'", "daily"),
         "collation_summary": _with(SUMMARY, "month"),
         "daily_store": _with(SUMMARY, "month"),
         "missing_days": """with seen as (

@@ -16,7 +16,9 @@ def flatten_trains(parsed: DataFrame) -> DataFrame:
 
     Scalars get their types here; ``stations`` and ``alerts`` stay nested.
     """
-    groups = parsed.select(F.explode("trains").alias("train_number", "group"))
+    # The outer form spares the parse: a plain explode would filter on the map first,
+    # and that filter would evaluate it a second time. Null groups go one step later.
+    groups = parsed.select(F.explode_outer("trains").alias("train_number", "group"))
     trains = groups.select(F.explode("group").alias("train"))
     return trains.select(*_typed_fields(trains.schema["train"].dataType, TRAIN, F.col("train")))
 

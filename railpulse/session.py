@@ -14,6 +14,7 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("railpulse")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")

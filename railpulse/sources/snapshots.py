@@ -73,8 +73,10 @@ def parse_snapshots(docs: DataFrame) -> DataFrame:
     wrapped = F.from_json(
         F.concat(F.lit("["), F.col("value"), F.lit("]")), T.ArrayType(LOOSE_SNAPSHOT)
     )
-    parsed = F.when(F.size(wrapped) == 1, F.get(wrapped, F.lit(0)))
-    return docs.withColumn("trains", parsed).withColumn("violations", _violations(F.col("trains")))
+    # Apart from its uses, so that the parse is evaluated once.
+    parsed = docs.withColumn("_wrapped", wrapped).withColumn(
+        "trains", F.when(F.size("_wrapped") == 1, F.get("_wrapped", F.lit(0))))
+    return parsed.withColumn("violations", _violations(F.col("trains"))).drop("_wrapped")
 
 
 def accepted_snapshots(parsed: DataFrame) -> DataFrame:

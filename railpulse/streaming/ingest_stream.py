@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from railpulse.functions import timecols
-from railpulse.functions.pathcols import provider_path_name
 from railpulse.operators.events import SAME_REPORT, dedupe_events
 from railpulse.plans.ingest import TimetableTables, generate_events, read_stage
 from railpulse.schemas import DEFAULT_ENABLED, EVENT_COLUMNS
@@ -49,7 +48,7 @@ def write_event_stream(
     """Deduplicated events to a Parquet store by provider and calendar day, exactly once."""
     day = timecols.event_wall_clock(F.col("event_time")).cast("date")
     placed = events.select(
-        provider_path_name(F.col("provider")).alias("provider"), *EVENT_COLUMNS,
+        "provider", *EVENT_COLUMNS,
         F.year(day).alias("Year"), F.month(day).alias("Month"), F.dayofmonth(day).alias("Day"))
     writer = (
         placed.writeStream.format("parquet").outputMode("append")
