@@ -21,6 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores when the file has fewer splits than there are cores.
+
+    A table of many splits, as on a cluster, is left alone: no shuffle is added there.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def clock_text(seconds: Column) -> Column:
+    """Second of the day -> ``HH:MM:SS``; hours may exceed 23."""
+    parts = (seconds / 3600, seconds / 60 % 60, seconds % 60)
+    return F.concat_ws(":", *[F.lpad(F.floor(p).cast("string"), 2, "0") for p in parts])
+
+
 def stop_code(number: Column) -> Column:
     return F.concat(F.lit("S"), F.lpad(number.cast("string"), 3, "0"))
 
@@ -42,17 +57,20 @@ def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = (
         F.col("l_orderkey") * 7919 % 79200 + F.col("l_linenumber") * 1800 + F.col("l_partkey") % 60
     )
-    clock = timecols.seconds_to_clock(seconds)
+    clock = clock_text(seconds)
     sequence = (
         F.col("l_linenumber") * F.lit(10**17) + F.col("l_partkey") * 10**6 + F.col("l_suppkey")
     )
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.struct("_metadata.file_path", "_metadata.row_index").alias("ord"))
+    return spread(lines, "l_orderkey", "l_partkey").select(
         F.col("l_orderkey").cast("string").alias("trip_id"),
         clock.alias("arrival_time"),
         clock.alias("departure_time"),
         stop_code(F.col("l_suppkey") % 40).alias("stop_id"),
         sequence.alias("stop_sequence"),
-        F.struct("_metadata.file_path", "_metadata.row_index").alias("ord"),
+        "ord",
     )
 
 
@@ -61,7 +79,7 @@ def station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     user, event = F.col("user_id"), F.col("event_id")
     dep = timecols.whole_second(F.col("ts"))
     dwell = F.make_dt_interval(secs=F.floor("value").cast("decimal(18,6)"))
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         "event_id",
         "event_type",
         user.cast("string").alias("trainNumRaw"),

@@ -15,7 +15,8 @@ ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:?\d{2})$"
 EVENT_TIME_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:?\d{2})?$"
 HTTP_DATE_SHAPE = r"^[A-Za-z]{3}, \d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2} (GMT|UTC)$"
 HTTP_DATE_PATTERN = "d MMM yyyy HH:mm:ss z"
-CLOCK_SHAPE = r"^\d{1,3}:\d{1,2}:\d{1,2}$"
+DAY_CLOCK_SHAPE = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
+LONG_CLOCK_SHAPE = r"^\d{1,3}:[0-5]?\d:[0-5]?\d$"
 EASTERN = "America/New_York"
 SERVICE_DAY_START_HOUR = 3
 
@@ -43,23 +44,10 @@ def clock_seconds(text: Column, extended_hours: bool = False) -> Column:
 
     Times from 24:00:00 on become null unless ``extended_hours`` keeps them.
     """
-    parts = F.split(F.when(text.rlike(CLOCK_SHAPE), text), ":")
-    hour, minute, second = (F.get(parts, F.lit(i)).cast("int") for i in range(3))
-    valid = (minute < 60) & (second < 60)
-    if not extended_hours:
-        valid = valid & (hour < 24)
-    return F.when(valid, hour * 3600 + minute * 60 + second)
-
-
-def seconds_to_clock(seconds: Column) -> Column:
-    """Second of the day -> ``HH:MM:SS`` (hours may exceed 23)."""
-    def two(value: Column) -> Column:
-        text = value.cast("string")
-        return F.when(value < 10, F.concat(F.lit("0"), text)).otherwise(text)
-
-    hour = F.floor(seconds / 3600)
-    minute = F.floor(seconds / 60) - hour * 60
-    return F.concat(two(hour), F.lit(":"), two(minute), F.lit(":"), two(seconds % 60))
+    shape = LONG_CLOCK_SHAPE if extended_hours else DAY_CLOCK_SHAPE
+    seconds = F.aggregate(
+        F.split(text, ":"), F.lit(0), lambda total, part: total * 60 + part.cast("int"))
+    return F.when(text.rlike(shape), seconds)
 
 
 def whole_second(ts: Column) -> Column:

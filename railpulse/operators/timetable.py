@@ -64,18 +64,18 @@ def with_scheduled_headway(
 ) -> DataFrame:
     """Seconds since the previous arrival of the same route, direction and stop.
 
-    Only the first row of a second has a gap to bridge; its peers arrive 0 s later. So
-    the lag runs over the distinct seconds of a stop, and rows are joined back to their
-    second. ``row_key`` identifies a row within its second; the file position ``ord``
-    joins it where the reader supplied one, which settles repeated rows too.
+    Only one row of a second has a gap to bridge; its peers arrive 0 s later. So the lag
+    runs over the distinct seconds of a stop, and rows are joined back to their second.
+    ``row_key`` says which row comes first within a second; the file position ``ord``,
+    where the reader supplied one, tells repeated rows apart.
+
+    Rows without arrival are not filtered out: they come first and leave the next gap
+    null, and a filter would evaluate the clock parse a second time.
     """
     group = [*feed, "route_id", "direction_id", "stop_id"]
-    identity = F.struct(*row_key, *(["ord"] if "ord" in stops.columns else []))
-    seconds = (
-        stops.where(F.col("arrival_time").isNotNull())
-        .groupBy(*group, "arrival_time")
-        .agg(F.min(identity).alias("_leader"))
-    )
+    position = [F.xxhash64("ord").alias("position")] if "ord" in stops.columns else []
+    identity = F.struct(*row_key, *position)
+    seconds = stops.groupBy(*group, "arrival_time").agg(F.min(identity).alias("_leader"))
     previous = F.lag("arrival_time").over(Window.partitionBy(*group).orderBy("arrival_time"))
     gaps = seconds.withColumn("_gap", F.col("arrival_time") - previous)
     joined = join_on(stops, gaps, [*group, "arrival_time"], null_safe=group)

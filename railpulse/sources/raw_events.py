@@ -25,8 +25,9 @@ def read_raw_events(spark: SparkSession, root: str) -> DataFrame:
     A file holding one array on one line reads the same. Partition columns (provider,
     Year, Month, Day) come with the rows, and filters on them prune folders.
     """
+    fields = [*RAW_EVENT.fields, T.StructField(CORRUPT, T.StringType(), True)]
     lines = (
-        spark.read.schema(RAW_EVENT.add(CORRUPT, T.StringType()))
+        spark.read.schema(T.StructType(fields))
         .option("pathGlobFilter", RAW_FILES)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(root)
