@@ -16,43 +16,34 @@ LANDED_DAY = r"/([^/]+)/Year=(\d+)/Month=(\d+)/Day=(\d+)/"
 
 # Every field as text: one mistyped value must not spoil its neighbours.
 RAW_EVENT = T.StructType([T.StructField(c, T.StringType(), True) for c in EVENT_COLUMNS])
-CORRUPT = "_corrupt_record"
 
 
 def read_raw_events(spark: SparkSession, root: str) -> DataFrame:
     """Events this engine wrote: one JSON object per line, unreadable lines dropped.
 
-    A file holding one array on one line reads the same. Partition columns (provider,
-    Year, Month, Day) come with the rows, and filters on them prune folders.
+    A line holding a whole array reads the same. Partition columns (provider, Year,
+    Month, Day) come with the rows, and filters on them prune folders.
     """
-    fields = [*RAW_EVENT.fields, T.StructField(CORRUPT, T.StringType(), True)]
-    lines = (
-        spark.read.schema(T.StructType(fields))
-        .option("pathGlobFilter", RAW_FILES)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(root)
-    )
-    rows = lines.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    rows = parse_event_documents(spark.read.option("pathGlobFilter", RAW_FILES).text(root))
     if "provider" in rows.columns:
         rows = rows.withColumn("provider", _provider_from_path(F.col("provider")))
-    return typed_events(rows)
+    return rows
 
 
 def read_event_documents(spark: SparkSession, root: str) -> DataFrame:
     """Landed files from elsewhere, one row per file: ``source`` and ``value``."""
     return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", RAW_FILES)
+        spark.read.option("pathGlobFilter", RAW_FILES)
         .option("recursiveFileLookup", True)
-        .text(root)
+        .text(root, wholetext=True)
         .select(F.col("_metadata.file_path").alias("source"), "value")
     )
 
 
 def parse_event_documents(docs: DataFrame) -> DataFrame:
-    """Events of files that hold an array or a single object.
+    """Events of texts that hold an array or a single object.
 
-    Empty, blank and invalid files yield nothing; the text is parsed as the only
+    Empty, blank and invalid texts yield nothing; the text is parsed as the only
     element of an array, so trailing text makes it invalid.
     """
     text = F.btrim(F.col("value"), F.lit(BLANKS))

@@ -41,7 +41,7 @@ def read_snapshots(spark: SparkSession, path: str, one_per_line: bool = False) -
 
     A file is one document, or with ``one_per_line`` a splittable batch of them.
     """
-    files = spark.read.option("wholetext", not one_per_line).text(path)
+    files = spark.read.text(path, wholetext=not one_per_line)
     return _document_columns(files)
 
 
