@@ -36,8 +36,9 @@ def _text(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
-def _stops(spark: SparkSession, sf: str) -> DataFrame:
-    return timetable.scheduled_stops(views.stop_times(spark, sf), views.trips(spark, sf))
+def _stops(spark: SparkSession, sf: str, positions: bool = False) -> DataFrame:
+    return timetable.scheduled_stops(
+        views.stop_times(spark, sf, positions), views.trips(spark, sf))
 
 
 def _directed(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,7 +73,7 @@ def gtfs_stop_times(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def scheduled_headway(spark: SparkSession, sf: str) -> DataFrame:
-    return timetable.with_scheduled_headway(_stops(spark, sf)).select(
+    return timetable.with_scheduled_headway(_stops(spark, sf, positions=True)).select(
         *STOP_KEY, "route_id", "direction_id", "arrival_time", "scheduled_headway")
 
 
@@ -84,7 +85,8 @@ def scheduled_travel_time(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def gtfs_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    rows = timetable.timetable_metrics(views.stop_times(spark, sf), views.trips(spark, sf))
+    rows = timetable.timetable_metrics(
+        views.stop_times(spark, sf, positions=True), views.trips(spark, sf))
     return rows.select(
         *STOP_KEY, "route_id", "direction_id", "arrival_time", "scheduled_headway", "scheduled_tt")
 

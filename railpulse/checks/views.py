@@ -52,8 +52,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as stop times, with the row position in the file as ``ord``."""
+def stop_times(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:
+    """Line items as stop times, on demand with the row position in the file as ``ord``."""
     seconds = (
         F.col("l_orderkey") * 7919 % 79200 + F.col("l_linenumber") * 1800 + F.col("l_partkey") % 60
     )
@@ -61,16 +61,17 @@ def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     sequence = (
         F.col("l_linenumber") * F.lit(10**17) + F.col("l_partkey") * 10**6 + F.col("l_suppkey")
     )
+    position = F.struct("_metadata.file_path", "_metadata.row_index").alias("ord")
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        F.struct("_metadata.file_path", "_metadata.row_index").alias("ord"))
+        *([position] if positions else []))
     return spread(lines, "l_orderkey", "l_partkey").select(
         F.col("l_orderkey").cast("string").alias("trip_id"),
         clock.alias("arrival_time"),
         clock.alias("departure_time"),
         stop_code(F.col("l_suppkey") % 40).alias("stop_id"),
         sequence.alias("stop_sequence"),
-        "ord",
+        *(["ord"] if positions else []),
     )
 
 

@@ -25,9 +25,18 @@ ROW_KEY = ("trip_id", "stop_sequence")
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = (),
             how: str = "left") -> DataFrame:
-    """Equi-join that keeps the left key columns; ``null_safe`` keys match null to null."""
+    """Equi-join that keeps the left key columns; ``null_safe`` keys match null to null.
+
+    The right side is mostly an aggregate on these very keys, and would join straight
+    out of its aggregation. Adaptive execution can split a hot left key only if both
+    sides come from a shuffle of their own, so one right key is rebuilt as an expression:
+    the small side is shuffled once more, and only where it is not broadcast.
+    """
+    kinds = dict(right.dtypes)
+    rebuilt = next((k for k in keys if kinds[k] == "string"), None)
     renamed = right.select(
-        *[F.col(k).alias(f"_right_{k}") for k in keys],
+        *[(F.concat(F.col(k), F.lit("")) if k == rebuilt else F.col(k)).alias(f"_right_{k}")
+          for k in keys],
         *[c for c in right.columns if c not in keys],
     )
     condition: Column | None = None

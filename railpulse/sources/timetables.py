@@ -39,10 +39,15 @@ def read_bundles(
     return united(read_stop_times), united(read_trips)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A timetable table stored as Parquet; ``ord`` is its stable row position."""
-    return spark.read.parquet(path).withColumn(
-        "ord", F.struct("_metadata.file_path", "_metadata.row_index"))
+def read_table(spark: SparkSession, path: str, positions: bool = True) -> DataFrame:
+    """A timetable table stored as Parquet; ``ord`` is its stable row position.
+
+    Without ``positions`` the scan does not produce them: the means do not need any.
+    """
+    rows = spark.read.parquet(path)
+    if not positions:
+        return rows
+    return rows.withColumn("ord", F.struct("_metadata.file_path", "_metadata.row_index"))
 
 
 def _read_csv(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
