@@ -45,9 +45,8 @@ def clock_seconds(text: Column, extended_hours: bool = False) -> Column:
     Times from 24:00:00 on become null unless ``extended_hours`` keeps them.
     """
     shape = LONG_CLOCK_SHAPE if extended_hours else DAY_CLOCK_SHAPE
-    seconds = F.aggregate(
-        F.split(text, ":"), F.lit(0), lambda total, part: total * 60 + part.cast("int"))
-    return F.when(text.rlike(shape), seconds)
+    hour, minute, second = (F.get(F.split(text, ":"), F.lit(i)).cast("int") for i in range(3))
+    return F.when(text.rlike(shape), hour * 3600 + minute * 60 + second)
 
 
 def whole_second(ts: Column) -> Column:

@@ -70,22 +70,30 @@ def with_scheduled_metrics(
     return join_on(stops, per_stop, [*feed, "code", "direction_id"])
 
 
-def direction_match_stats(enriched: DataFrame) -> DataFrame:
-    """Hits of either lookup, misses and match rate, in one pass."""
+def direction_match_columns() -> list[Column]:
+    """Hits of either lookup, misses and match rate, as aggregates."""
     hits = F.count_if(F.col("lookup_method").isNotNull())
-    return enriched.agg(
+    return [
         F.count_if(F.col("lookup_method") == "primary").alias("primary_hits"),
         F.count_if(F.col("lookup_method") == "secondary").alias("secondary_hits"),
         F.count_if(F.col("direction_id").isNull()).alias("misses"),
         percent(hits, F.count(F.lit(1))).alias("match_rate_pct"),
-    )
+    ]
 
 
-def metric_match_stats(enriched: DataFrame) -> DataFrame:
-    """Rows with and without schedule metrics, and match rate."""
+def metric_match_columns() -> list[Column]:
+    """Rows with and without schedule metrics, and match rate, as aggregates."""
     found = F.count_if(F.col("scheduled_headway").isNotNull())
-    return enriched.agg(
+    return [
         found.alias("metrics_found"),
         F.count_if(F.col("scheduled_headway").isNull()).alias("metrics_missing"),
         percent(found, F.count(F.lit(1))).alias("match_rate_pct"),
-    )
+    ]
+
+
+def direction_match_stats(enriched: DataFrame) -> DataFrame:
+    return enriched.agg(*direction_match_columns())
+
+
+def metric_match_stats(enriched: DataFrame) -> DataFrame:
+    return enriched.agg(*metric_match_columns())

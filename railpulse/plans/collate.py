@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railpulse.functions import pathcols, timecols
-from railpulse.schemas import DEFAULT_ENABLED, EVENT_COLUMNS
+from railpulse.schemas import DAILY, DEFAULT_ENABLED, EVENT_COLUMNS
 from railpulse.sinks.stores import DAY_COLUMNS, write_daily_csv, write_daily_table
 
 
@@ -71,6 +71,11 @@ def collation_summary(daily: DataFrame) -> DataFrame:
     )
 
 
+def read_daily_table(spark: SparkSession, root: str) -> DataFrame:
+    """The stored daily events; a store without any day yet is empty."""
+    return spark.read.schema(DAILY).parquet(root)
+
+
 def run_collation(
     raw: DataFrame,
     table_root: str,
@@ -85,7 +90,7 @@ def run_collation(
     last = last or first
     daily = collate_range(raw, first, last, providers, by_service_day)
     write_daily_table(daily, table_root)
-    stored = raw.sparkSession.read.parquet(table_root)
+    stored = read_daily_table(raw.sparkSession, table_root)
     day = F.make_date(*DAY_COLUMNS)
     stored = stored.where(day.between(F.lit(first), F.lit(last))).withColumn("service_day", day)
     if providers is not None:

@@ -6,7 +6,8 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from railpulse.operators import enrich, events, filters, reshape, timetable
 from railpulse.schemas import BRIGHTLINE, BRIGHTLINE_HEADSIGNS, DEFAULT_ENABLED
@@ -83,15 +84,37 @@ def generate_events(
     return events.arr_dep_events(enriched_stops(wanted, tables, headsigns))
 
 
+@dataclass(frozen=True)
+class IngestReport:
+    """What a run did; the counts were taken while the events were written."""
+
+    cutoff: dt.datetime
+    directions: dict[str, float]
+    metrics: dict[str, float]
+    events: dict[str, int]
+
+
 def run_ingest(
     docs: DataFrame, tables: TimetableTables, raw_root: str, state_path: str,
     enabled: Iterable[str] = DEFAULT_ENABLED, now: dt.datetime | None = None,
-) -> dt.datetime:
+) -> IngestReport:
     """One batch run: events after the stored cutoff go to the raw store, then the
-    cutoff moves to ``now``."""
+    cutoff moves to ``now``. No job runs for the counts alone."""
     spark = docs.sparkSession
     now = now or dt.datetime.now(dt.timezone.utc)
-    cutoff = state.read_cutoff(spark, state_path)
-    fresh = generate_events(read_stage(docs, cutoff), tables, enabled)
+    stops = filters.enabled_providers(
+        read_stage(docs, state.read_cutoff(spark, state_path)), enabled)
+    directions, metrics, written = (
+        Observation(name) for name in ("directions", "metrics", "events"))
+    enriched = (
+        enriched_stops(stops, tables, HEADSIGNS)
+        .observe(directions, *enrich.direction_match_columns())
+        .observe(metrics, *enrich.metric_match_columns())
+    )
+    fresh = events.arr_dep_events(enriched).observe(
+        written,
+        F.count_if(F.col("event_type") == "ARR").alias("arrivals"),
+        F.count_if(F.col("event_type") == "DEP").alias("departures"))
     write_raw_events(fresh, raw_root, now, batch=now.strftime("%H%M%S"))
-    return state.write_cutoff(spark, state_path, now)
+    state.write_cutoff(spark, state_path, now)
+    return IngestReport(now, directions.get, metrics.get, written.get)

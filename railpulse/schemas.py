@@ -78,4 +78,10 @@ EVENT = _struct(
 )
 EVENT_COLUMNS = tuple(EVENT.fieldNames())
 
+# Daily events as stored: the event, its stop path, and the partition columns.
+DAILY = T.StructType([
+    T.StructField("stop_path", S, True), *EVENT.fields, T.StructField("provider", S, True),
+    *[T.StructField(part, T.IntegerType(), True) for part in ("Year", "Month", "Day")],
+])
+
 MANIFEST = _struct(("agency", S), ("last_modified", S))

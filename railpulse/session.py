@@ -18,6 +18,8 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        # Joins whose small side fits per partition, as measured, hash instead of sorting.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in conf.items():

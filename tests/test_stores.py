@@ -231,3 +231,13 @@ def test_stored_table_keeps_row_order(spark, tmp_path):
     trips = timetables.read_table(spark, path)
     assert bag(direction_by_train_number(trips), "trip_short_name", "direction_id") == Counter(
         {("k", None): 1})
+
+
+def test_a_day_without_events_leaves_other_days(spark, tmp_path):
+    raw = raw_week(spark, str(tmp_path / "raw"))
+    root = str(tmp_path / "daily")
+    empty = collate.run_collation(raw, root, dt.date(2024, 1, 1))
+    assert empty.count() == 0
+    collate.run_collation(raw, root, dt.date(2025, 1, 5))
+    collate.run_collation(raw, root, dt.date(2024, 1, 1))
+    assert collate.read_daily_table(spark, root).count() == 4

@@ -71,7 +71,12 @@ def test_batch_ingest(spark, tmp_path):
     raw, cutoff = str(tmp_path / "raw"), str(tmp_path / "cutoff")
     docs = snapshots.read_snapshots(spark, str(landing))
     now = dt.datetime(2025, 11, 15, 10, tzinfo=dt.timezone.utc)
-    assert ingest.run_ingest(docs, tables(spark), raw, cutoff, now=now) == now
+    report = ingest.run_ingest(docs, tables(spark), raw, cutoff, now=now)
+    assert report.cutoff == now
+    assert report.events == {"arrivals": 0, "departures": 2}
+    assert report.directions == {
+        "primary_hits": 0, "secondary_hits": 2, "misses": 0, "match_rate_pct": 100.0}
+    assert report.metrics == {"metrics_found": 2, "metrics_missing": 0, "match_rate_pct": 100.0}
     assert raw_events.read_raw_events(spark, raw).count() == 2
     ingest.run_ingest(docs, tables(spark), raw, cutoff, now=now + dt.timedelta(minutes=5))
     rows = raw_events.read_raw_events(spark, raw)
