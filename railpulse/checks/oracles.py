@@ -89,12 +89,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         left join means m on d.code = m.stop_id and d.direction_id = m.direction_id
         where not bus and status = 'Departed'"""),
     "raw": (("enriched3",), """
-        select *, year(moment) as "Year", month(moment) as "Month", day(moment) as "Day" from (
+        select *, cast(year(moment) as int) as "Year", cast(month(moment) as int) as "Month", cast(day(moment) as int) as "Day" from (
             {events})"""),
     "daily": (("raw",), """
         select provider, {fields}, route_id || '_' || coalesce(cast(direction_id as varchar),
                    'None') || '_' || stop_id as stop_path,
-               year(svc) as "Year", month(svc) as "Month", day(svc) as "Day",
+               cast(year(svc) as int) as "Year", cast(month(svc) as int) as "Month", cast(day(svc) as int) as "Day",
                svc, cast(moment as date) as raw_day
         from (select * exclude ("Year", "Month", "Day"),
                   cast(moment - interval 3 hour as date) as svc from raw)"""),

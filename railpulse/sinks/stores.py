@@ -20,7 +20,7 @@ def write_raw_events(
     """Append a run to the raw store: gzip JSON lines by provider and processing day.
 
     ``batch`` names the run; writing the same run again replaces it instead of adding
-    a second copy.
+    a second copy. The rebalance hint keeps the number of files in proportion.
     """
     if isinstance(processed_at, dt.datetime):
         processed_at = F.lit(processed_at.strftime("%Y-%m-%d")).cast("date")
@@ -33,6 +33,7 @@ def write_raw_events(
         events.select(provider_path_name(F.col("provider")).alias("provider"), *EVENT_COLUMNS,
                       *[c.alias(name) for name, c in padded.items()],
                       F.lit(str(batch)).alias("batch"))
+        .hint("rebalance", "provider", *DAY_COLUMNS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")

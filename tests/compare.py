@@ -20,6 +20,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+         "BOOLEAN": "boolean"}
+
+
 def _cell(value):
     if isinstance(value, float):
         return None if math.isnan(value) else round(value, 6)
@@ -31,7 +35,7 @@ def bags(df, con, sql) -> tuple[Counter, Counter]:
     ours = Counter(tuple(_cell(v) for v in r) for r in df.select(*columns).collect())
     found = con.execute(sql)
     names = [d[0] for d in found.description]
-    assert sorted(names) == columns, (sorted(names), columns)
+    assert {d[0]: TYPES[str(d[1])] for d in found.description} == dict(df.dtypes)
     order = [names.index(c) for c in columns]
     theirs = Counter(tuple(_cell(row[i]) for i in order) for row in found.fetchall())
     return ours, theirs
