@@ -29,21 +29,19 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: S
 
     The right side is mostly an aggregate on these very keys, and would join straight
     out of its aggregation. Adaptive execution can split a hot left key only if both
-    sides come from a shuffle of their own, so one right key is rebuilt as an expression:
-    the small side is shuffled once more, and only where it is not broadcast.
+    sides come from a shuffle of their own; a hash of the keys as one more key asks for
+    that, where the side is not broadcast, and gives the sort a number to start from.
     """
-    kinds = dict(right.dtypes)
-    rebuilt = next((k for k in keys if kinds[k] == "string"), None)
+    kinds, others = dict(left.dtypes), dict(right.dtypes)
     renamed = right.select(
-        *[(F.concat(F.col(k), F.lit("")) if k == rebuilt else F.col(k)).alias(f"_right_{k}")
+        *[(F.col(k) if kinds[k] == others[k] else F.col(k).cast(kinds[k])).alias(f"_right_{k}")
           for k in keys],
         *[c for c in right.columns if c not in keys],
     )
-    condition: Column | None = None
+    condition: Column = F.xxhash64(*keys) == F.xxhash64(*[f"_right_{k}" for k in keys])
     for key in keys:
         lhs, rhs = F.col(key), F.col(f"_right_{key}")
-        term = lhs.eqNullSafe(rhs) if key in null_safe else lhs == rhs
-        condition = term if condition is None else condition & term
+        condition = condition & (lhs.eqNullSafe(rhs) if key in null_safe else lhs == rhs)
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 

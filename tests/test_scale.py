@@ -110,3 +110,14 @@ def test_hot_train_number_is_split_over_tasks(spark):
         found = enrich.with_direction(rows, by_number, by_stop)
         assert "skew=true" in final_plan(found)
         assert found.groupBy("lookup_method").count().collect()[0][:] == ("primary", 60000)
+
+
+def test_lookups_nobody_reads_are_not_built(spark, sf001):
+    """Right sides are unique per key, so unused ones drop out of the plan."""
+    assert "lineitem" not in plan_of(QUERIES["event_counts"](spark, sf001))
+
+
+def test_keys_of_different_width_still_match(spark):
+    left = spark.createDataFrame([(1, "a")], "k int, s string")
+    right = spark.createDataFrame([(1, "a", "hit")], "k bigint, s string, v string")
+    assert timetable.join_on(left, right, ["k", "s"]).first()["v"] == "hit"
