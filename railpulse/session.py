@@ -32,11 +32,15 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the folder the cluster shares (``spark.checkpoint.dir``).
 
-    Only where that setting is absent, as in tests, a temporary folder stands in.
+    A local master may do without that setting and gets a temporary folder; on a cluster
+    each machine would write to its own disk, so there its absence is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         base = tempfile.mkdtemp(prefix="railpulse-")
     return f"{base.rstrip('/')}/railpulse-{purpose}-{uuid.uuid4().hex}"
