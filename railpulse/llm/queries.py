@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railpulse.llm import bpe, embeddings, packing, sharding, simhash, token_files, warc
+from railpulse.llm import bpe, embeddings, langid, packing, sharding, simhash, token_files, toxicity, warc
 from railpulse.llm.tables import read
 from railpulse.session import shared_folder
 
@@ -85,3 +85,24 @@ def op10_seekable_tokens(spark: SparkSession, sf: str) -> DataFrame:
         read(spark, sf, "documents"), shared_folder(spark, "tokens"), tokenizer(), end_id=0)
     found = token_files.with_starts(token_files.read_token_files(manifest), manifest)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def remainder(divisor: int):
+    """crc32 of the id as text, modulo a number; null for null ids."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+@query
+def op3_weak_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    found = toxicity.toxicity_scores(
+        read(spark, sf, "documents"), read(spark, sf, "labels"), may_learn=remainder(3) != 1)
+    return found.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "score",
+                        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op6_hyperdimensional_langid(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    prototypes = langid.learned(docs, may_learn=remainder(4) != 2)
+    return langid.predicted(docs, prototypes).select(
+        "doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
