@@ -26,7 +26,6 @@ from __future__ import annotations
 import io
 import struct
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +45,7 @@ from railpulse.llm.tables import stored, whole_text
 INDEX_MAGIC, SEEK_MAGIC, TAIL_MAGIC, WITH_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 FRAME_BYTES = 1 << 18
 MANIFEST = "part int, file string, documents long, tokens long"
-ROWS = "part int, doc_id long, start_in_file long, n_tokens long, ids binary"
+ROWS = "doc_id long, start long, n_tokens long, ids binary"
 
 
 class TokenFileWriter:
@@ -170,9 +169,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
 
 def read_token_files(manifest: DataFrame, doc_ids: set[int] | None = None) -> DataFrame:
-    """Documents of the files, or those of a given small set of ids; ids as raw bytes."""
+    """Documents of the files, or those of a given small set of ids; ids as raw bytes.
 
-    def rows(file: TokenFile, part: int) -> Iterator[pa.RecordBatch]:
+    ``start`` is the number of ids of all documents before one.
+    """
+
+    def rows(file: TokenFile, base: int) -> Iterator[pa.RecordBatch]:
         chosen = np.arange(len(file.doc_ids)) if doc_ids is None else np.flatnonzero(
             file.known & np.isin(file.doc_ids, list(doc_ids)))
         step, first = 2000, 0
@@ -182,30 +184,21 @@ def read_token_files(manifest: DataFrame, doc_ids: set[int] | None = None) -> Da
             last = first + min(len(size), 1 + int(np.searchsorted(size, 8 << 20)))
             at = chosen[first:last]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(at), part, np.int32)),
                 pa.array(file.doc_ids[at], pa.int64(), mask=~file.known[at]),
-                pa.array(file.starts[at], pa.int64()), pa.array(file.counts[at], pa.int64()),
+                pa.array(base + file.starts[at], pa.int64()), pa.array(file.counts[at], pa.int64()),
                 pa.array([file.document(int(i)).tobytes() for i in at], pa.binary())],
-                ["part", "doc_id", "start_in_file", "n_tokens", "ids"])
+                ["doc_id", "start", "n_tokens", "ids"])
             first = last
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, place in zip(batch["part"].to_pylist(), batch["file"].to_pylist()):
+            for base, place in zip(batch["base"].to_pylist(), batch["file"].to_pylist()):
                 store, path = fs.FileSystem.from_uri(place)
                 with store.open_input_file(path) as source:
-                    yield from rows(TokenFile(source), part)
-
-    files = max(1, manifest.count())
-    return manifest.select("part", "file").repartition(files, "part").mapInArrow(read, ROWS)
-
+                    yield from rows(TokenFile(source), base)
 
-def with_starts(documents: DataFrame, manifest: DataFrame) -> DataFrame:
-    """``start``: the ids of all documents before a document; the manifest has a row per file."""
+    # The manifest has a row per file; where a file's ids begin is summed over those rows.
     before = F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    bases = manifest.select("part", F.coalesce(before, F.lit(0)).alias("base"))
-    return documents.join(bases, "part").withColumn("start", F.col("base") + F.col("start_in_file"))
-
-
-def crc32(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
+    placed = manifest.select("part", "file", F.coalesce(before, F.lit(0)).alias("base"))
+    files = max(1, manifest.count())
+    return placed.repartition(files, "part").mapInArrow(read, ROWS)
