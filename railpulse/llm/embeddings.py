@@ -112,7 +112,8 @@ def candidate_pairs(coded: DataFrame, bits: int, tables: int = TABLES, probe: in
     for t in range(tables - 1):
         first = first & ((F.col("tab") <= t) | missed[t])
     near = F.bit_count(differ) <= tables * (probe + 1) - 1
-    return asked.join(kept, ["tab", "val"]).where((F.col("a") < F.col("b")) & near & first).select("a", "b")
+    # Never a broadcast: probes outgrow by far what their table's size makes the planner expect.
+    return asked.hint("merge").join(kept, ["tab", "val"]).where((F.col("a") < F.col("b")) & near & first).select("a", "b")
 
 
 def links(groups: DataFrame, pairs: DataFrame, cosine: float = COSINE) -> DataFrame:
