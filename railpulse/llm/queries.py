@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railpulse.llm import bpe, embeddings, langid, packing, sharding, simhash, token_files, toxicity, warc
+from railpulse.llm import (
+    bpe,
+    embeddings,
+    fingerprints,
+    langid,
+    packing,
+    sharding,
+    simhash,
+    token_files,
+    toxicity,
+    warc,
+)
 from railpulse.llm.tables import read
 from railpulse.session import shared_folder
 
@@ -32,6 +43,12 @@ def op1_hilbert_packing(spark: SparkSession, sf: str) -> DataFrame:
         "offset", "curve_key")
 
 
+@query
+def op2_multiset_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return fingerprints.edit_likeness(read(spark, sf, "documents"), buckets)
+
+
 @query
 def op4_warc_salvage(spark: SparkSession, sf: str) -> DataFrame:
     typed = warc.with_record_types(read(spark, sf, "pages"))
