@@ -19,12 +19,21 @@ Links: the fingerprints within ``radius`` bits of each other.
   fingerprints gives m - 1 rows and not m². A key with more fingerprints than ``BLOCK`` is
   dealt out over pairs of blocks.
 
+``similar_documents`` is the same for a similarity of shingle sets instead of a few bits. A
+Jaccard similarity of 0.8 leaves some ten of 64 bits different, too many for keys of
+untouched blocks, so fingerprints are ``WIDE`` words long there and pairs meet in keys of
+sampled bits of a second fingerprint, that of the set of words, which changes far less by an
+edit than shingles do. The number of bits grows with the logarithm of the number of texts, so
+that a text meets equally few others by chance at any size, and the number of keys follows
+from the bits and the wanted ``RECALL``. Pairs that meet are judged by the wide fingerprints.
+
 Null texts are empty, null ids keep their rows and never name a component (a component of
 null ids only has a null name), repeated rows stay. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from itertools import combinations
@@ -41,12 +50,14 @@ from railpulse.operators.timetable import join_on
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 RADIUS, KEPT, PIVOTS, BLOCK = 4, 3, 32, 4096
+WIDE, RECALL, SPREAD = 8, 0.98, 1.75
 
 
-def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
+def shingle_hashes(text: str, shingle: int, seed: int) -> tuple[np.ndarray, list[bytes]]:
+    """XXH64 of every shingle, repeats included, and the words."""
     words = WORDS.findall(text.encode().lower())  # bytes.lower() lowers A-Z only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64), words
     joined, ends, at = b" ".join(words), [], -1
     for word in words:
         at += len(word) + 1
@@ -54,7 +65,11 @@ def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
     begins = [0, *[end + 1 for end in ends[:-1]]]
     span = min(shingle, len(words)) - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[b:e], seed) for b, e in zip(begins, ends[span:])], np.uint64)
+    return np.array([digest(joined[b:e], seed) for b, e in zip(begins, ends[span:])], np.uint64), words
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Bits that are set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     lanes = np.uint64(0x0101010101010101)
     for shift in range(8):  # eight bits at a time, in byte lanes of at most 255 hashes
@@ -65,6 +80,21 @@ def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
     return sum(1 << bit for bit in np.flatnonzero(2 * ones > len(hashes)).tolist())
 
 
+def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
+    return majority(shingle_hashes(text, shingle, seed)[0])
+
+
+def wide_majority(hashes: np.ndarray, words: int) -> bytes:
+    """``words`` times 64 bits, from as many hashes made of each one (SplitMix64's finish)."""
+    out = []
+    for k in range(words):
+        mixed = hashes + np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & 0xFFFFFFFFFFFFFFFF)
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(majority(mixed ^ (mixed >> np.uint64(31))))
+    return np.array(out, ">u8").tobytes()
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
     """``doc_id`` and ``bits``, the fingerprint as a signed 64-bit integer."""
 
@@ -86,29 +116,29 @@ def block_masks(radius: int = RADIUS, kept: int = KEPT) -> list[int]:
     return [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
 
 
-def pivot_table(bits: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Hamming distances, a row per fingerprint and a column per pivot."""
-    return np.bitwise_count(bits[:, None] ^ pivots[None, :]).astype(np.int16)
+def distances(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Hamming distances of fingerprints; the last axis holds their 64-bit words."""
+    return np.bitwise_count(one ^ others).sum(-1, dtype=np.int16)
 
 
-def reference_fingerprints(number: int = PIVOTS, seed: int = 9) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 1 << 64, number, dtype=np.uint64)
+def reference_fingerprints(number: int = PIVOTS, words: int = 1, seed: int = 9) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 1 << 64, (number, words), dtype=np.uint64)
 
 
-def links_within(bits: np.ndarray, pivots: np.ndarray, masks: np.ndarray, mask: int,
-                 radius: int = RADIUS, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Spanning forest of the links of one key's distinct fingerprints.
+def links_within(prints: np.ndarray, pivots: np.ndarray, radius: int, sides: np.ndarray | None = None,
+                 earlier: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Spanning forest of the links of one key's fingerprints (a row each), as pairs of rows.
 
-    Only pairs that have no earlier key in common count, as others are met there. With
-    ``sides``, only pairs of fingerprints from different sides.
+    With ``sides``, only pairs from different sides count. With ``earlier``, the masks of
+    keys before this one, pairs that have such a key in common don't, as they meet there.
     """
-    table = pivot_table(bits, pivots)
+    table = np.stack([distances(prints, pivot) for pivot in pivots], 1)
     order = np.argsort(table[:, 0], kind="stable")
-    bits, table = bits[order], table[order]
+    prints, table = prints[order], table[order]
     if sides is not None:
         sides = sides[order]
     stops = np.searchsorted(table[:, 0], table[:, 0] + radius, "right")
-    root = list(range(len(bits)))
+    root = list(range(len(prints)))
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -117,79 +147,87 @@ def links_within(bits: np.ndarray, pivots: np.ndarray, masks: np.ndarray, mask:
         return i
 
     forest = []
-    for i in range(len(bits) - 1):
+    for i in range(len(prints) - 1):
         near = np.arange(i + 1, stops[i])
         for pivot in range(1, table.shape[1]):
-            near = near[np.abs(table[near, pivot] - table[i, pivot]) <= radius]
             if len(near) < 8:
                 break
-        near = near[np.bitwise_count(bits[near] ^ bits[i]) <= radius]
+            near = near[np.abs(table[near, pivot] - table[i, pivot]) <= radius]
+        near = near[distances(prints[i], prints[near]) <= radius]
         if sides is not None:
             near = near[sides[near] != sides[i]]
         for j in near.tolist():
-            if mask and ((bits[i] ^ bits[j]) & masks[:mask] == 0).any():
+            if earlier is not None and ((prints[i] ^ prints[j]) & earlier == 0).any():
                 continue
             a, b = top(i), top(j)
             if a != b:
                 root[max(a, b)] = min(a, b)
-                forest.append((i, j))
-    return [(int(bits[i].view(np.int64)), int(bits[j].view(np.int64))) for i, j in forest]
+                forest.append((int(order[i]), int(order[j])))
+    return forest
 
 
-def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, kept: int = KEPT,
-                      block: int = BLOCK) -> DataFrame:
-    """Pairs ``a, b`` that connect the distinct ``bits`` within ``radius`` of each other."""
-    masks = block_masks(radius, kept)
-    choices = F.array(*[F.struct(F.lit(i).alias("mask"), (F.col("bits").bitwiseAND(F.lit(m))).alias("key"))
-                        for i, m in enumerate(masks)])
-    keyed = distinct.select("bits", F.inline(choices))
-    # Keys with more than a block of fingerprints: rows go to every pair of blocks with theirs.
-    large = keyed.groupBy("mask", "key").count().where(F.col("count") > block).select(
-        "mask", "key", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    dealt = join_on(keyed, large, ["mask", "key"])
-    own = F.pmod(F.xxhash64("bits"), F.col("blocks")).cast("int")
-    dealt = dealt.withColumn("own", F.coalesce(own, F.lit(0))).select(
-        "mask", "key", "bits", "own",
-        F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0)))
-                  .otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("other"))
-    dealt = dealt.select("mask", "key", "bits", "own", F.least("own", "other").alias("low"),
-                         F.greatest("own", "other").alias("high"))
-    pivots, mask_bits = reference_fingerprints(), np.array(masks, np.int64).view(np.uint64)
-    names = ["mask", "key", "low", "high"]
+def bucket_links(keyed: DataFrame, radius: int, pivots: np.ndarray, masks: np.ndarray | None = None,
+                 block: int = BLOCK) -> DataFrame:
+    """Pairs ``a, b`` of nodes that connect those within ``radius`` that share a ``tab, key``.
+
+    ``keyed``: ``tab, key, node, print`` with the fingerprint's words as big-endian bytes. Rows of keys
+    with more than ``block`` rows go to every pair of blocks with their own.
+    """
+    large = keyed.groupBy("tab", "key").count().where(F.col("count") > block).select(
+        "tab", "key", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    dealt = join_on(keyed, large, ["tab", "key"])
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = dealt.withColumn("own", F.coalesce(own, F.lit(0))).withColumn("other", F.explode(
+        F.when(F.col("blocks").isNull(), F.array(F.lit(0)))
+        .otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    names = ["tab", "key", "low", "high"]
+    dealt = dealt.select("tab", "key", F.least("own", "other").alias("low"),
+                         F.greatest("own", "other").alias("high"), "node", "own", "print")
+    words = pivots.shape[1]
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def closed(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            keys = np.stack(columns[:4])
+            keys, found = np.stack(columns[:4]), []
             cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
             begins, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [keys.shape[1]]])
-            found = []
             for begin, end in zip(begins[ends - begins > 1], ends[ends - begins > 1]):
-                low, high = columns[2][begin], columns[3][begin]
-                sides = columns[5][begin:end] if low != high else None
-                found += links_within(columns[4][begin:end].view(np.uint64), pivots, mask_bits,
-                                      int(columns[0][begin]), radius, sides)
+                nodes, prints = columns[4][begin:end], columns[6][begin:end]
+                sides = columns[5][begin:end] if columns[2][begin] != columns[3][begin] else None
+                earlier = masks[:columns[0][begin]] if masks is not None else None
+                found += [(nodes[i], nodes[j]) for i, j in links_within(prints, pivots, radius, sides, earlier)]
             if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(side, pa.int64()) for side in zip(*found)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*found)], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch[c].to_numpy().astype(np.int64) for c in (*names, "bits", "own")]
+            columns = [batch[c].to_numpy().astype(np.int64) for c in (*names, "node", "own")]
+            columns.append(np.frombuffer(b"".join(batch["print"].to_pylist()), ">u8").reshape(-1, words)
+                           .astype(np.uint64))
             columns = [np.concatenate(pair) for pair in zip(held, columns)] if held else columns
-            same = np.flatnonzero((np.stack(columns[:4])[:, :-1] != np.stack([c[-1:] for c in columns[:4]]))
-                                  .any(0)) if len(columns[0]) > 1 else np.array([], int)
-            last = int(same[-1]) + 1 if len(same) else 0  # where the key that may go on begins
+            keys = np.stack(columns[:4])
+            ended = np.flatnonzero((keys != keys[:, -1:]).any(0))
+            last = int(ended[-1]) + 1 if len(ended) else 0  # where the key that may go on begins
             if last:
                 yield from closed([c[:last] for c in columns])
             held = [c[last:] for c in columns]
         if held:
             yield from closed(held)
 
-    return dealt.repartition(*names).sortWithinPartitions(*names).select(*names, "bits", "own").mapInArrow(
-        links, "a long, b long")
+    return dealt.repartition(*names).sortWithinPartitions(*names).mapInArrow(links, "a long, b long")
+
+
+def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, kept: int = KEPT,
+                      block: int = BLOCK) -> DataFrame:
+    """Pairs ``a, b`` that connect the distinct ``bits`` within ``radius`` of each other."""
+    masks = block_masks(radius, kept)
+    choices = F.array(*[F.struct(F.lit(i).alias("tab"), F.col("bits").bitwiseAND(F.lit(m)).alias("key"))
+                        for i, m in enumerate(masks)])
+    keyed = distinct.select(F.col("bits").alias("node"), F.inline(choices),
+                            F.unhex(F.lpad(F.hex("bits"), 16, "0")).alias("print"))
+    return bucket_links(keyed, radius, reference_fingerprints(), np.array(masks, np.int64).view(np.uint64), block)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, seed: int = 42, radius: int = RADIUS) -> DataFrame:
@@ -204,8 +242,88 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, seed: int = 42, radius: i
     return join_on(prints, members.select("bits", "component_id"), ["bits"])
 
 
-def first_of_each(docs: DataFrame, **parameters) -> DataFrame:
-    """The rows of ``docs`` whose id names their component; rows with a null id stay."""
-    kept = near_duplicates(docs, **parameters).where("doc_id = component_id").select("doc_id").distinct()
+# --- by similarity ---------------------------------------------------------------------
+
+def differing_share(similarity: float) -> float:
+    """Expected share of differing bits of sets with a Jaccard similarity."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def wide_radius(similarity: float, words: int = WIDE) -> int:
+    """Differing bits up to which fingerprints link: ``SPREAD`` deviations above the expectation."""
+    bits, share = 64 * words, differing_share(similarity)
+    return round(bits * share + SPREAD * math.sqrt(bits * share * (1 - share)))
+
+
+def sampled_keys(n_texts: int, similarity: float, shingle: int, recall: float = RECALL) -> np.ndarray:
+    """Bits of the fingerprint of the words that make up each key, a row per key.
+
+    An edited word touches ``shingle`` shingles, so word sets are as alike as sets of which
+    a ``shingle``-th of the shingles that differ do.
+    """
+    length = max(12, math.ceil(math.log2(max(n_texts, 1))) + 4)
+    apart = (1 - similarity) / (1 + similarity) / shingle  # share of either text's words that is not in the other
+    agree = 1 - math.acos(1 - 1.5 * apart) / math.pi
+    number = math.ceil(math.log(1 - recall) / math.log(1 - agree ** length))
+    source = np.random.default_rng(3)
+    return np.stack([source.choice(64 * WIDE, length, replace=False) for _ in range(number)])
+
+
+def wide_fingerprints(docs: DataFrame, shingle: int, seed: int = 42) -> DataFrame:
+    """``doc_id``, ``print`` of the shingles and ``words`` of the set of words, as bytes."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, sets = [], []
+            for text in batch["text"]:
+                hashes, words = shingle_hashes(text.as_py(), shingle, seed)
+                prints.append(wide_majority(hashes, WIDE))
+                each = [xxhash.xxh64_intdigest(word, seed) for word in set(words)]
+                sets.append(wide_majority(np.array(each, np.uint64), WIDE))
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(prints, pa.binary()), pa.array(sets, pa.binary())],
+                ["doc_id", "print", "words"])
+
+    return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(
+        rows, "doc_id long, print binary, words binary")
+
+
+def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``doc_id, component_id`` of the smallest id of each group of equal fingerprints.
+
+    Groups whose ids are all null are left out.
+    """
+    prints = stored(wide_fingerprints(docs, shingle), "fingerprints")
+    groups = stored(prints.groupBy("print", "words").agg(F.min("doc_id").alias("node"))
+                    .where("node is not null"), "groups")
+    sampled = sampled_keys(groups.count(), similarity, shingle)
+    powers = np.int64(1) << np.arange(sampled.shape[1], dtype=np.int64)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 2000):
+                part = batch.slice(first, 2000)
+                raw = np.frombuffer(b"".join(part["words"].to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                bits = np.unpackbits(raw, axis=1)
+                found = np.stack([bits[:, chosen] @ powers for chosen in sampled])
+                rows = pa.array(np.tile(np.arange(part.num_rows), len(sampled)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(np.arange(len(sampled), dtype=np.int32), part.num_rows)),
+                     pa.array(found.ravel()), part["node"].take(rows), part["print"].take(rows)],
+                    ["tab", "key", "node", "print"])
+
+    keyed = groups.select("node", "print", "words").mapInArrow(keys, "tab int, key long, node long, print binary")
+    pairs = bucket_links(keyed, wide_radius(similarity), reference_fingerprints(8, WIDE))
+    linked = connected_components(stored(pairs, "pairs"))
+    return join_on(groups.select("node"), linked, ["node"]).select(
+        F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The document with the smallest id of each group of similar ones.
+
+    Rows that share an id stay or go together; rows with a null id stay.
+    """
+    kept = similar_documents(docs, shingle, similarity).where("doc_id = component_id").select("doc_id")
     with_id = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").select(*docs.columns)
     return with_id.unionAll(docs.where(F.col("doc_id").isNull()))
