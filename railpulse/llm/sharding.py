@@ -47,8 +47,8 @@ def with_curve_index(docs: DataFrame) -> DataFrame:
         _category(column["lang"]).alias("_x"), _category(column["source"]).alias("_y"),
         _logarithm(F.char_length(text), 24).alias("_z"),
         # How much of a text lies outside ASCII: 0 to 1023 for one to four bytes a character.
-        F.coalesce(F.least(F.floor((F.octet_length(text) / F.char_length(text) - 1) * 341), F.lit(1023)),
-                   F.lit(0)).alias("_w"))
+        F.coalesce(F.least(F.floor((F.try_divide(F.octet_length(text), F.char_length(text)) - 1) * 341),
+                           F.lit(1023)), F.lit(0)).alias("_w"))
 
     @F.pandas_udf("long")
     def index(x: pd.Series, y: pd.Series, z: pd.Series, w: pd.Series) -> pd.Series:
