@@ -149,7 +149,10 @@ def parse_record(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
         name, colon, value = line.partition(":")
         if not colon:
             raise Invalid("header without a colon")
-        headers[name.strip().lower()] = value.strip()
+        name = name.strip().lower()
+        if name in headers and name != "warc-concurrent-to":  # two records run into one
+            raise Invalid("repeated header")
+        headers[name] = value.strip()
     if not headers.get("content-length", "").isdigit():
         raise Invalid("no content length")
     begin = head + len(BLANK)

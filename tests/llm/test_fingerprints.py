@@ -1,0 +1,68 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from railpulse.llm import fingerprints
+from tests.llm import cases
+
+
+def lanes_of(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    found = {r["k"]: r["lanes"] for r in fingerprints.fingerprints(rows, ["k"]).collect()}
+    return [found[k] for k in range(len(texts))]
+
+
+def test_multisets(spark):
+    one, two, both, turned, twice, blank, zero, null = lanes_of(spark, [
+        "first line here", "the second one", "first line here\nthe second one",
+        "the second one\n\n first line here".replace(" first", "first"),
+        "first line here\nfirst line here\nthe second one", "\n  \n", "", None])
+    assert both == turned and both != twice and both != one
+    assert blank == zero == null == [0] * (2 * fingerprints.SEEDS + 65)
+    table = spark.createDataFrame([(one, two, both, twice)], "one array<long>, two array<long>, "
+                                  "both array<long>, twice array<long>")
+    row = table.select(fingerprints.plus(F.col("one"), F.col("two")).alias("sum"),
+                       fingerprints.minus(F.col("twice"), F.col("one")).alias("less")).first()
+    assert row["sum"] == both and row["less"] == both
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_edited_texts(spark, buckets):
+    rows = fingerprints.edit_likeness(cases.unusual(spark, clashing=True), buckets).collect()
+    known = sorted([(r[0], r[1] or "") for r in cases.ROWS if r[0] is not None])
+    want = []
+    for k, (doc_id, text) in enumerate(known):
+        following, quarter = known[(k + 1) % len(known)][1], len(text) // 4
+        want.append((doc_id, len(text), text[:len(text) - quarter] + following[:quarter]))
+    for text in (r[1] or "" for r in cases.ROWS if r[0] is None):
+        want.append((None, len(text), text[:len(text) - len(text) // 4]))
+    found = [(str(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in rows]
+    assert sorted(found) == sorted((str(d), n, hashlib.sha256(e.encode()).hexdigest()) for d, n, e in want)
+    same = {}
+    for r in rows:
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        same.setdefault(r["doc_id"], set()).add(r["fingerprint"])
+    assert same[1] == same[6]
+    assert [r["near_next"] for r in rows if r["doc_id"] == 5 and r["near_next"] > 0.5] == []
+
+
+def test_one_row_and_none(spark):
+    one = spark.createDataFrame([(8, "some text of a few words", "en", "a", 1)], cases.SCHEMA)
+    row = fingerprints.edit_likeness(one, 4).first()
+    assert row["near_next"] == 1.0  # the only document comes next to itself
+    assert fingerprints.edit_likeness(cases.empty(spark), 4).count() == 0
+
+
+def test_likeness_estimates_shared_shingles(spark, sf001):
+    docs = spark.read.parquet(f"{sf001}/documents.parquet")
+    rows = fingerprints.edit_likeness(docs, 8).where("n_chars > 1000").select("near_edited", "near_next").collect()
+    edited = sorted(r["near_edited"] for r in rows)
+    assert 0.65 < edited[len(edited) // 2] < 0.85
+    assert sum(r["near_edited"] > r["near_next"] for r in rows) > 0.97 * len(rows)
+
+
+def test_no_python_on_the_way(spark, sf001):
+    docs = spark.read.parquet(f"{sf001}/documents.parquet")
+    plan = fingerprints.edit_likeness(docs, 8)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -1,0 +1,67 @@
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from railpulse.llm import toxicity
+from tests.llm import cases
+
+
+def not_held_out():
+    return F.crc32(F.col("doc_id").cast("string")) % 3 != 1
+
+
+def test_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    scores = {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(docs, labels, not_held_out()).collect()}
+    assert len(scores) == docs.count() and all(0 <= s <= 1 for s in scores.values())
+    held = [(r["toxic"], scores[r["doc_id"]] >= 0.7) for r in labels.collect()
+            if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    hits = sum(t and p for t, p in held)
+    assert hits / sum(t for t, _ in held) > 0.85 and hits / sum(p for _, p in held) > 0.9
+
+
+def test_held_out_labels_are_not_learned(spark, sf001):
+    docs, labels = (spark.read.parquet(f"{sf001}/{t}.parquet") for t in ("documents", "labels"))
+    turned = labels.withColumn("toxic", F.when(not_held_out(), F.col("toxic")).otherwise(1 - F.col("toxic")))
+    one, two = (toxicity.toxicity_scores(docs, table, not_held_out()).orderBy("doc_id").collect()
+                for table in (labels, turned))
+    assert one == two
+
+
+def test_label_model_finds_accuracies():
+    source = np.random.default_rng(0)
+    truth = source.random(40_000) < 0.15
+    rates = np.stack([np.full(toxicity.VOTERS, 0.02), np.linspace(0.2, 0.8, toxicity.VOTERS)])
+    votes = source.random((len(truth), toxicity.VOTERS)) < rates[truth.astype(int)]
+    votes[:, 3] = np.where(source.random(len(truth)) < 0.9, votes[:, 2], votes[:, 3])  # two that go together
+    masks = (votes << np.arange(toxicity.VOTERS)).sum(1)
+    labels = np.where(source.random(len(truth)) < 0.05, truth, -1)
+    keys, counts = np.unique(np.stack([masks, labels], 1), axis=0, return_counts=True)
+    model = toxicity.fit_label_model(keys[:, 0], keys[:, 1], counts)
+    assert abs(model.prior - 0.15) < 0.02
+    assert np.abs(model.accuracies[4:, 1] - rates[1, 4:]).max() < 0.05
+    assert model.parents[3] == 2 or model.parents[2] == 3
+    assert ((model.posterior(masks) > 0.5) == truth).mean() > 0.98
+
+
+def test_unusual_rows(spark):
+    labels = spark.createDataFrame([(k, 1, (k or 0) % 2) for k in (1, 2, 5, 6, 6, None)], "doc_id long, quality int, toxic int")
+    for docs in (cases.unusual(spark, clashing=True), cases.empty(spark)):
+        for table in (labels, labels.limit(0)):
+            rows = toxicity.toxicity_scores(docs, table, not_held_out()).collect()
+            assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r["doc_id"]) for r in docs.collect())
+            assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_unusual_rows_with_a_lexicon(spark):
+    lexicon = [("dog", 1.0), ("quic-", 0.8)]
+    rows = toxicity.term_hits(cases.unusual(spark, clashing=True), lexicon).collect()
+    assert len(rows) == len(cases.ROWS)
+    found = {r["doc_id"]: r["hits"] for r in rows}
+    assert found[1] == [0, 1] and found[3] == [] and found[2] == []
+    weights = np.zeros(4 + toxicity.VOTERS + 1)
+    weights[0], weights[-1] = 3, -1
+    scores = {r["doc_id"]: r["score"] for r in toxicity.scored(
+        toxicity.term_hits(cases.unusual(spark), lexicon), 2, weights).collect()}
+    assert abs(scores[1] - 1 / (1 + np.exp(-2))) < 1e-12 and abs(scores[3] - 1 / (1 + np.exp(1))) < 1e-12
