@@ -18,7 +18,7 @@ reports it in a manifest. A file counts only through the manifest, which holds t
 successful attempts: an attempt that was lost or repeated leaves a file nobody reads.
 
 Null texts are empty and hold just the end id. Null ids come first; rows that share an id
-are kept and ordered by text. An empty table gives no files. Other columns are ignored.
+are kept and ordered by a hash of the text. An empty table gives no files. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -162,9 +162,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 "part": pa.array([part], pa.int32()), "file": [f"{folder}/{name}"],
                 "documents": pa.array([documents], pa.int64()), "tokens": pa.array([n_tokens], pa.int64())})
 
+    # Rows that share an id are told apart by a hash, as the sample of keys goes to the driver.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = (docs.select("doc_id", whole_text().alias("text"))
-               .repartitionByRange(F.col("doc_id").asc_nulls_first(), "text")
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
+               .repartitionByRange(*order).sortWithinPartitions(*order))
     return stored(ordered.mapInArrow(write, MANIFEST), "manifest")
 
 
