@@ -297,7 +297,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, may_learn: Column, n_ter
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")))
     learning = F.col("doc_id").isNotNull() & may_learn
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    lexicon = mine_lexicon(texts.where(learning).join(known, "doc_id").select("text", "toxic"), n_terms)
+    # Labels grow with the texts, so they are never broadcast; the texts are shuffled once.
+    labelled = stored(texts.where(learning).join(known.hint("merge"), "doc_id").select("text", "toxic"), "labelled")
+    lexicon = mine_lexicon(labelled, n_terms)
     if not lexicon:
         return texts.select("doc_id", F.lit(0.0).alias("score"))
     hits = stored(term_hits(docs, lexicon), "hits")
