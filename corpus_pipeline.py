@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from railpulse.llm import langid, packing, simhash, toxicity
 from railpulse.llm.queries import remainder, tokenizer
 from railpulse.llm.tables import read, stored
-from railpulse.operators.timetable import join_on
 
 TOXIC_FROM = 0.7
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,9 +23,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.7; the model learns from the labels of rows not held out."""
     scores = toxicity.toxicity_scores(docs, read(spark, sf_dir, "labels"), may_learn=remainder(3) != 1)
     # The score is a function of the id and its text; an id that is there twice goes if one is toxic.
-    rejected = scores.where(F.col("score") >= TOXIC_FROM).select("doc_id").distinct().withColumn(
-        "rejected", F.lit(True))
-    return join_on(docs, rejected, ["doc_id"]).where("rejected is null").select(*COLUMNS)
+    rejected = scores.where(F.col("score") >= TOXIC_FROM).select("doc_id").distinct()
+    # What is rejected grows with the documents, so it is never broadcast.
+    return docs.select(*COLUMNS).join(rejected.hint("merge"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -325,5 +325,7 @@ def first_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
     Rows that share an id stay or go together; rows with a null id stay.
     """
     kept = similar_documents(docs, shingle, similarity).where("doc_id = component_id").select("doc_id")
-    with_id = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").select(*docs.columns)
+    # What is kept grows with the documents, so it is never broadcast.
+    with_id = docs.where(F.col("doc_id").isNotNull()).join(
+        kept.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     return with_id.unionAll(docs.where(F.col("doc_id").isNull()))
