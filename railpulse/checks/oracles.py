@@ -9,10 +9,11 @@ EVENT_FIELDS = (
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "trips": ((), """
-        select cast(o_orderkey as varchar) as trip_id, o_orderpriority as route_id,
+        select case when o_orderstatus = 'P' then 'P' else '' end || cast(o_orderkey as varchar)
+                   as trip_id, o_orderpriority as route_id,
                cast(case when o_orderkey % 17 <> 0 then o_custkey % 2 end as int) as direction_id,
                cast((o_custkey % 60) * 2 as varchar) as trip_short_name, o_orderkey as ord
-        from orders where o_orderstatus <> 'P'"""),
+        from orders"""),
     "stop_times": ((), """
         select cast(l_orderkey as varchar) as trip_id,
                'S' || lpad(cast(l_suppkey % 40 as varchar), 3, '0') as stop_id,
@@ -64,6 +65,15 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                    date_trunc('second', ts) - to_seconds(cast(floor(value) as int)) end as arr,
                case when event_id % 19 <> 0 then date_trunc('second', ts) end as dep
         from events"""),
+    "trains": (("station_rows",), """
+        select event_id // 8 as document_id, "trainNumRaw", "routeName", "destCode", provider,
+               event_type, case when event_type = 'purchase' then 0 else count(*) end as stops
+        from station_rows group by event_id // 8, "trainNumRaw", "routeName", "destCode", provider,
+            event_type"""),
+    "faults": (("trains",), """
+        select document_id, cast(case document_id % 5 when 0 then sum(stops) when 1 then count(*)
+                   when 2 then 1 else 0 end as int) as violations, count(*) as trains
+        from trains group by document_id"""),
     "directed": (("station_rows", "lookup1", "lookup2"), """
         select r.*, coalesce(p.direction_id, s.direction_id) as direction_id,
                case when p.direction_id is not null then 'primary'
@@ -119,6 +129,20 @@ def _events(source: str) -> str:
     return f"{_half(source, 'ARR', 'arr')} union all {_half(source, 'DEP', 'dep')}"
 
 
+def _ingested(condition: str) -> str:
+    """Events of the departed trains of the default providers whose rows meet a condition."""
+    return _events("them").replace("from them where", f"""from enriched where not bus
+        and status = 'Departed' and event_type <> 'purchase' and provider in ('Amtrak', 'Via')
+        and {condition} and""")
+
+
+def _future(train: str) -> str:
+    """The one event of the snapshot with a departure far ahead."""
+    return f"""select 'Amtrak', '2035-06-01', 'Route 9', '{train}', cast(null as int), 'S999',
+        cast(null as bigint), '{train}', '{train}', 'DEP', '2035-06-01T12:00:00+00:00',
+        cast(null as bigint), cast(null as bigint)"""
+
+
 def _with(query: str, *names: str) -> str:
     """Prefix a query with the named steps and all they depend on."""
     ordered: list[str] = []
@@ -145,10 +169,12 @@ READ_ROWS = f"""select "routeName", "trainNumRaw", "destCode", provider, code,
     {TIMES}, status from station_rows where event_type <> 'purchase'"""
 EMPTY_ROWS = """select "routeName", "trainNumRaw", "destCode", provider, null as code,
     null as tz, null as bus, null as "schArr", null as "schDep", null as arr, null as dep,
-    null as status from station_rows where event_type = 'purchase'"""
+    null as status from trains where event_type = 'purchase'"""
 DAILY_COLUMNS = f"""provider, {EVENT_FIELDS}, stop_path, "Year", "Month", "Day" """
 SUMMARY = """select provider, cast(svc as varchar) as service_day, count(*) as events_count,
     count(distinct stop_path) as files_uploaded from month group by provider, svc"""
+STORED = """svc = raw_day and svc between date '2024-01-01' and date '2024-01-30'
+    and svc not between date '2024-01-10' and date '2024-01-12'"""
 RAW_ROWS = f"provider, {EVENT_FIELDS}"
 AGENCIES = """with c as (
     select c_name as agency, c_mktsegment as segment,
@@ -222,14 +248,16 @@ def oracle_sql() -> dict[str, str]:
         "parse_http_date": """select event_id,
             strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') as parsed from events""",
         "flatten_map_rows": _with(
-            """select "routeName", "trainNumRaw", "destCode", provider,
-                case when event_type = 'purchase' then 0 else 1 end as stops
-                from station_rows""", "station_rows"),
-        "snapshot_validation": """select event_id, event_type in ('click', 'signup', 'view')
-            as rejected from events""",
-        "snapshot_counts": """select count(*) as documents, cast(0 as bigint) as rejected,
-            count(*) as trains from events""",
-        "explode_stations": _with(f"{READ_ROWS} union all {EMPTY_ROWS}", "station_rows"),
+            """select "routeName", "trainNumRaw", "destCode", provider, cast(stops as int) as stops
+                from trains""", "trains"),
+        "snapshot_validation": _with("select document_id, violations from faults", "faults"),
+        "snapshot_counts": _with(
+            """select count(*) as documents, count(*) filter (violations > 0) as rejected,
+                coalesce(cast(sum(trains) filter (violations = 0) as bigint), 0) as trains
+                from faults""", "faults"),
+        "snapshot_quarantine": _with(
+            "select document_id, violations from faults where violations > 0", "faults"),
+        "explode_stations": _with(f"{READ_ROWS} union all {EMPTY_ROWS}", "trains"),
         "snapshot_read": _with(
             f"""{READ_ROWS} and station_rows.dep > timestamp '2024-01-15 00:00:00'
                 and not bus and status = 'Departed'""", "station_rows"),
@@ -260,8 +288,8 @@ def oracle_sql() -> dict[str, str]:
                     as service_date_arr,
                 cast(cast(station_rows.dep - interval 3 hour as date) as varchar)
                     as service_date_dep
-                from station_rows where station_rows.dep is not null
-                order by station_rows.dep, "trainNumRaw", code limit 10""", "station_rows"),
+                from station_rows
+                order by station_rows.dep nulls last, "trainNumRaw", code limit 10""", "station_rows"),
         "arr_dep_events": _with(
             f"""select {RAW_ROWS} from ({_events('gone')})""".replace(
                 "from gone where", "from enriched where not bus and status = 'Departed' and"),
@@ -271,14 +299,17 @@ def oracle_sql() -> dict[str, str]:
             """select provider, count(*) filter (event_type = 'ARR') as arrivals,
                 count(*) filter (event_type = 'DEP') as departures, count(*) as events
                 from raw group by provider""", "raw"),
-        "event_dedupe": _with(
-            "select distinct provider, trip_id, stop_id, event_type, event_time from raw", "raw"),
+        "event_dedupe": _with(f"select {RAW_ROWS} from raw", "raw"),
         "event_stream": _with(
-            f"""select distinct {RAW_ROWS} from stream_events""".replace(
-                "stream_events", f"({_events('stream_rows')})"),
-            "enriched").replace("from stream_rows where", """from enriched where not bus
-                and status = 'Departed' and event_type <> 'purchase'
-                and provider in ('Amtrak', 'Via') and"""),
+            f"select distinct {RAW_ROWS} from ({_ingested('true')}) union all {_future('900001')}",
+            "enriched"),
+        "cutoff_stream": _with(
+            f"""select distinct {RAW_ROWS} from ({_ingested('event_id // 8 % 2 = 0')})
+                union all {_future('900001')} union all {_future('900002')}""", "enriched"),
+        "ingest_runs": _with(
+            f"""select * from (select distinct {RAW_ROWS} from ({_ingested('event_id // 8 % 2 = 0')}))
+                union all select * from (select distinct {RAW_ROWS} from (
+                    {_ingested("dep > timestamp '2024-01-15 00:00:00'")}))""", "enriched"),
         "raw_events_valid": _with(
             f"""select {RAW_ROWS} from raw union all
                 select {RAW_ROWS} from raw where event_type = 'ARR'""", "raw"),
@@ -292,7 +323,18 @@ def oracle_sql() -> dict[str, str]:
         "service_day_slice": _with(
             f"select {DAILY_COLUMNS} from daily where svc = date '2024-01-15'", "daily"),
         "collation_summary": _with(SUMMARY, "month"),
-        "daily_store": _with(SUMMARY, "month"),
+        "daily_store": _with(f"select {DAILY_COLUMNS} from daily where {STORED}", "daily"),
+        "daily_csv": _with(
+            f"""select * replace (case provider when 'Via' then 'VIA' else provider end as provider)
+                from (select {DAILY_COLUMNS} from daily where {STORED})""", "daily"),
+        "collation_leftovers": _with(
+            """select provider, cast(placed as varchar) as service_day,
+                case when placed is null then 'unreadable_time'
+                     when placed not between date '2024-01-01' and date '2024-01-30'
+                     then 'other_day' end as left_out, count(*) as events_count
+                from (select provider, case when cast(trip_id as int) % 97 <> 0 then svc end as placed
+                    from daily where raw_day between date '2024-01-01' and date '2024-01-31')
+                group by provider, placed""", "daily"),
         "missing_days": """with seen as (
                 select distinct 'user ' || user_id as provider, cast(ts as date) as day
                 from events),

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CUTOFF = "2024-01-15 00:00:00"
 FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
 ONE_DAY = dt.date(2024, 1, 15)
+EMPTY_DAYS = dt.date(2024, 1, 10), dt.date(2024, 1, 12)
 STOP_KEY = ("trip_id", "stop_sequence", "stop_id")
 QUERIES: dict[str, Query] = {}
 
@@ -193,22 +196,24 @@ def flatten_map_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def snapshot_validation(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents spoiled in one way per event type, and the verdict on each."""
-    kind, text = F.col("event_type"), F.col("value")
-    spoiled = (
-        F.when(kind == "click", F.regexp_replace(text, '"code":"S', '"kode":"S'))
-        .when(kind == "signup", F.regexp_replace(text, '"trainNumRaw":"(\\d+)"', '"trainNumRaw":$1'))
-        .when(kind == "view", F.concat(text, F.lit(" tail")))
-        .when(kind == "error", F.regexp_replace(text, '"velocity":60.5', '"velocity":"60.5","new":1'))
-        .otherwise(text))
-    checked = snapshots.parse_snapshots(
-        views.documents(spark, sf).withColumn("value", spoiled))
-    return checked.select("event_id", (F.col("violations") > 0).alias("rejected"))
+    """Documents spoiled in several ways, and the number of faults found in each."""
+    checked = snapshots.parse_snapshots(views.spoiled_documents(spark, sf))
+    return checked.select("document_id", "violations")
 
 
 @query
 def snapshot_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.snapshot_counts(snapshots.parse_snapshots(views.documents(spark, sf)))
+    return quality.snapshot_counts(snapshots.parse_snapshots(views.spoiled_documents(spark, sf)))
+
+
+@query
+def snapshot_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected documents written to quarantine and read back."""
+    root = shared_folder(spark, "quarantine")
+    rejected = snapshots.rejected_snapshots(snapshots.parse_snapshots(views.spoiled_documents(spark, sf)))
+    stores.write_quarantine(rejected, root, "run")
+    kept = spark.read.schema("document_id bigint, value string, violations int").json(root)
+    return kept.where("value is not null").select("document_id", "violations")
 
 
 @query
@@ -255,7 +260,7 @@ def ingest_funnel(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def preview_service_dates(spark: SparkSession, sf: str) -> DataFrame:
-    rows = reshape.add_service_dates(views.station_rows(spark, sf).where(F.col("dep").isNotNull()))
+    rows = reshape.add_service_dates(views.station_rows(spark, sf))
     return _text(reshape.preview(rows), "arr", "dep")
 
 
@@ -279,28 +284,104 @@ def event_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def event_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """Two overlapping runs: the second reports again what departed after the cutoff."""
+    """Two overlapping runs: the second reports departures again, with other metrics."""
     first = views.generated_events(spark, sf)
-    again = F.when(F.col("event_type") == "DEP", F.array(F.lit(1), F.lit(2))).otherwise(
+    runs = F.when(F.col("event_type") == "DEP", F.array(F.lit(2), F.lit(1))).otherwise(
         F.array(F.lit(1)))
-    repeated = first.withColumn("run", F.explode(again)).drop("run")
-    return events.dedupe_events(repeated).select(*events.SAME_REPORT)
+    repeated = first.withColumn("run", F.explode(runs)).withColumns({
+        "landed_at": F.make_date(F.lit(2024), F.lit(1), F.col("run")),
+        "scheduled_tt": F.col("scheduled_tt") + F.col("run") - 1})
+    return events.dedupe_events(repeated).select("provider", *EVENT_COLUMNS)
+
+
+FILES_PER_BATCH = 4
+
+
+def _future_document(spark: SparkSession, train: str) -> DataFrame:
+    """A snapshot whose one departure lies far ahead, as a broken clock would report it."""
+    known = json.loads(views.FUTURE_DOCUMENT)
+    known = {train: [{**known[0], "trainNumRaw": train}]}
+    return spark.createDataFrame([(json.dumps(known),)], "value string")
+
+
+def _land(docs: DataFrame, future: DataFrame, landing: str) -> None:
+    """Add files for one micro-batch."""
+    docs.select("value").unionAll(future).repartition(FILES_PER_BATCH).write.mode("append").text(landing)
+
+
+def _saved_tables(spark: SparkSession, sf: str, root: str) -> ingest.TimetableTables:
+    views.timetable_tables(spark, sf).save(f"{root}/timetable")
+    return ingest.TimetableTables.load(spark, f"{root}/timetable")
 
 
 @query
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Snapshots landed as files, streamed to a deduplicated event store, read back."""
+    """Snapshots landed as files, streamed to a deduplicated event store, read back.
+
+    The first of two micro-batches reports a departure far in the future; the second has
+    the other half of the documents, and some of the first again.
+    """
     root = shared_folder(spark, "stream")
-    views.documents(spark, sf).select("value").write.text(f"{root}/landing")
-    docs = snapshots.stream_snapshots(spark, f"{root}/landing", one_per_line=True)
-    tables = views.timetable_tables(spark, sf)
-    tables.save(f"{root}/timetable")
-    stored = ingest.TimetableTables.load(spark, f"{root}/timetable")
-    found = ingest_stream.first_reports(ingest_stream.event_stream(docs, stored))
+    docs = views.documents(spark, sf)
+    odd = F.col("document_id") % 2 == 1
+    _land(docs.where(~odd), _future_document(spark, "900001"), f"{root}/landing")
+    _land(docs.where(odd | (F.col("document_id") % 10 == 0)), _future_document(spark, "900001"),
+          f"{root}/landing")
+    landed = snapshots.stream_snapshots(
+        spark, f"{root}/landing", one_per_line=True, max_files_per_trigger=FILES_PER_BATCH)
+    found = ingest_stream.first_reports(
+        ingest_stream.event_stream(landed, _saved_tables(spark, sf, root)))
     ingest_stream.write_event_stream(
         found, f"{root}/events", f"{root}/checkpoint", once=True).awaitTermination()
-    return spark.read.parquet(f"{root}/events").select(
-        "provider", *EVENT_COLUMNS)
+    return spark.read.parquet(f"{root}/events").select("provider", *EVENT_COLUMNS)
+
+
+@query
+def cutoff_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Cutoff ingest whose first batch runs again, as after a crash before its commit.
+
+    The second batch then has nothing new but a departure past the cutoff.
+    """
+    root = shared_folder(spark, "cutoff")
+    docs = views.documents(spark, sf)
+    odd = F.col("document_id") % 2 == 1
+    tables = _saved_tables(spark, sf, root)
+
+    def run() -> None:
+        landed = snapshots.stream_snapshots(spark, f"{root}/landing", one_per_line=True)
+        ingest_stream.start_cutoff_ingest(
+            landed, tables, f"{root}/raw", f"{root}/state", f"{root}/checkpoint",
+            once=True).awaitTermination()
+
+    _land(docs.where(~odd), _future_document(spark, "900001"), f"{root}/landing")
+    run()
+    store, checkpoint = fs.FileSystem.from_uri(f"{root}/checkpoint")
+    for name in ("0", ".0.crc"):
+        place = f"{checkpoint}/commits/{name}"
+        if store.get_file_info(place).type != fs.FileType.NotFound:
+            store.delete_file(place)
+    run()
+    _land(docs.where(odd), _future_document(spark, "900002"), f"{root}/landing")
+    run()
+    return raw_events.read_raw_events(spark, f"{root}/raw").select("provider", *EVENT_COLUMNS)
+
+
+@query
+def ingest_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batch runs over overlapping snapshots, with the timetable rebuilt in between."""
+    root = shared_folder(spark, "runs")
+    docs = views.documents(spark, sf)
+    landed = [docs.withColumn("landed_at", F.lit(f"2024-01-14 0{hour}:00:00").cast("timestamp_ntz"))
+              for hour in (1, 2)]
+    even = F.col("document_id") % 2 == 0
+    first = landed[0].where(even).unionAll(landed[1].where(even))
+    tables = _saved_tables(spark, sf, root)
+    moment = dt.datetime.fromisoformat(f"{CUTOFF}+00:00")
+    ingest.run_ingest(first, tables, f"{root}/raw", f"{root}/state", now=moment)
+    _saved_tables(spark, sf, root)  # the tables loaded before stay readable
+    ingest.run_ingest(landed[0].unionAll(landed[1]), tables, f"{root}/raw", f"{root}/state",
+                      now=moment + dt.timedelta(days=1))
+    return raw_events.read_raw_events(spark, f"{root}/raw").select("provider", *EVENT_COLUMNS)
 
 
 # --- raw store and collation ---------------------------------------------------------
@@ -351,8 +432,10 @@ def collate_same_day(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def service_day_slice(spark: SparkSession, sf: str) -> DataFrame:
-    daily = collate.daily_events(views.raw_events(spark, sf))
-    return filters.service_day(daily, ONE_DAY).drop("service_day")
+    """One day of the stored table; only its folders are read."""
+    root = shared_folder(spark, "slice")
+    collate.run_collation(views.raw_events(spark, sf), root, FIRST_DAY, LAST_DAY, PROVIDERS)
+    return filters.service_day(stores.read_daily_table(spark, root), ONE_DAY)
 
 
 @query
@@ -360,14 +443,41 @@ def collation_summary(spark: SparkSession, sf: str) -> DataFrame:
     return _text(collate.collation_summary(_month(spark, sf)), "service_day")
 
 
+def _raw_store(spark: SparkSession, sf: str, root: str) -> DataFrame:
+    stores.write_raw_events(views.raw_events(spark, sf), f"{root}/raw", F.make_date("Year", "Month", "Day"))
+    return raw_events.read_raw_events(spark, f"{root}/raw")
+
+
 @query
 def daily_store(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw events collated twice into the daily table, which must equal once."""
+    """A month collated by service day, again by calendar day, and some days without events:
+    the rows of the daily table after these runs, each of which replaces its days whole."""
     root = shared_folder(spark, "daily")
-    raw = views.raw_events(spark, sf)
-    collate.run_collation(raw, root, FIRST_DAY, LAST_DAY, PROVIDERS)
-    summary = collate.run_collation(raw, root, FIRST_DAY, LAST_DAY, PROVIDERS)
-    return _text(summary, "service_day")
+    raw, table = _raw_store(spark, sf, root), f"{root}/table"
+    collate.run_collation(raw, table, FIRST_DAY, LAST_DAY, PROVIDERS)
+    collate.run_collation(raw, table, FIRST_DAY, LAST_DAY, PROVIDERS, by_service_day=False)
+    collate.run_collation(raw.where(F.lit(False)), table, *EMPTY_DAYS, PROVIDERS)
+    return stores.read_daily_table(spark, table)
+
+
+@query
+def daily_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the CSV files of a month collated by calendar day, of which some days are
+    replaced by nothing."""
+    root = shared_folder(spark, "csv")
+    raw, table, csv = _raw_store(spark, sf, root), f"{root}/table", f"{root}/csv"
+    collate.run_collation(raw, table, FIRST_DAY, LAST_DAY, PROVIDERS, False, csv)
+    collate.run_collation(raw.where(F.lit(False)), table, *EMPTY_DAYS, PROVIDERS, csv_root=csv)
+    return stores.read_daily_csv(spark, csv)
+
+
+@query
+def collation_leftovers(spark: SparkSession, sf: str) -> DataFrame:
+    """What a month's run reads, kept or left out with the reason; some times are unreadable."""
+    spoiled = F.when(F.col("trip_id").cast("int") % 97 == 0, F.lit("unknown")).otherwise(F.col("event_time"))
+    raw = views.raw_events(spark, sf).withColumn("event_time", spoiled)
+    return _text(collate.collation_leftovers(
+        collate.collated_and_left(raw, FIRST_DAY, LAST_DAY, PROVIDERS)), "service_day")
 
 
 @query

@@ -15,21 +15,20 @@ from railpulse.schemas import AMTRAK, BRIGHTLINE, PROVIDERS, VIA
 
 # Headsign table for the third provider, in the stop codes of these views.
 HEADSIGNS = {"S002": 1, "S005": 0, "S008": 1}
+EVENTS_PER_DOCUMENT = 8
+FUTURE_DOCUMENT = """[{"routeName": "Route 9", "trainNum": "9", "trainNumRaw": "9", "trainID": "9",
+    "lat": 1, "lon": 1, "trainTimely": "", "iconColor": "", "heading": "N", "eventCode": "S999",
+    "origCode": "S999", "origName": "", "destCode": "S999", "destName": "", "trainState": "Active",
+    "velocity": 1, "statusMsg": "", "createdAt": "", "updatedAt": "", "lastValTS": "",
+    "provider": "Amtrak", "providerShort": "A", "onlyOfTrainNum": true, "alerts": [],
+    "stations": [{"name": "", "code": "S999", "bus": false, "schArr": "", "schDep": "", "arrCmnt": "",
+        "depCmnt": "", "platform": "", "status": "Departed", "dep": "2035-06-01T12:00:00Z"}]}]"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores when the file has fewer splits than there are cores.
-
-    A table of many splits, as on a cluster, is left alone: no shuffle is added there.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def clock_text(seconds: Column) -> Column:
     """Second of the day -> ``HH:MM:SS``; hours may exceed 23."""
     parts = (seconds / 3600, seconds / 60 % 60, seconds % 60)
@@ -41,10 +40,11 @@ def stop_code(number: Column) -> Column:
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as trips; pending orders have none published, some lack a direction."""
+    """Orders as trips; those of pending orders have no stop times, some lack a direction."""
     direction = F.when(F.col("o_orderkey") % 17 != 0, F.col("o_custkey") % 2).cast("int")
-    return table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderkey").cast("string").alias("trip_id"),
+    pending = F.when(F.col("o_orderstatus") == "P", F.lit("P")).otherwise(F.lit(""))
+    return table(spark, sf_dir, "orders").select(
+        F.concat(pending, F.col("o_orderkey").cast("string")).alias("trip_id"),
         F.col("o_orderpriority").alias("route_id"),
         direction.alias("direction_id"),
         (F.col("o_custkey") % 60 * 2).cast("string").alias("trip_short_name"),
@@ -65,7 +65,7 @@ def stop_times(spark: SparkSession, sf_dir: str, positions: bool = False) -> Dat
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         *([position] if positions else []))
-    return spread(lines, "l_orderkey", "l_partkey").select(
+    return lines.select(
         F.col("l_orderkey").cast("string").alias("trip_id"),
         clock.alias("arrival_time"),
         clock.alias("departure_time"),
@@ -80,7 +80,7 @@ def station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     user, event = F.col("user_id"), F.col("event_id")
     dep = timecols.whole_second(F.col("ts"))
     dwell = F.make_dt_interval(secs=F.floor("value").cast("decimal(18,6)"))
-    return spread(table(spark, sf_dir, "events"), "event_id").select(
+    return table(spark, sf_dir, "events").select(
         "event_id",
         "event_type",
         user.cast("string").alias("trainNumRaw"),
@@ -98,7 +98,11 @@ def station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as snapshot documents of one train each; purchases have no stations yet."""
+    """Events as snapshot documents: up to eight events with consecutive ids share one.
+
+    A document has a list of trains per train number, a train the stations of up to four
+    of the events; purchases are trains without stations yet.
+    """
     rows = station_rows(spark, sf_dir)
     empty = F.lit("")
     planned = F.coalesce(timecols.iso_text(F.col("dep")), F.lit("unknown"))
@@ -113,24 +117,51 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         zulu("arr").alias("arr"), timecols.iso_text(F.col("dep")).alias("dep"),
         empty.alias("arrCmnt"), empty.alias("depCmnt"), empty.alias("platform"), "status",
     )
-    stations = F.when(F.col("event_type") != "purchase", F.array(station)).otherwise(
-        F.filter(F.array(station), lambda s: F.lit(False)))
+    # Events of one train: same document, provider, train number and kind.
+    train_key = ["document_id", "trainNumRaw", "routeName", "destCode", "provider", "event_type"]
+    numbered = rows.withColumn("document_id", F.expr(f"event_id div {EVENTS_PER_DOCUMENT}"))
+    grouped = numbered.groupBy(*train_key).agg(
+        F.min("event_id").alias("first_event"),
+        F.array_sort(F.collect_list(F.struct("event_id", station.alias("station")))).alias("listed"))
+    stations = F.when(F.col("event_type") != "purchase", F.transform("listed", lambda x: x["station"]))
+    stations = F.coalesce(stations, F.transform(
+        F.filter("listed", lambda x: F.lit(False)), lambda x: x["station"]))
     train = F.struct(
         "routeName", F.col("trainNumRaw").alias("trainNum"), "trainNumRaw",
-        F.col("event_id").cast("string").alias("trainID"),
+        F.col("first_event").cast("string").alias("trainID"),
         F.lit(45.5).alias("lat"), F.lit(-73).alias("lon"),
         empty.alias("trainTimely"), empty.alias("iconColor"), stations.alias("stations"),
-        F.lit("N").alias("heading"), F.col("code").alias("eventCode"),
-        F.col("code").alias("origCode"), empty.alias("origName"),
+        F.lit("N").alias("heading"), F.lit("S000").alias("eventCode"),
+        F.lit("S000").alias("origCode"), empty.alias("origName"),
         "destCode", empty.alias("destName"), F.lit("Active").alias("trainState"),
         F.lit(60.5).alias("velocity"), empty.alias("statusMsg"),
         empty.alias("createdAt"), empty.alias("updatedAt"), empty.alias("lastValTS"),
-        F.col("event_id").alias("objectID"), "provider", F.lit("X").alias("providerShort"),
+        F.col("first_event").alias("objectID"), "provider", F.lit("X").alias("providerShort"),
         F.lit(True).alias("onlyOfTrainNum"),
         F.array(F.struct(F.lit("on time").alias("message"))).alias("alerts"),
     )
-    document = F.to_json(F.create_map("trainNumRaw", F.array(train)))
-    return rows.select("event_id", "event_type", document.alias("value"))
+    trains = grouped.groupBy("document_id", "trainNumRaw").agg(
+        F.array_sort(F.collect_list(F.struct("first_event", train.alias("train")))).alias("sorted"))
+    entry = F.struct(F.col("trainNumRaw").alias("key"),
+                     F.transform("sorted", lambda x: x["train"]).alias("value"))
+    return trains.groupBy("document_id").agg(
+        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("value"))
+
+
+def spoiled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents damaged in one of five ways, by number, and how many faults each has then.
+
+    Each station without code, and each train whose number is no text, is one fault;
+    text after the document makes it unreadable as a whole, which is one.
+    """
+    kind, text = F.col("document_id") % 5, F.col("value")
+    spoiled = (
+        F.when(kind == 0, F.regexp_replace(text, '"code":"S', '"kode":"S'))
+        .when(kind == 1, F.regexp_replace(text, '"trainNumRaw":"(\\d+)"', '"trainNumRaw":$1'))
+        .when(kind == 2, F.concat(text, F.lit(" tail")))
+        .when(kind == 3, F.regexp_replace(text, '"velocity":60.5', '"velocity":"60.5","new":1'))
+        .otherwise(text))
+    return documents(spark, sf_dir).withColumn("value", spoiled)
 
 
 def timetable_tables(spark: SparkSession, sf_dir: str) -> TimetableTables:

@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from railpulse.functions import timecols
 from railpulse.schemas import EVENT, EVENT_COLUMNS
 
-# What makes two events the same report; the second set keeps one event per stop visit,
-# however often its time was revised.
+# What makes two events the same report.
 SAME_REPORT = ("provider", "trip_id", "stop_id", "event_type", "event_time")
-SAME_VISIT = ("provider", "trip_id", "stop_id", "event_type", "service_date")
 
 
 def arr_dep_events(stops: DataFrame, carry: Sequence[str] = ("provider",)) -> DataFrame:
@@ -52,5 +50,10 @@ def event_counts(events: DataFrame) -> DataFrame:
 
 
 def dedupe_events(events: DataFrame, keys: Sequence[str] = SAME_REPORT) -> DataFrame:
-    """One event per key; copies collapse map-side before the shuffle."""
-    return events.dropDuplicates(list(keys))
+    """One event per key, the earliest landed (``landed_at``, where present); of several, the
+    smallest by the event's fields. Copies collapse map-side before the shuffle."""
+    others = [c for c in events.columns if c not in keys]
+    order = [c for c in ("landed_at", *EVENT_COLUMNS) if c in others]
+    order += [c for c in others if c not in order]
+    first = events.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
+    return first.select(*[c if c in keys else F.col(f"_first.{c}") for c in events.columns])

@@ -47,12 +47,6 @@ def enabled_providers(df: DataFrame, enabled: Iterable[str] = DEFAULT_ENABLED) -
     return df.where(F.col("provider").isin(*enabled))
 
 
-def split_by_provider(df: DataFrame) -> tuple[DataFrame, ...]:
-    """One view per provider, for callers that want them apart; nothing is computed twice
-    unless each view is evaluated."""
-    return tuple(df.where(F.col("provider") == p) for p in PROVIDERS)
-
-
 def service_day(
     stored: DataFrame, day: dt.date | None = None, provider_part: str | None = None
 ) -> DataFrame:

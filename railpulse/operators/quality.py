@@ -12,8 +12,11 @@ from railpulse.operators.filters import DEPARTED, utc_literal
 from railpulse.schemas import PROVIDERS
 
 
-def ingest_funnel(stops: DataFrame, cutoff: dt.datetime | str | None = None) -> DataFrame:
-    """Rows left after each read stage and per provider, from one pass over station rows."""
+def funnel_columns(cutoff: dt.datetime | str | None = None) -> list[Column]:
+    """Counts of station rows after each read stage and per provider.
+
+    Their names are fixed values, those of the published run metrics.
+    """
     fresh = F.lit(True) if cutoff is None else F.coalesce(
         F.col("dep") > utc_literal(cutoff), F.lit(False))
     departed = F.coalesce(~F.col("bus") & (F.col("status") == DEPARTED), F.lit(False))
@@ -22,23 +25,32 @@ def ingest_funnel(stops: DataFrame, cutoff: dt.datetime | str | None = None) ->
     def rows(condition: Column, name: str) -> Column:
         return F.count_if(condition).alias(name)
 
-    return stops.agg(
+    return [
         F.count(F.lit(1)).alias("station_rows"),
         rows(fresh, "rows_after_time_filter"),
         rows(kept, "rows_after_bus_removal"),
         *[rows(kept & (F.col("provider") == p), f"rows_{p.lower()}") for p in PROVIDERS],
-    )
+    ]
 
 
-def snapshot_counts(parsed: DataFrame) -> DataFrame:
-    """Documents, rejected documents and trains of the accepted ones."""
+def ingest_funnel(stops: DataFrame, cutoff: dt.datetime | str | None = None) -> DataFrame:
+    """The funnel's counts, from one pass over station rows."""
+    return stops.agg(*funnel_columns(cutoff))
+
+
+def snapshot_columns() -> list[Column]:
+    """Counts of documents, rejected documents and trains of the accepted ones."""
     trains = F.aggregate(
         F.map_values("trains"), F.lit(0), lambda acc, group: acc + F.size(group))
-    return parsed.agg(
+    return [
         F.count(F.lit(1)).alias("documents"),
         F.count_if(F.col("violations") > 0).alias("rejected"),
         F.coalesce(F.sum(F.when(F.col("violations") == 0, trains)), F.lit(0)).alias("trains"),
-    )
+    ]
+
+
+def snapshot_counts(parsed: DataFrame) -> DataFrame:
+    return parsed.agg(*snapshot_columns())
 
 
 def expected_days(

@@ -127,18 +127,10 @@ def timetable_metrics(
     return _travel_time(with_scheduled_headway(stops, feed))
 
 
-def mean_of_metrics(metrics: DataFrame, feed: Sequence[str] = ()) -> DataFrame:
-    """Mean headway and travel time per stop and direction, from row-level metrics."""
-    return metrics.groupBy(*feed, "stop_id", "direction_id").agg(
-        F.avg("scheduled_headway").alias("scheduled_headway"),
-        F.avg("scheduled_tt").alias("scheduled_tt"),
-    )
-
-
 def scheduled_metric_means(
     stop_times: DataFrame, trips: DataFrame, feed: Sequence[str] = (), extended_hours: bool = False
 ) -> DataFrame:
-    """The same means without row-level headways.
+    """Mean headway and travel time per stop and direction, without row-level headways.
 
     Headways of a route, direction and stop add up to its last minus its first arrival,
     and there is one fewer of them than arrivals; so two hash aggregations replace the

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railpulse.functions import pathcols, timecols
-from railpulse.schemas import DAILY, DEFAULT_ENABLED, EVENT_COLUMNS
-from railpulse.sinks.stores import DAY_COLUMNS, write_daily_csv, write_daily_table
+from railpulse.operators.quality import expected_days, missing_days
+from railpulse.schemas import DEFAULT_ENABLED, EVENT_COLUMNS
+from railpulse.sinks.day_versions import DAY_COLUMNS
+from railpulse.sinks.stores import read_daily_table, write_daily_csv, write_daily_table
 
 
 def yesterday() -> dt.date:
@@ -18,49 +21,72 @@ def yesterday() -> dt.date:
     return (dt.datetime.now(dt.timezone.utc) - dt.timedelta(days=1)).date()
 
 
-def daily_events(raw: DataFrame) -> DataFrame:
+def daily_events(raw: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
     """Events with their stop path and service day; day columns now mean the service day.
 
     The service day follows from the event time, not from the stored ``service_date``.
-    An unreadable event time gives a null day (see ``unreadable_times``).
+    An unreadable event time gives a null day.
     """
     day = timecols.service_date(timecols.event_wall_clock(F.col("event_time")))
     path = pathcols.stop_path(F.col("route_id"), F.col("direction_id"), F.col("stop_id"))
     placed = raw.select("provider", *EVENT_COLUMNS, path.alias("stop_path"),
-                        day.alias("service_day"))
+                        day.alias("service_day"), *carry)
     return placed.withColumns(pathcols.day_parts(F.col("service_day")))
 
 
-def unreadable_times(raw: DataFrame) -> DataFrame:
-    """Events that collation cannot place on any day."""
-    return raw.where(timecols.event_wall_clock(F.col("event_time")).isNull())
-
-
-def collate_range(
+def collated_and_left(
     raw: DataFrame,
     first: dt.date,
     last: dt.date,
     providers: Iterable[str] | None = DEFAULT_ENABLED,
     by_service_day: bool = True,
+    late_days: int = 1,
 ) -> DataFrame:
-    """Daily events of a range of days and of several providers, in one job.
+    """All raw events that a run over a range of days reads, with ``left_out``.
 
-    By service day, the raw day after a service day is read too, since its first hours
-    belong to it. With ``by_service_day=False`` a raw day only feeds the service day of
-    the same date, and events of the first hours are left out.
+    That is null for events the run keeps, else the reason: ``unreadable_time``, or
+    ``other_day`` for a service day outside the range. What was kept and what was left out
+    add up to what was read. An event processed more than ``late_days`` after its day is
+    read, and reported as ``other_day`` with that day, by the run over its processing day.
 
     ``raw`` has the raw day as Year, Month and Day; only folders in range are read.
     """
     raw_day = F.make_date(*[F.col(c).cast("int") for c in DAY_COLUMNS])
-    until = last + dt.timedelta(days=1) if by_service_day else last
+    until = last + dt.timedelta(days=late_days) if by_service_day else last
     wanted = raw.where(raw_day.between(F.lit(first), F.lit(until)))
     if providers is not None:
         wanted = wanted.where(F.col("provider").isin(*providers))
+    placed = daily_events(wanted.withColumn("_raw_day", raw_day), carry=("_raw_day",))
+    day = F.col("service_day")
+    kept = day.between(F.lit(first), F.lit(last))
     if not by_service_day:
-        own = timecols.service_date(timecols.event_wall_clock(F.col("event_time")))
-        return daily_events(wanted.where(own == raw_day))
-    placed = daily_events(wanted)
-    return placed.where(F.col("service_day").between(F.lit(first), F.lit(last)))
+        kept = kept & (day == F.col("_raw_day"))
+    reason = F.when(day.isNull(), F.lit("unreadable_time")).when(~kept, F.lit("other_day"))
+    return placed.withColumn("left_out", reason).drop("_raw_day")
+
+
+def collate_range(
+    raw: DataFrame,
+    first: dt.date,
+    last: dt.date,
+    providers: Iterable[str] | None = DEFAULT_ENABLED,
+    by_service_day: bool = True,
+    late_days: int = 1,
+) -> DataFrame:
+    """Daily events of a range of days and of several providers, in one job.
+
+    By service day, raw days after a service day are read too, since its first hours
+    belong to it. With ``by_service_day=False`` a raw day only feeds the service day of
+    the same date, and events of the first hours are left out.
+    """
+    return collated_and_left(raw, first, last, providers, by_service_day, late_days).where(
+        "left_out is null").drop("left_out")
+
+
+def collation_leftovers(collated: DataFrame) -> DataFrame:
+    """Events per provider, reason and service day; rows without a reason were kept."""
+    return collated.groupBy("provider", "left_out", "service_day").agg(
+        F.count(F.lit(1)).alias("events_count"))
 
 
 def collation_summary(daily: DataFrame) -> DataFrame:
@@ -71,9 +97,14 @@ def collation_summary(daily: DataFrame) -> DataFrame:
     )
 
 
-def read_daily_table(spark: SparkSession, root: str) -> DataFrame:
-    """The stored daily events; a store without any day yet is empty."""
-    return spark.read.schema(DAILY).parquet(root)
+@dataclass(frozen=True)
+class CollationReport:
+    """``summary`` of the stored days, ``leftovers`` and counts of what was read, and the
+    expected days without any raw event."""
+
+    summary: DataFrame
+    leftovers: DataFrame
+    missing: DataFrame
 
 
 def run_collation(
@@ -81,20 +112,31 @@ def run_collation(
     table_root: str,
     first: dt.date | None = None,
     last: dt.date | None = None,
-    providers: Iterable[str] | None = DEFAULT_ENABLED,
+    providers: Iterable[str] = DEFAULT_ENABLED,
     by_service_day: bool = True,
     csv_root: str | None = None,
-) -> DataFrame:
-    """Collate and store; returns the summary, computed from the stored table."""
+    late_days: int = 1,
+) -> CollationReport:
+    """Collate and store; every day of the range is replaced for every provider named.
+
+    The summary is computed from the stored table.
+    """
+    spark = raw.sparkSession
     first = first or yesterday()
     last = last or first
-    daily = collate_range(raw, first, last, providers, by_service_day)
-    write_daily_table(daily, table_root)
-    stored = read_daily_table(raw.sparkSession, table_root)
+    providers = list(providers)
+    expected = expected_days(spark, first, last, providers)
+    covered = expected.select("provider", *[
+        f("day").cast("int").alias(name) for name, f in zip(DAY_COLUMNS, (F.year, F.month, F.dayofmonth))])
+    collated = collated_and_left(raw, first, last, providers, by_service_day, late_days)
+    write_daily_table(collated.where("left_out is null"), table_root, covered)
     day = F.make_date(*DAY_COLUMNS)
-    stored = stored.where(day.between(F.lit(first), F.lit(last))).withColumn("service_day", day)
-    if providers is not None:
-        stored = stored.where(F.col("provider").isin(*providers))
+    stored = read_daily_table(spark, table_root).where(
+        day.between(F.lit(first), F.lit(last)) & F.col("provider").isin(*providers)
+    ).withColumn("service_day", day)
     if csv_root is not None:
-        write_daily_csv(stored, csv_root)
-    return collation_summary(stored)
+        write_daily_csv(stored, csv_root, covered)
+    raw_day = F.make_date(*[F.col(c).cast("int") for c in DAY_COLUMNS])
+    seen = raw.where(raw_day.between(F.lit(first), F.lit(last))).select("provider", raw_day.alias("day"))
+    return CollationReport(
+        collation_summary(stored), collation_leftovers(collated), missing_days(expected, seen))

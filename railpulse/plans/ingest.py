@@ -6,15 +6,19 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from railpulse.operators import enrich, events, filters, reshape, timetable
-from railpulse.schemas import BRIGHTLINE, BRIGHTLINE_HEADSIGNS, DEFAULT_ENABLED
-from railpulse.sinks.stores import write_raw_events
+from railpulse.operators import enrich, events, filters, quality, reshape, timetable
+from railpulse.schemas import BRIGHTLINE, BRIGHTLINE_HEADSIGNS, DEFAULT_ENABLED, PROVIDERS
+from railpulse.sinks.stores import write_quarantine, write_raw_events
 from railpulse.sources import snapshots, state
 
 HEADSIGNS = {BRIGHTLINE: BRIGHTLINE_HEADSIGNS}
+LANDED = ("landed_at",)
+TABLE_NAMES = ("means", "by_train_number", "by_last_stop")
+TABLE_VERSION = T.StructType([T.StructField("tables", T.LongType(), True)])
 
 
 @dataclass(frozen=True)
@@ -38,19 +42,32 @@ class TimetableTables:
         )
 
     def save(self, root: str) -> None:
-        """Store the tables, so that each run reads them instead of the timetables."""
-        for name in ("means", "by_train_number", "by_last_stop"):
-            getattr(self, name).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+        """Store the tables, so that each run reads them instead of the timetables.
+
+        They go to a folder of their own, and one state row makes all three current at
+        once; what was loaded from an earlier version stays readable.
+        """
+        spark, root = self.means.sparkSession, root.rstrip("/")
+        version = 1 + _table_version(spark, root)
+        for name in TABLE_NAMES:
+            getattr(self, name).write.mode("overwrite").parquet(f"{root}/version={version}/{name}")
+        state.write_state(
+            spark.createDataFrame([(version,)], TABLE_VERSION), f"{root}/current", TABLE_VERSION)
 
     @classmethod
     def load(cls, spark: SparkSession, root: str, feed: Sequence[str] = ()) -> TimetableTables:
+        root = root.rstrip("/")
+        version = _table_version(spark, root)
         means, by_number, by_stop = (
-            spark.read.parquet(f"{root.rstrip('/')}/{name}")
-            for name in ("means", "by_train_number", "by_last_stop")
-        )
+            spark.read.parquet(f"{root}/version={version}/{name}") for name in TABLE_NAMES)
         return cls(means, by_number, by_stop, tuple(feed))
 
 
+def _table_version(spark: SparkSession, root: str) -> int:
+    row = state.read_state(spark, f"{root}/current", TABLE_VERSION)[0].first()
+    return row["tables"] if row else 0
+
+
 def new_departures(stops: DataFrame, cutoff: dt.datetime | str | None = None) -> DataFrame:
     """Station rows that make events: past the cutoff, departed, rail, known provider."""
     return filters.known_providers(filters.departed_rail(filters.newer_than(stops, cutoff)))
@@ -58,8 +75,13 @@ def new_departures(stops: DataFrame, cutoff: dt.datetime | str | None = None) ->
 
 def read_stage(docs: DataFrame, cutoff: dt.datetime | str | None = None) -> DataFrame:
     """Snapshot documents -> station rows ready to enrich; rejected documents yield none."""
-    accepted = snapshots.accepted_snapshots(snapshots.parse_snapshots(docs))
-    return new_departures(reshape.station_rows(accepted), cutoff)
+    return new_departures(_station_rows(snapshots.parse_snapshots(docs)), cutoff)
+
+
+def _station_rows(parsed: DataFrame) -> DataFrame:
+    """Station rows of the accepted documents, with the landing time where it is known."""
+    return reshape.station_rows(
+        snapshots.accepted_snapshots(parsed), [c for c in LANDED if c in parsed.columns])
 
 
 def enriched_stops(
@@ -81,7 +103,11 @@ def generate_events(
 ) -> DataFrame:
     """Events of the enabled providers, all in one job."""
     wanted = filters.enabled_providers(stops, enabled)
-    return events.arr_dep_events(enriched_stops(wanted, tables, headsigns))
+    return events.arr_dep_events(enriched_stops(wanted, tables, headsigns), _carried(stops))
+
+
+def _carried(stops: DataFrame) -> list[str]:
+    return ["provider", *[c for c in LANDED if c in stops.columns]]
 
 
 @dataclass(frozen=True)
@@ -89,32 +115,52 @@ class IngestReport:
     """What a run did; the counts were taken while the events were written."""
 
     cutoff: dt.datetime
+    snapshots: dict[str, int]
+    funnel: dict[str, int]
     directions: dict[str, float]
     metrics: dict[str, float]
     events: dict[str, int]
 
 
+def event_count_columns() -> list[Column]:
+    kind = F.col("event_type")
+    return [
+        F.count_if(kind == "ARR").alias("arrivals"),
+        F.count_if(kind == "DEP").alias("departures"),
+        *[F.count_if(F.col("provider") == p).alias(f"events_{p.lower()}") for p in PROVIDERS],
+    ]
+
+
 def run_ingest(
     docs: DataFrame, tables: TimetableTables, raw_root: str, state_path: str,
     enabled: Iterable[str] = DEFAULT_ENABLED, now: dt.datetime | None = None,
+    quarantine: str | None = None,
 ) -> IngestReport:
     """One batch run: events after the stored cutoff go to the raw store, then the
-    cutoff moves to ``now``. No job runs for the counts alone."""
+    cutoff moves to ``now``. No job runs for the counts alone.
+
+    Snapshots repeat what they reported before; of equal reports the earliest landed is
+    kept. Rejected documents are counted, and written to ``quarantine`` if there are any.
+    """
     spark = docs.sparkSession
     now = now or dt.datetime.now(dt.timezone.utc)
-    stops = filters.enabled_providers(
-        read_stage(docs, state.read_cutoff(spark, state_path)), enabled)
-    directions, metrics, written = (
-        Observation(name) for name in ("directions", "metrics", "events"))
+    cutoff = state.read_cutoff(spark, state_path)
+    seen, funnel, directions, metrics, written = (
+        Observation(name) for name in ("snapshots", "funnel", "directions", "metrics", "events"))
+    parsed = snapshots.parse_snapshots(docs)
+    stops = _station_rows(parsed.observe(seen, *quality.snapshot_columns())).observe(
+        funnel, *quality.funnel_columns(cutoff))
+    wanted = filters.enabled_providers(new_departures(stops, cutoff), enabled)
     enriched = (
-        enriched_stops(stops, tables, HEADSIGNS)
+        enriched_stops(wanted, tables, HEADSIGNS)
         .observe(directions, *enrich.direction_match_columns())
         .observe(metrics, *enrich.metric_match_columns())
     )
-    fresh = events.arr_dep_events(enriched).observe(
-        written,
-        F.count_if(F.col("event_type") == "ARR").alias("arrivals"),
-        F.count_if(F.col("event_type") == "DEP").alias("departures"))
-    write_raw_events(fresh, raw_root, now, batch=now.strftime("%H%M%S"))
+    fresh = events.dedupe_events(events.arr_dep_events(enriched, _carried(enriched))).observe(
+        written, *event_count_columns())
+    batch = now.strftime("%H%M%S")
+    write_raw_events(fresh, raw_root, now, batch=batch)
+    if quarantine is not None and seen.get["rejected"]:
+        write_quarantine(snapshots.rejected_snapshots(parsed), quarantine, now.strftime("%Y%m%d-%H%M%S"))
     state.write_cutoff(spark, state_path, now)
-    return IngestReport(now, directions.get, metrics.get, written.get)
+    return IngestReport(now, seen.get, funnel.get, directions.get, metrics.get, written.get)

@@ -16,12 +16,21 @@ PROVIDER_PATH_NAMES = {AMTRAK: "Amtrak", VIA: "VIA", BRIGHTLINE: "Brightline"}
 BRIGHTLINE_HEADSIGNS = {"EKW": 1, "MCO": 0, "WPT": 1}
 
 
+def provider_named(name: str) -> str:
+    """The provider as data spell it, from any spelling by case; unknown names are refused."""
+    for known in PROVIDERS:
+        if name.strip().lower() == known.lower():
+            return known
+    raise ValueError(f"unknown provider {name!r}; known are {', '.join(PROVIDERS)}")
+
+
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
 S, D, L, B = T.StringType(), T.DoubleType(), T.LongType(), T.BooleanType()
 
+# Field names, order and types of the feed's records.
 ALERT = _struct(("message", S))
 
 STATION = _struct(
@@ -45,16 +54,10 @@ TRAIN = _struct(
 
 SNAPSHOT = T.MapType(S, T.ArrayType(TRAIN))
 
-# Fields that may be absent or null; every other field must be present.
+# Fields that may be absent or null; every other field must be present.
 OPTIONAL_TRAIN_FIELDS = frozenset({"eventTZ", "eventName", "originTZ", "destTZ", "objectID"})
 OPTIONAL_STATION_FIELDS = frozenset({"tz", "arr", "dep"})
 
-STATION_META = _struct(
-    ("name", S), ("code", S), ("tz", S), ("lat", D), ("lon", D),
-    ("hasAddress", B), ("address1", S), ("address2", S),
-    ("city", S), ("state", S), ("zip", L), ("trains", T.ArrayType(S)),
-)
-
 # What is left of a train and of a station after the read stage.
 TRAIN_KEPT = ("routeName", "trainNumRaw", "destCode", "provider")
 STATION_KEPT = ("code", "tz", "bus", "schArr", "schDep", "arr", "dep", "status")
@@ -70,6 +73,7 @@ TRIPS = _struct(
     ("trip_short_name", S), ("direction_id", T.IntegerType()),
 )
 
+# Fields of an event, in the order of the CSV files.
 EVENT = _struct(
     ("service_date", S), ("route_id", S), ("trip_id", S),
     ("direction_id", T.IntegerType()), ("stop_id", S), ("stop_sequence", L),

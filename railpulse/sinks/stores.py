@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from railpulse.functions.pathcols import provider_path_name
-from railpulse.schemas import EVENT_COLUMNS
+from railpulse.schemas import DAILY, EVENT, EVENT_COLUMNS
+from railpulse.sinks.day_versions import DAY_COLUMNS, current_days, publish_days
 
-DAY_COLUMNS = ("Year", "Month", "Day")
 RAW_ROWS_PER_FILE = 2_000_000
 
 
@@ -44,36 +45,61 @@ def write_raw_events(
     )
 
 
-def write_daily_table(daily: DataFrame, root: str) -> None:
+def write_daily_table(daily: DataFrame, root: str, covered: DataFrame) -> None:
     """Daily events as Parquet by provider and service day, ordered by stop path.
 
-    Days present in ``daily`` are replaced whole, so running again changes nothing.
-    The rebalance hint lets adaptive execution split a heavy day and join light ones.
+    The days in ``covered`` are replaced whole, also those without events now. The
+    rebalance hint lets adaptive execution split a heavy day and join light ones.
     """
     layout = ["provider", *DAY_COLUMNS]
-    (
+    rows = (
         daily.select("stop_path", *EVENT_COLUMNS, *layout)
         .hint("rebalance", *layout)
         .sortWithinPartitions(*layout, "stop_path")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*layout)
-        .parquet(root)
     )
+    publish_days(daily.sparkSession, root, covered, lambda folder: rows.write.mode(
+        "overwrite").partitionBy(*layout).parquet(folder))
 
 
-def write_daily_csv(daily: DataFrame, root: str) -> None:
+def write_daily_csv(daily: DataFrame, root: str, covered: DataFrame) -> None:
     """Daily events as gzip CSV with header, one folder per provider, stop path and day."""
     layout = ["provider", "stop_path", *DAY_COLUMNS]
-    (
-        daily.withColumn("provider", provider_path_name(F.col("provider")))
+    spelled = provider_path_name(F.col("provider"))
+    rows = (
+        daily.withColumn("provider", spelled)
         .select(*EVENT_COLUMNS, *layout)
         .hint("rebalance", *layout)
+    )
+    publish_days(
+        daily.sparkSession, root, covered.withColumn("provider", spelled),
+        lambda folder: rows.write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("compression", "gzip").partitionBy(*layout).csv(folder))
+
+
+def read_daily_table(spark: SparkSession, root: str) -> DataFrame:
+    """The stored daily events; a store without any day yet is empty."""
+    layout = T.StructType([*DAILY.fields, T.StructField("stored_version", T.LongType(), True)])
+    return current_days(spark, root, lambda folder: spark.read.schema(layout).parquet(folder), DAILY)
+
+
+def read_daily_csv(spark: SparkSession, root: str) -> DataFrame:
+    """The current CSV files, with provider names as paths spell them."""
+    layout = T.StructType([
+        *EVENT.fields, *[DAILY[c] for c in ("provider", "stop_path", *DAY_COLUMNS)],
+        T.StructField("stored_version", T.LongType(), True)])
+    return current_days(
+        spark, root,
+        lambda folder: spark.read.schema(layout).option("header", True).option("escape", '"').csv(folder),
+        T.StructType(layout.fields[:-1]))
+
+
+def write_quarantine(rejected: DataFrame, root: str, batch: int | str) -> None:
+    """Documents that a check rejected, as gzip JSON lines under the run's name."""
+    (
+        rejected.withColumn("batch", F.lit(str(batch)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
-        .option("escape", '"')
         .option("compression", "gzip")
-        .partitionBy(*layout)
-        .csv(root)
+        .partitionBy("batch")
+        .json(root)
     )

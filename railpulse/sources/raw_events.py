@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from itertools import chain
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +15,7 @@ from railpulse.schemas import EVENT, EVENT_COLUMNS, PROVIDER_PATH_NAMES
 
 RAW_FILES = "*.json.gz"
 BLANKS = " \t\r\n"
+DOCUMENTS = "source string, value string, error string"
 LANDED_DAY = r"/([^/]+)/Year=(\d+)/Month=(\d+)/Day=(\d+)/"
 
 # Every field as text: one mistyped value must not spoil its neighbours.
@@ -31,13 +35,47 @@ def read_raw_events(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_event_documents(spark: SparkSession, root: str) -> DataFrame:
-    """Landed files from elsewhere, one row per file: ``source`` and ``value``."""
-    return (
-        spark.read.option("pathGlobFilter", RAW_FILES)
+    """Landed files from elsewhere, one row per file: ``source``, ``value`` and ``error``.
+
+    A file that is cut off or damaged has an error and no value, and stops no other.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", RAW_FILES)
         .option("recursiveFileLookup", True)
-        .text(root, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("source"), "value")
+        .load(root)
+        .select("path", "content")
     )
+    return files.mapInArrow(_unpacked, DOCUMENTS)
+
+
+def unpack(packed: bytes) -> tuple[str | None, str | None]:
+    """Text of gzip members, or what is wrong with them; no bytes at all are an empty text."""
+    parts, rest = [], packed
+    try:
+        while rest:
+            machine = zlib.decompressobj(31)
+            parts.append(machine.decompress(rest))
+            if not machine.eof:
+                return None, "file is cut off"
+            rest = machine.unused_data
+        return b"".join(parts).decode("utf-8"), None
+    except (zlib.error, UnicodeDecodeError) as error:
+        return None, str(error)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            value, error = unpack(content.as_py())
+            yield pa.RecordBatch.from_pydict({
+                "source": [path.as_py()], "value": pa.array([value], pa.string()),
+                "error": pa.array([error], pa.string())})
+
+
+def broken_files(docs: DataFrame) -> DataFrame:
+    """The files that could not be unpacked, with the reason."""
+    return docs.where("error is not null").select("source", "error")
 
 
 def parse_event_documents(docs: DataFrame) -> DataFrame:
@@ -47,14 +85,16 @@ def parse_event_documents(docs: DataFrame) -> DataFrame:
     element of an array, so trailing text makes it invalid.
     """
     text = F.btrim(F.col("value"), F.lit(BLANKS))
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    lists = F.from_json(wrapped, T.ArrayType(T.ArrayType(RAW_EVENT)))
-    single = F.from_json(wrapped, T.ArrayType(RAW_EVENT))
-    events = F.when(
-        text.startswith("["), F.when(F.size(lists) == 1, F.get(lists, F.lit(0)))
-    ).otherwise(F.when(F.size(single) == 1, single))
-    carried = [c for c in docs.columns if c != "value"]
-    rows = docs.select(*carried, F.explode(events).alias("event"))
+    listed = text.startswith("[")
+    wrapped = F.when(listed, F.concat(F.lit("["), text, F.lit("]"))).otherwise(
+        F.concat(F.lit("[["), text, F.lit("]]")))
+    carried = [c for c in docs.columns if c not in ("value", "error")]
+    # Apart from its uses, and exploded in the outer form, so that it is parsed once.
+    parsed = docs.select(*carried, listed.alias("_listed"), F.from_json(
+        wrapped, T.ArrayType(T.ArrayType(RAW_EVENT))).alias("_lists"))
+    inner = F.get("_lists", F.lit(0))
+    sound = (F.size("_lists") == 1) & (F.col("_listed") | (F.size(inner) == 1))
+    rows = parsed.select(*carried, F.explode_outer(F.when(sound, inner)).alias("event"))
     return typed_events(rows.where(F.col("event").isNotNull()).select(*carried, "event.*"))
 
 

@@ -6,6 +6,8 @@ JSON types as they were written (a typed parse would turn ``5`` into ``"5"``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,13 +38,20 @@ def _loose(kind: T.DataType) -> T.DataType:
 LOOSE_SNAPSHOT = T.MapType(T.StringType(), T.ArrayType(_loose(TRAIN)))
 
 
-def read_snapshots(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+def read_snapshots(
+    spark: SparkSession, path: str, one_per_line: bool = False,
+    landed_after: dt.datetime | None = None,
+) -> DataFrame:
     """Landed snapshots, one row each: ``source``, ``landed_at``, ``value``.
 
-    A file is one document, or with ``one_per_line`` a splittable batch of them.
+    A file is one document, or with ``one_per_line`` a splittable batch of them. With
+    ``landed_after`` older files are only listed, not read.
     """
-    files = spark.read.text(path, wholetext=not one_per_line)
-    return _document_columns(files)
+    reader = spark.read
+    if landed_after is not None:
+        moment = landed_after.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+        reader = reader.option("modifiedAfter", moment).option("timeZone", "UTC")
+    return _document_columns(reader.text(path, wholetext=not one_per_line))
 
 
 def stream_snapshots(

@@ -15,7 +15,12 @@ from pyspark.sql import types as T
 
 from railpulse.schemas import MANIFEST
 
-CUTOFF = T.StructType([T.StructField("datetime", T.StringType(), True)])
+CUTOFF = T.StructType([
+    T.StructField("datetime", T.StringType(), True),
+    # Of a stream: the batch that moved the cutoff here, and where it was before.
+    T.StructField("batch", T.LongType(), True),
+    T.StructField("before", T.StringType(), True),
+])
 
 
 def read_state(spark: SparkSession, path: str, layout: T.StructType) -> tuple[DataFrame, int]:
@@ -26,11 +31,18 @@ def read_state(spark: SparkSession, path: str, layout: T.StructType) -> tuple[Da
     except AnalysisException:
         return spark.createDataFrame([], layout), 0
     version = rows.agg(F.max("version")).first()[0] or 0
-    return rows.where(F.col("version") == version).select(*layout.fieldNames()), version
+    if not version:
+        return spark.createDataFrame([], layout), 0
+    # Only the slot in use is read, so that writing the other one disturbs no reader.
+    current = spark.read.schema(layout).json(f"{path.rstrip('/')}/slot={version % 2}")
+    return current, version
 
 
 def write_state(rows: DataFrame, path: str, layout: T.StructType) -> None:
-    """Store a new version, as one file so that it appears all at once."""
+    """Store a new version, as one file so that it appears all at once.
+
+    One task writes it: control tables have a row per agency or per provider and day.
+    """
     _, version = read_state(rows.sparkSession, path, layout)
     (
         rows.select(*layout.fieldNames())
@@ -41,12 +53,9 @@ def write_state(rows: DataFrame, path: str, layout: T.StructType) -> None:
     )
 
 
-def read_cutoff(spark: SparkSession, path: str) -> dt.datetime | None:
-    """Time of the last run in UTC; None on a first run or when the state is unreadable."""
-    rows, _ = read_state(spark, path, CUTOFF)
-    stored = rows.first()
+def _moment(text: str | None) -> dt.datetime | None:
     try:
-        moment = dt.datetime.fromisoformat(stored["datetime"].replace("Z", "+00:00"))
+        moment = dt.datetime.fromisoformat(text.replace("Z", "+00:00"))
     except (TypeError, AttributeError, ValueError):
         return None
     if moment.tzinfo is None:
@@ -54,10 +63,28 @@ def read_cutoff(spark: SparkSession, path: str) -> dt.datetime | None:
     return moment.astimezone(dt.timezone.utc)
 
 
-def write_cutoff(spark: SparkSession, path: str, moment: dt.datetime | None = None) -> dt.datetime:
+def read_cutoff(
+    spark: SparkSession, path: str, batch: int | None = None
+) -> dt.datetime | None:
+    """Time of the last run in UTC; None on a first run or when the state is unreadable.
+
+    A batch that is run again after it moved the cutoff gets the cutoff it had before.
+    """
+    stored = read_state(spark, path, CUTOFF)[0].first()
+    if stored is None:
+        return None
+    repeated = batch is not None and stored["batch"] == batch
+    return _moment(stored["before"] if repeated else stored["datetime"])
+
+
+def write_cutoff(
+    spark: SparkSession, path: str, moment: dt.datetime | None = None,
+    batch: int | None = None, before: dt.datetime | None = None,
+) -> dt.datetime:
     """Store the time of this run (now, unless given) and return it."""
     moment = moment or dt.datetime.now(dt.timezone.utc)
-    write_state(spark.createDataFrame([(moment.isoformat(),)], CUTOFF), path, CUTOFF)
+    row = (moment.isoformat(), batch, before.isoformat() if before else None)
+    write_state(spark.createDataFrame([row], CUTOFF), path, CUTOFF)
     return moment
 
 

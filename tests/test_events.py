@@ -1,6 +1,8 @@
 import datetime as dt
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from railpulse.operators import events, quality
 from railpulse.plans import ingest
 from railpulse.schemas import EVENT_COLUMNS
@@ -46,7 +48,18 @@ def test_dedupe_keys(spark):
         [stop("1", ARR, None), stop("1", ARR, None), stop("1", later, None)], STOP)
     found = events.arr_dep_events(rows)
     assert events.dedupe_events(found).count() == 2
-    assert events.dedupe_events(found, events.SAME_VISIT).count() == 1
+    visit = ("provider", "trip_id", "stop_id", "event_type", "service_date")
+    assert events.dedupe_events(found, visit).count() == 1
+
+
+def test_dedupe_keeps_the_earliest_landed(spark):
+    rows = spark.createDataFrame([stop("1", ARR, None)], STOP)
+    late = events.arr_dep_events(rows).withColumns({
+        "landed_at": F.lit("2025-01-02").cast("date"), "scheduled_tt": F.lit(5).cast("bigint")})
+    early = late.withColumns({
+        "landed_at": F.lit("2025-01-01").cast("date"), "scheduled_tt": F.lit(9).cast("bigint")})
+    for both in (late.unionAll(early), early.unionAll(late)):
+        assert [r["scheduled_tt"] for r in events.dedupe_events(both).collect()] == [9]
 
 
 def tables(spark):

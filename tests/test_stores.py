@@ -9,7 +9,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from railpulse.operators import filters, manifest
-from railpulse.plans import collate, timetable_refresh
+from railpulse.plans import collate, ingest, timetable_refresh
 from railpulse.schemas import EVENT, EVENT_COLUMNS
 from railpulse.sinks import stores
 from railpulse.sources import hidden_files, raw_events, state, timetables
@@ -123,7 +123,11 @@ def test_collation_by_service_day_and_by_same_day(spark, tmp_path):
     assert {r["trip_id"] for r in same.collect()} == {"day", "null", "via"}
     one = collate.collate_range(raw, day, day, ["Via"])
     assert {r["trip_id"] for r in one.collect()} == {"via"}
-    assert [r["trip_id"] for r in collate.unreadable_times(raw).collect()] == ["bad"]
+    left = collate.collated_and_left(raw, day, day).where("left_out = 'unreadable_time'")
+    assert [r["trip_id"] for r in left.collect()] == ["bad"]
+    counts = collate.collation_leftovers(collate.collated_and_left(raw, day, day)).collect()
+    read = raw.where("provider <> 'Brightline' and Day in (5, 6)").count()
+    assert sum(r["events_count"] for r in counts) == read
     assert bag(whole.where("trip_id in ('null', 'night')"),
                "trip_id", "stop_path", "Year", "Month", "Day") == Counter({
         ("null", "NE R_None_NYP", 2025, 1, 5): 1, ("night", "NE R_0_NYP", 2025, 1, 5): 1})
@@ -136,25 +140,85 @@ def test_collation_twice_equals_once(spark, tmp_path):
     raw = raw_week(spark, str(tmp_path / "raw"))
     root, exported = str(tmp_path / "daily"), str(tmp_path / "csv")
     first, last = dt.date(2025, 1, 4), dt.date(2025, 1, 5)
-    once = bag(collate.run_collation(raw, root, first, last, csv_root=exported))
-    twice = bag(collate.run_collation(raw, root, first, last, csv_root=exported))
+    once = bag(collate.run_collation(raw, root, first, last, csv_root=exported).summary)
+    twice = bag(collate.run_collation(raw, root, first, last, csv_root=exported).summary)
     assert once == twice == Counter({
         (3, 2, "Amtrak", last): 1, (1, 1, "Amtrak", first): 1, (1, 1, "Via", last): 1})
-    stored = spark.read.parquet(root)
+    stored = stores.read_daily_table(spark, root)
     assert filters.service_day(stored, last, "ia").count() == 1
+    sliced = filters.service_day(stored, last)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in sliced and "Day" in sliced.split("PartitionFilters: [")[1].split("]")[0]
     lines = []
-    for path in glob.glob(f"{exported}/provider=Amtrak/stop_path=NE R_0_NYP/Year=2025/Month=1/Day=5/*.gz"):
+    for path in glob.glob(f"{exported}/data/stored_version=2/provider=Amtrak/stop_path=NE R_0_NYP/Year=2025/Month=1/Day=5/*.gz"):
         lines += list(csv.reader(io.StringIO(gzip.open(path, "rt").read())))
     assert lines[0] == list(EVENT_COLUMNS)
     assert sorted(r[2] for r in lines if r[2] != "trip_id") == ["day", "night"]
     assert {r[11] for r in lines[1:]} <= {"", "scheduled_tt"}
-    assert glob.glob(f"{exported}/provider=VIA/*")
+    assert glob.glob(f"{exported}/data/stored_version=2/provider=VIA/*")
+
+
+def test_a_rerun_replaces_days_whole(spark, tmp_path):
+    raw = raw_week(spark, str(tmp_path / "raw"))
+    root, exported = str(tmp_path / "daily"), str(tmp_path / "csv")
+    day = dt.date(2025, 1, 5)
+
+    def trips(**options):
+        collate.run_collation(options.pop("rows", raw), root, day, csv_root=exported, **options)
+        table, files = stores.read_daily_table(spark, root), stores.read_daily_csv(spark, exported)
+        found = [sorted(r["trip_id"] for r in t.collect()) for t in (table, files)]
+        assert found[0] == found[1]
+        return found[0]
+
+    assert trips() == ["day", "night", "null", "via"]
+    assert trips(by_service_day=False) == ["day", "null", "via"]
+    assert trips(rows=raw.where("false"), providers=["Via"]) == ["day", "null"]
+    assert trips(rows=raw.where("false")) == []
+    assert trips() == ["day", "night", "null", "via"]
+
+
+def test_broken_files_stop_no_others(spark, tmp_path):
+    for hidden in (False, True):
+        root = tmp_path / f"broken-{hidden}"
+        root.mkdir()
+        landed(root, hidden=hidden)
+        day = root / "raw/VIA/Year=2025/Month=01/Day=05"
+        lead = "_" if hidden else ""
+        (day / f"{lead}12_00.json.gz").write_bytes(gzip.compress(b"[]" * 5000)[:-9])
+        (day / f"{lead}12_05.json.gz").write_bytes(b"no gzip at all")
+        read = hidden_files.read_hidden_documents if hidden else raw_events.read_event_documents
+        docs = read(spark, str(root / "raw"))
+        assert raw_events.parse_event_documents(docs).count() == 3
+        broken = raw_events.broken_files(docs).collect()
+        assert sorted(r["source"][-13:-8] for r in broken) == ["12_00", "12_05"]
+
+
+def test_hidden_reader_lists_only_the_days_asked_for(spark, tmp_path):
+    landed(tmp_path, hidden=True)
+    root = str(tmp_path / "raw")
+    day = dt.date(2025, 1, 5)
+    for first, n in ((day, 3), (dt.date(2025, 1, 6), 0)):
+        docs = hidden_files.read_hidden_documents(spark, root, ["VIA", "Amtrak"], first)
+        assert raw_events.parse_event_documents(docs).count() == n
+    reader = hidden_files.HiddenFilesReader(
+        {"path": root, "providers": "VIA", "first": "2025-01-04", "last": "2025-01-05"})
+    assert all("/Day=05/" in path for group in reader.partitions() for path in group.paths)
+
+
+def test_a_rebuilt_timetable_keeps_what_was_loaded(spark, tmp_path):
+    frame_of = lambda n: spark.createDataFrame([("x", n)], "k string, n int")
+    root = str(tmp_path / "tables")
+    ingest.TimetableTables(frame_of(1), frame_of(1), frame_of(1)).save(root)
+    before = ingest.TimetableTables.load(spark, root)
+    ingest.TimetableTables(frame_of(2), frame_of(2), frame_of(2)).save(root)
+    after = ingest.TimetableTables.load(spark, root)
+    for tables, n in ((before, 1), (after, 2)):
+        assert [t.first()["n"] for t in (tables.means, tables.by_train_number, tables.by_last_stop)] == [n] * 3
 
 
 def test_csv_quotes(spark, tmp_path):
     rows = collate.daily_events(frame(
         spark, event('say "hi", ok', "2025-01-05T10:00:00+00:00")))
-    stores.write_daily_csv(rows, str(tmp_path / "csv"))
+    stores.write_daily_csv(rows, str(tmp_path / "csv"), rows)
     path = glob.glob(f"{tmp_path}/csv/**/*.csv.gz", recursive=True)[0]
     assert '"say ""hi"", ok"' in gzip.open(path, "rt").read()
 
@@ -237,7 +301,8 @@ def test_a_day_without_events_leaves_other_days(spark, tmp_path):
     raw = raw_week(spark, str(tmp_path / "raw"))
     root = str(tmp_path / "daily")
     empty = collate.run_collation(raw, root, dt.date(2024, 1, 1))
-    assert empty.count() == 0
+    assert empty.summary.count() == 0
+    assert bag(empty.missing, "provider") == Counter({("Amtrak",): 1, ("Via",): 1})
     collate.run_collation(raw, root, dt.date(2025, 1, 5))
     collate.run_collation(raw, root, dt.date(2024, 1, 1))
-    assert collate.read_daily_table(spark, root).count() == 4
+    assert stores.read_daily_table(spark, root).count() == 4

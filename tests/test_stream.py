@@ -73,7 +73,10 @@ def test_batch_ingest(spark, tmp_path):
     now = dt.datetime(2025, 11, 15, 10, tzinfo=dt.timezone.utc)
     report = ingest.run_ingest(docs, tables(spark), raw, cutoff, now=now)
     assert report.cutoff == now
-    assert report.events == {"arrivals": 0, "departures": 2}
+    assert report.events == {"arrivals": 0, "departures": 2, "events_amtrak": 2, "events_via": 0,
+                             "events_brightline": 0}
+    assert report.snapshots == {"documents": 1, "rejected": 0, "trains": 1}
+    assert report.funnel["station_rows"] == report.funnel["rows_after_bus_removal"] == 2
     assert report.directions == {
         "primary_hits": 0, "secondary_hits": 2, "misses": 0, "match_rate_pct": 100.0}
     assert report.metrics == {"metrics_found": 2, "metrics_missing": 0, "match_rate_pct": 100.0}
@@ -83,3 +86,50 @@ def test_batch_ingest(spark, tmp_path):
     assert Counter(r["event_time"] for r in rows.collect()) == {
         "2025-11-15T08:00:00+00:00": 1, "2025-11-15T12:00:00+00:00": 2}
     assert {(r["Year"], r["Month"], r["Day"]) for r in rows.collect()} == {(2025, 11, 15)}
+
+
+def test_overlapping_snapshots_of_one_run_count_once(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "a.json", snapshot(MORNING, NOON))
+    land(landing, "b.json", snapshot(MORNING, NOON))
+    land(landing, "c.json", snapshot(MORNING)[:-3])
+    raw, bad = str(tmp_path / "raw"), str(tmp_path / "bad")
+    docs = snapshots.read_snapshots(spark, str(landing))
+    report = ingest.run_ingest(docs, tables(spark), raw, str(tmp_path / "cutoff"), quarantine=bad)
+    assert report.events["departures"] == 2 and report.snapshots["rejected"] == 1
+    assert raw_events.read_raw_events(spark, raw).count() == 2
+    kept = spark.read.json(bad).collect()
+    assert [r["violations"] for r in kept] == [1] and kept[0]["source"].endswith("c.json")
+
+
+def test_old_files_are_not_read_again(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "a.json", snapshot(MORNING))
+    now = dt.datetime.now(dt.timezone.utc)
+    assert snapshots.read_snapshots(spark, str(landing), landed_after=now - dt.timedelta(hours=1)).count() == 1
+    assert snapshots.read_snapshots(spark, str(landing), landed_after=now + dt.timedelta(hours=1)).count() == 0
+
+
+def test_a_date_far_ahead_loses_no_later_event(spark, tmp_path):
+    landing = tmp_path / "landing"
+
+    def run():
+        docs = snapshots.stream_snapshots(spark, str(landing), max_files_per_trigger=1)
+        found = ingest_stream.first_reports(ingest_stream.event_stream(docs, tables(spark)))
+        ingest_stream.write_event_stream(
+            found, str(tmp_path / "events"), str(tmp_path / "check"), once=True).awaitTermination()
+        return spark.read.parquet(str(tmp_path / "events")).count()
+
+    land(landing, "a.json", snapshot(LATER))
+    assert run() == 1
+    land(landing, "b.json", snapshot(MORNING, NOON))
+    assert run() == 3
+
+
+def test_a_repeated_batch_has_its_own_cutoff(spark, tmp_path):
+    path = str(tmp_path / "cutoff")
+    first, second = (dt.datetime(2025, 1, day, tzinfo=dt.timezone.utc) for day in (1, 2))
+    state.write_cutoff(spark, path, first, batch=0)
+    state.write_cutoff(spark, path, second, batch=1, before=first)
+    assert state.read_cutoff(spark, path, 1) == first
+    assert state.read_cutoff(spark, path, 2) == second == state.read_cutoff(spark, path)
