@@ -68,31 +68,36 @@ def shingle_hashes(text: str, shingle: int, seed: int) -> tuple[np.ndarray, list
     return np.array([digest(joined[b:e], seed) for b, e in zip(begins, ends[span:])], np.uint64), words
 
 
-def majority(hashes: np.ndarray) -> int:
-    """Bits that are set in over half of the hashes."""
-    ones = np.zeros(64, np.int64)
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """Per row of hashes, the bits that are set in over half of them, as one number."""
+    rows, n = hashes.shape
+    if not n:
+        return np.zeros(rows, np.uint64)
+    block = min(n, 255)
+    padded = np.zeros((rows, -(-n // block) * block), np.uint64)
+    padded[:, :n] = hashes
+    padded = padded.reshape(rows, -1, block)
+    ones = np.zeros((rows, 64), np.int64)
     lanes = np.uint64(0x0101010101010101)
     for shift in range(8):  # eight bits at a time, in byte lanes of at most 255 hashes
-        bits = (hashes >> np.uint64(shift)) & lanes
-        bits = np.concatenate([bits, np.zeros(-len(bits) % 255, np.uint64)]).reshape(-1, 255)
-        ones[shift::8] = bits.sum(1, dtype=np.uint64).astype("<u8").view(np.uint8).reshape(-1, 8).sum(
-            0, dtype=np.int64)
-    return sum(1 << bit for bit in np.flatnonzero(2 * ones > len(hashes)).tolist())
+        sums = ((padded >> np.uint64(shift)) & lanes).sum(2, dtype=np.uint64)
+        ones[:, shift::8] = sums.astype("<u8").view(np.uint8).reshape(rows, -1, 8).sum(1, dtype=np.int64)
+    return np.packbits(2 * ones > n, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 
 def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
-    return majority(shingle_hashes(text, shingle, seed)[0])
+    return int(majority(shingle_hashes(text, shingle, seed)[0][None, :])[0])
 
 
-def wide_majority(hashes: np.ndarray, words: int) -> bytes:
-    """``words`` times 64 bits, from as many hashes made of each one (SplitMix64's finish)."""
-    out = []
-    for k in range(words):
-        mixed = hashes + np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & 0xFFFFFFFFFFFFFFFF)
-        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        out.append(majority(mixed ^ (mixed >> np.uint64(31))))
-    return np.array(out, ">u8").tobytes()
+STEPS = np.array([(0x9E3779B97F4A7C15 * (k + 1)) & 0xFFFFFFFFFFFFFFFF for k in range(WIDE)], np.uint64)
+
+
+def wide_majority(hashes: np.ndarray) -> bytes:
+    """``WIDE`` times 64 bits, from as many hashes made of each one (SplitMix64's finish)."""
+    mixed = hashes[None, :] + STEPS[:, None]
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return majority(mixed ^ (mixed >> np.uint64(31))).astype(">u8").tobytes()
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
@@ -277,9 +282,9 @@ def wide_fingerprints(docs: DataFrame, shingle: int, seed: int = 42) -> DataFram
             prints, sets = [], []
             for text in batch["text"]:
                 hashes, words = shingle_hashes(text.as_py(), shingle, seed)
-                prints.append(wide_majority(hashes, WIDE))
+                prints.append(wide_majority(hashes))
                 each = [xxhash.xxh64_intdigest(word, seed) for word in set(words)]
-                sets.append(wide_majority(np.array(each, np.uint64), WIDE))
+                sets.append(wide_majority(np.array(each, np.uint64)))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(prints, pa.binary()), pa.array(sets, pa.binary())],
                 ["doc_id", "print", "words"])
