@@ -24,13 +24,15 @@ ROW_KEY = ("trip_id", "stop_sequence")
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = (),
-            how: str = "left") -> DataFrame:
+            how: str = "left", hot: bool = True) -> DataFrame:
     """Equi-join that keeps the left key columns; ``null_safe`` keys match null to null.
 
     The right side is mostly an aggregate on these very keys, and would join straight
     out of its aggregation. Adaptive execution can split a hot left key only if both
     sides come from a shuffle of their own; a hash of the keys as one more key asks for
     that, where the side is not broadcast, and gives the sort a number to start from.
+    Keys that are never ``hot``, such as trips with their tens of stops, do without, and
+    keep the partitioning that the aggregate has.
     """
     kinds, others = dict(left.dtypes), dict(right.dtypes)
     renamed = right.select(
@@ -38,7 +40,7 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: S
           for k in keys],
         *[c for c in right.columns if c not in keys],
     )
-    condition: Column = F.xxhash64(*keys) == F.xxhash64(*[f"_right_{k}" for k in keys])
+    condition: Column = F.xxhash64(*keys) == F.xxhash64(*[f"_right_{k}" for k in keys]) if hot else F.lit(True)
     for key in keys:
         lhs, rhs = F.col(key), F.col(f"_right_{key}")
         condition = condition & (lhs.eqNullSafe(rhs) if key in null_safe else lhs == rhs)
@@ -56,7 +58,7 @@ def with_clock_times(stop_times: DataFrame, extended_hours: bool = False) -> Dat
 def with_trips(stop_times: DataFrame, trips: DataFrame, feed: Sequence[str] = ()) -> DataFrame:
     """Stop times with the route and direction of their trip, null where the trip is unknown."""
     wanted = trips.select(*feed, "trip_id", "route_id", "direction_id")
-    return join_on(stop_times, wanted, [*feed, "trip_id"])
+    return join_on(stop_times, wanted, [*feed, "trip_id"], hot=False)
 
 
 def scheduled_stops(
@@ -101,7 +103,7 @@ def trip_starts(stops: DataFrame, feed: Sequence[str] = ()) -> DataFrame:
 def with_scheduled_travel_time(stops: DataFrame, feed: Sequence[str] = ()) -> DataFrame:
     """Seconds since the earliest arrival of the trip."""
     keys = [*feed, "trip_id"]
-    return _travel_time(join_on(stops, trip_starts(stops, feed), keys, null_safe=keys))
+    return _travel_time(join_on(stops, trip_starts(stops, feed), keys, null_safe=keys, hot=False))
 
 
 def _travel_time(stops: DataFrame) -> DataFrame:
@@ -116,7 +118,7 @@ def _stops_with_start(
     keys = [*feed, "trip_id"]
     timed = with_clock_times(stop_times, extended_hours)
     per_trip = with_trips(trip_starts(timed, feed), trips, feed)
-    return join_on(timed, per_trip, keys, null_safe=keys)
+    return join_on(timed, per_trip, keys, null_safe=keys, hot=False)
 
 
 def timetable_metrics(
@@ -169,7 +171,7 @@ def direction_by_last_stop(
 ) -> DataFrame:
     """Direction of the first trip, in file order, that ends at a stop."""
     ends = last_stop_per_trip(stop_times, feed)
-    ended = join_on(trips, ends, [*feed, "trip_id"]).where(F.col("headsign_stop_id").isNotNull())
+    ended = join_on(trips, ends, [*feed, "trip_id"], hot=False).where(F.col("headsign_stop_id").isNotNull())
     return _first_direction(ended, [*feed, "headsign_stop_id"])
 
 

@@ -126,12 +126,31 @@ def _train_violations(train: Column) -> Column:
     return own + F.coalesce(stations, F.lit(1)) + F.coalesce(alerts, F.lit(1))
 
 
+# How the kind of a leaf is written where no look at its value is needed.
+PLAIN_KINDS = {
+    "string": "STRING",
+    "double": r"(DOUBLE|BIGINT|DECIMAL\(\d+,\d+\))",
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+}
+
+
 def _struct_violations(value: Column, layout: T.StructType, optional: frozenset[str]) -> Column:
+    """Leaves that do not hold what they should, plus one for a missing struct.
+
+    The kinds of all leaves are asked for once and matched as one text; only where that
+    leaves doubts, each leaf is looked at.
+    """
+    scalars = [f for f in layout if not isinstance(f.dataType, T.ArrayType)]
+    absent = F.lit("ABSENT")
+    kinds = F.concat_ws(",", *[F.coalesce(F.schema_of_variant(value[f.name]), absent) for f in scalars])
+    plain = ",".join(
+        f"({PLAIN_KINDS[f.dataType.simpleString()]}|ABSENT|VOID)" if f.name in optional
+        else PLAIN_KINDS[f.dataType.simpleString()] for f in scalars)
     total = F.when(value.isNull(), F.lit(1)).otherwise(F.lit(0))
-    for field in layout:
-        if not isinstance(field.dataType, T.ArrayType):
-            total = total + _broken(value[field.name], field.dataType, field.name in optional)
-    return total
+    for field in scalars:
+        total = total + _broken(value[field.name], field.dataType, field.name in optional)
+    return F.when(kinds.rlike(f"^{plain}$"), F.lit(0)).otherwise(total)
 
 
 def _broken(leaf: Column, wanted: T.DataType, optional: bool) -> Column:
