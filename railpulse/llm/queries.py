@@ -90,6 +90,18 @@ def op8_itq_neardup(spark: SparkSession, sf: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf, "embeddings"))
 
 
+ORACLE_SQL["op8_itq_neardup"] = """
+with recursive v as (select vec_id, cast(embedding as double[]) e from embeddings),
+     l as (select a.vec_id a, b.vec_id b from v a join v b on a.vec_id <> b.vec_id
+           where list_cosine_similarity(a.e, b.e) >= 0.95),
+     r(vec_id, reached) as (select vec_id, vec_id from v
+                            union select r.vec_id, l.b from r join l on r.reached = l.a)
+select vec_id, (select count(*) from l where a = r.vec_id) n_links, min(reached) component_id,
+       vec_id = min(reached) kept
+from r group by vec_id
+"""
+
+
 @query
 def op9_simhash_pivots(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf, "documents"), shingle=4, seed=42, radius=4)
