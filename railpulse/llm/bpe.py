@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 from railpulse.llm import tokens
 from railpulse.llm.tables import whole_text
 
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 6_000_000
 PLAIN = re.compile("[^\x00-ӿ]")
 GONE, EDGE = -2, -1
 
