@@ -29,7 +29,8 @@ from pyspark.sql.column import Column
 
 from railpulse.llm.tables import whole_text
 
-DIMS, SYMBOLS, SEED, BATCH_CHARS = 1024, 2048, 11, 500_000
+DIMS, SYMBOLS, SEED = 1024, 2048, 11
+BATCH_CHARS, BATCH_TEXTS = 500_000, 400
 UNKNOWN = "und"
 Prototypes = tuple[list[str], np.ndarray]
 
@@ -54,13 +55,16 @@ def run_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     points = [np.frombuffer(text.lower().encode("utf-32-le"), "<u4") for text in texts]
     symbols = np.concatenate([part for p in points for part in (np.zeros(1, np.int16), symbol_of()[p])]
                              + [np.zeros(1, np.int16)])
-    owner = np.repeat(np.arange(len(texts)), [len(p) + 1 for p in points])
-    owner = np.append(owner, len(texts) - 1)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(p) + 1 for p in points])
+    owner = np.append(owner, owner[-1:])
     kept = np.ones(len(symbols), bool)
     kept[1:] = (symbols[1:] != 0) | (symbols[:-1] != 0)  # one edge between words
     symbols, owner = symbols[kept], owner[kept]
-    present, dense = np.unique(symbols, return_inverse=True)
+    present = np.flatnonzero(np.bincount(symbols, minlength=1))
     base = len(present)
+    dense = np.zeros(SYMBOLS, np.int32 if base ** 3 < 1 << 31 else np.int64)
+    dense[present] = np.arange(base)
+    dense = dense[symbols]
     runs = (dense[:-2] * base + dense[1:-1]) * base + dense[2:]
     lettered = (symbols[1:-1] != 0)
     runs, owner = runs[lettered], owner[1:-1][lettered]
@@ -85,10 +89,10 @@ def profiles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_groups(texts: list[str], limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts with about ``limit`` characters."""
+    """Bounds of runs of at most so many texts with about ``limit`` characters."""
     first, size = 0, 0
     for k, text in enumerate(texts):
-        if k > first and size + len(text) > limit:
+        if k > first and (size + len(text) > limit or k - first >= BATCH_TEXTS):
             yield first, k
             first, size = k, 0
         size += len(text)
