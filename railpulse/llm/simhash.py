@@ -25,7 +25,12 @@ untouched blocks, so fingerprints are ``WIDE`` words long there and pairs meet i
 sampled bits of a second fingerprint, that of the set of words, which changes far less by an
 edit than shingles do. The number of bits grows with the logarithm of the number of texts, so
 that a text meets equally few others by chance at any size, and the number of keys follows
-from the bits and the wanted ``RECALL``. Pairs that meet are judged by the wide fingerprints.
+from the bits and the wanted ``RECALL``. The wide fingerprints only discard pairs that are
+clearly less alike: those that pass are joined to their shingle sets, and link if their
+Jaccard similarity is at least the one asked for. That is done twice, so that a dense group of
+m texts does not make m² rows: first for a spanning forest of each key's pairs, then for all
+pairs that what was verified has not connected yet. So every pair that meets and passes the
+filter is either verified or connected by links that are.
 
 Null texts are empty, null ids keep their rows and never name a component (a component of
 null ids only has a null name), repeated rows stay. Other columns are ignored.
@@ -50,7 +55,7 @@ from railpulse.operators.timetable import join_on
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 RADIUS, KEPT, PIVOTS, BLOCK = 4, 3, 32, 4096
-WIDE, RECALL, SPREAD = 8, 0.98, 1.75
+WIDE, RECALL, SPREAD = 8, 0.98, 5.5
 
 
 def shingle_hashes(text: str, shingle: int, seed: int) -> tuple[np.ndarray, list[bytes]]:
@@ -131,17 +136,20 @@ def reference_fingerprints(number: int = PIVOTS, words: int = 1, seed: int = 9)
 
 
 def links_within(prints: np.ndarray, pivots: np.ndarray, radius: int, sides: np.ndarray | None = None,
-                 earlier: np.ndarray | None = None) -> list[tuple[int, int]]:
+                 earlier: np.ndarray | None = None, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Spanning forest of the links of one key's fingerprints (a row each), as pairs of rows.
 
     With ``sides``, only pairs from different sides count. With ``earlier``, the masks of
     keys before this one, pairs that have such a key in common don't, as they meet there.
+    With ``known``, the components so far, it is no forest but all pairs across them.
     """
     table = np.stack([distances(prints, pivot) for pivot in pivots], 1)
     order = np.argsort(table[:, 0], kind="stable")
     prints, table = prints[order], table[order]
     if sides is not None:
         sides = sides[order]
+    if known is not None:
+        known = known[order]
     stops = np.searchsorted(table[:, 0], table[:, 0] + radius, "right")
     root = list(range(len(prints)))
 
@@ -161,6 +169,9 @@ def links_within(prints: np.ndarray, pivots: np.ndarray, radius: int, sides: np.
         near = near[distances(prints[i], prints[near]) <= radius]
         if sides is not None:
             near = near[sides[near] != sides[i]]
+        if known is not None:
+            forest += [(int(order[i]), int(order[j])) for j in near[known[near] != known[i]].tolist()]
+            continue
         for j in near.tolist():
             if earlier is not None and ((prints[i] ^ prints[j]) & earlier == 0).any():
                 continue
@@ -176,7 +187,8 @@ def bucket_links(keyed: DataFrame, radius: int, pivots: np.ndarray, masks: np.nd
     """Pairs ``a, b`` of nodes that connect those within ``radius`` that share a ``tab, key``.
 
     ``keyed``: ``tab, key, node, print`` with the fingerprint's words as big-endian bytes. Rows of keys
-    with more than ``block`` rows go to every pair of blocks with their own.
+    with more than ``block`` rows go to every pair of blocks with their own. If there is a column
+    ``known``, the component so far, the pairs are all those across components.
     """
     large = keyed.groupBy("tab", "key").count().where(F.col("count") > block).select(
         "tab", "key", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
@@ -185,9 +197,9 @@ def bucket_links(keyed: DataFrame, radius: int, pivots: np.ndarray, masks: np.nd
     dealt = dealt.withColumn("own", F.coalesce(own, F.lit(0))).withColumn("other", F.explode(
         F.when(F.col("blocks").isNull(), F.array(F.lit(0)))
         .otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    names = ["tab", "key", "low", "high"]
+    names, more = ["tab", "key", "low", "high"], [c for c in keyed.columns if c == "known"]
     dealt = dealt.select("tab", "key", F.least("own", "other").alias("low"),
-                         F.greatest("own", "other").alias("high"), "node", "own", "print")
+                         F.greatest("own", "other").alias("high"), "node", "own", "print", *more)
     words = pivots.shape[1]
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +213,9 @@ def bucket_links(keyed: DataFrame, radius: int, pivots: np.ndarray, masks: np.nd
                 nodes, prints = columns[4][begin:end], columns[6][begin:end]
                 sides = columns[5][begin:end] if columns[2][begin] != columns[3][begin] else None
                 earlier = masks[:columns[0][begin]] if masks is not None else None
-                found += [(nodes[i], nodes[j]) for i, j in links_within(prints, pivots, radius, sides, earlier)]
+                known = columns[7][begin:end] if more else None
+                found += [(nodes[i], nodes[j])
+                          for i, j in links_within(prints, pivots, radius, sides, earlier, known)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*found)], ["a", "b"])
 
@@ -211,6 +225,7 @@ def bucket_links(keyed: DataFrame, radius: int, pivots: np.ndarray, masks: np.nd
             columns = [batch[c].to_numpy().astype(np.int64) for c in (*names, "node", "own")]
             columns.append(np.frombuffer(b"".join(batch["print"].to_pylist()), ">u8").reshape(-1, words)
                            .astype(np.uint64))
+            columns += [batch[c].to_numpy().astype(np.int64) for c in more]
             columns = [np.concatenate(pair) for pair in zip(held, columns)] if held else columns
             keys = np.stack(columns[:4])
             ended = np.flatnonzero((keys != keys[:, -1:]).any(0))
@@ -275,31 +290,61 @@ def sampled_keys(n_texts: int, similarity: float, shingle: int, recall: float =
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int, seed: int = 42) -> DataFrame:
-    """``doc_id``, ``print`` of the shingles and ``words`` of the set of words, as bytes."""
+    """``doc_id``, ``print`` of the shingles, ``words`` of the set of words, ``digest`` of the set of shingles."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, sets = [], []
+            prints, sets, digests = [], [], []
             for text in batch["text"]:
                 hashes, words = shingle_hashes(text.as_py(), shingle, seed)
                 prints.append(wide_majority(hashes))
+                digests.append(xxhash.xxh128_digest(np.unique(hashes).tobytes()))
                 each = [xxhash.xxh64_intdigest(word, seed) for word in set(words)]
                 sets.append(wide_majority(np.array(each, np.uint64)))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(prints, pa.binary()), pa.array(sets, pa.binary())],
-                ["doc_id", "print", "words"])
+                [batch["doc_id"], *[pa.array(made, pa.binary()) for made in (prints, sets, digests)]],
+                ["doc_id", "print", "words", "digest"])
 
     return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(
-        rows, "doc_id long, print binary, words binary")
+        rows, "doc_id long, print binary, words binary, digest binary")
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int, seed: int = 42) -> DataFrame:
+    """``node, hashes``: the set of shingles of every text of these nodes, which are ids."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 200):  # sets are larger than texts
+                part = batch.slice(first, 200)
+                sets = [np.unique(shingle_hashes(text.as_py(), shingle, seed)[0]).view(np.int64)
+                        for text in part["text"]]
+                yield pa.RecordBatch.from_arrays([part["node"], pa.array(sets, pa.list_(pa.int64()))],
+                                                 ["node", "hashes"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), whole_text().alias("text"))
+    # Nodes with a candidate grow with the documents, so they are never broadcast.
+    return texts.join(nodes.hint("merge"), "node", "left_semi").mapInArrow(
+        rows, "node long, hashes array<long>").dropDuplicates(["node", "hashes"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a, b`` with sets of at least this Jaccard similarity."""
+    one = sets.select(F.col("node").alias("a"), F.col("hashes").alias("a_hashes"))
+    two = sets.select(F.col("node").alias("b"), F.col("hashes").alias("b_hashes"))
+    met = join_on(join_on(pairs, one, ["a"], how="inner"), two, ["b"], how="inner")
+    sizes = F.size("a_hashes"), F.size("b_hashes")
+    least = F.ceil((sizes[0] + sizes[1]) * similarity / (1 + similarity) - 1e-9)  # of what both have
+    return met.where((F.least(*sizes) >= least) & (F.size(F.array_intersect("a_hashes", "b_hashes")) >= least)).select(
+        "a", "b").distinct()
 
 
 def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``doc_id, component_id`` of the smallest id of each group of equal fingerprints.
+    """``doc_id, component_id`` of the smallest id of each group of equal sets of shingles.
 
     Groups whose ids are all null are left out.
     """
     prints = stored(wide_fingerprints(docs, shingle), "fingerprints")
-    groups = stored(prints.groupBy("print", "words").agg(F.min("doc_id").alias("node"))
+    groups = stored(prints.groupBy("digest", "print", "words").agg(F.min("doc_id").alias("node"))
                     .where("node is not null"), "groups")
     sampled = sampled_keys(groups.count(), similarity, shingle)
     powers = np.int64(1) << np.arange(sampled.shape[1], dtype=np.int64)
@@ -314,12 +359,27 @@ def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8
                 rows = pa.array(np.tile(np.arange(part.num_rows), len(sampled)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(np.arange(len(sampled), dtype=np.int32), part.num_rows)),
-                     pa.array(found.ravel()), part["node"].take(rows), part["print"].take(rows)],
-                    ["tab", "key", "node", "print"])
-
-    keyed = groups.select("node", "print", "words").mapInArrow(keys, "tab int, key long, node long, print binary")
-    pairs = bucket_links(keyed, wide_radius(similarity), reference_fingerprints(8, WIDE))
-    linked = connected_components(stored(pairs, "pairs"))
+                     pa.array(found.ravel()), *[part[c].take(rows) for c in part.schema.names if c != "words"]],
+                    ["tab", "key", *[c for c in part.schema.names if c != "words"]])
+
+    def candidates(of: DataFrame) -> DataFrame:
+        fields = "".join(f", {c} {t}" for c, t in of.dtypes if c != "words")
+        pairs = bucket_links(of.mapInArrow(keys, f"tab int, key long{fields}"), wide_radius(similarity),
+                             reference_fingerprints(8, WIDE))
+        return stored(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                      .distinct(), "candidates")
+
+    forest = candidates(groups.select("node", "print", "words"))
+    # Who passes the filter with anyone is in the forest of the key where they meet.
+    nodes = stored(forest.select(F.col("a").alias("node")).unionAll(forest.select("b")).distinct(), "nodes")
+    sets = stored(shingle_sets(docs, nodes, shingle), "sets")
+    links = stored(verified(forest, sets, similarity), "verified")
+    linked = connected_components(links)
+    known = join_on(nodes, linked, ["node"]).select("node", F.coalesce("component", "node").alias("known"))
+    rest = candidates(join_on(groups.select("node", "print", "words"), known, ["node"], how="inner"))
+    more = stored(verified(rest, sets, similarity), "verified")
+    if not more.isEmpty():
+        linked = connected_components(links.unionAll(more))
     return join_on(groups.select("node"), linked, ["node"]).select(
         F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("component_id"))
 

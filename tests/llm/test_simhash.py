@@ -134,6 +134,31 @@ def test_similar_documents(spark):
     assert kept == {k for k, c in component.items() if k == c}
 
 
+def test_texts_below_the_similarity_stay_apart(spark):
+    source = np.random.default_rng(7)
+    texts = [" ".join(f"w{source.integers(20_000)}" for _ in range(300)) for _ in range(60)]
+    pairs = []
+    for k in range(60):
+        texts.append(edited(texts[k].split(), source.choice([0.026, 0.034, 0.045]), source))
+        pairs.append((k, len(texts) - 1, jaccard(texts[k], texts[-1])))
+    below = {k for a, b, j in pairs if j < 0.8 for k in (a, b)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    component = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs).collect()}
+    assert sum(0.7 < j < 0.8 for _, _, j in pairs) > 20
+    assert all(component[k] == k for k in below)
+
+
+def test_dense_group_is_verified_whole(spark):
+    """Copies of a text that are alike only by way of it: none is lost, and few pairs leave the keys."""
+    source = np.random.default_rng(8)
+    first = [f"w{source.integers(20_000)}" for _ in range(400)]
+    texts = [" ".join(first), *[edited(first, 0.0175, source) for _ in range(40)]]
+    want = [jaccard(texts[0], t) >= 0.8 for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = simhash.similar_documents(docs).collect()
+    assert sum(want) > 30 and all(r["component_id"] == 0 for r in found if want[r["doc_id"]])
+
+
 def test_first_of_each_of_unusual_rows(spark):
     kept = simhash.first_of_each(cases.unusual(spark)).collect()
     # 1 and 6 are copies; 2 and 3 have no words; the row without an id stays.
