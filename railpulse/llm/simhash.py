@@ -22,10 +22,10 @@ Links: the fingerprints within ``radius`` bits of each other.
 ``similar_documents`` is the same for a similarity of shingle sets instead of a few bits. A
 Jaccard similarity of 0.8 leaves some ten of 64 bits different, too many for keys of
 untouched blocks, so fingerprints are ``WIDE`` words long there and pairs meet in keys of
-sampled bits of a second fingerprint, that of the set of words, which changes far less by an
-edit than shingles do. The number of bits grows with the logarithm of the number of texts, so
-that a text meets equally few others by chance at any size, and the number of keys follows
-from the bits and the wanted ``RECALL``. The wide fingerprints only discard pairs that are
+``BAND`` minima of the hashed shingles (MinHash). Sets agree in a minimum with the probability
+of their similarity, however the texts were edited, and texts that share little meet nowhere at
+any number of texts; so the number of keys follows from the similarity and the wanted
+``RECALL`` alone. The wide fingerprints only discard pairs that are
 clearly less alike: those that pass are joined to their shingle sets, and link if their
 Jaccard similarity is at least the one asked for. That is done twice, so that a dense group of
 m texts does not make m² rows: first for a spanning forest of each key's pairs, then for all
@@ -41,6 +41,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -55,7 +56,7 @@ from railpulse.operators.timetable import join_on
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 RADIUS, KEPT, PIVOTS, BLOCK = 4, 3, 32, 4096
-WIDE, RECALL, SPREAD = 8, 0.98, 5.5
+WIDE, RECALL, SPREAD, BAND = 8, 0.995, 5.5, 5
 
 
 def shingle_hashes(text: str, shingle: int, seed: int) -> tuple[np.ndarray, list[bytes]]:
@@ -275,38 +276,46 @@ def wide_radius(similarity: float, words: int = WIDE) -> int:
     return round(bits * share + SPREAD * math.sqrt(bits * share * (1 - share)))
 
 
-def sampled_keys(n_texts: int, similarity: float, shingle: int, recall: float = RECALL) -> np.ndarray:
-    """Bits of the fingerprint of the words that make up each key, a row per key.
+def number_of_keys(similarity: float, recall: float = RECALL) -> int:
+    """Keys of ``BAND`` minima so that sets of this similarity share one with the wanted probability."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - similarity ** BAND))
 
-    An edited word touches ``shingle`` shingles, so word sets are as alike as sets of which
-    a ``shingle``-th of the shingles that differ do.
-    """
-    length = max(12, math.ceil(math.log2(max(n_texts, 1))) + 4)
-    apart = (1 - similarity) / (1 + similarity) / shingle  # share of either text's words that is not in the other
-    agree = 1 - math.acos(1 - 1.5 * apart) / math.pi
-    number = math.ceil(math.log(1 - recall) / math.log(1 - agree ** length))
-    source = np.random.default_rng(3)
-    return np.stack([source.choice(64 * WIDE, length, replace=False) for _ in range(number)])
+
+@cache
+def permutations(number: int) -> tuple[np.ndarray, np.ndarray]:
+    drawn = np.random.default_rng(3).integers(0, 1 << 64, (2, number, 1), np.uint64)
+    return drawn[0], drawn[1] | np.uint64(1)
+
+
+def minima_keys(hashes: np.ndarray, keys: int) -> list[int]:
+    """A key per ``BAND`` minima of the hashes, each under a permutation of its own; a set's keys."""
+    masks, factors = permutations(keys * BAND)
+    least = np.full(keys * BAND, np.iinfo(np.uint64).max)
+    for first in range(0, len(hashes), 1024):
+        mixed = (hashes[None, first:first + 1024] ^ masks) * factors
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(31))).min(1))
+    return [xxhash.xxh64_intdigest(band.tobytes()) for band in least.reshape(keys, BAND)]
 
 
-def wide_fingerprints(docs: DataFrame, shingle: int, seed: int = 42) -> DataFrame:
-    """``doc_id``, ``print`` of the shingles, ``words`` of the set of words, ``digest`` of the set of shingles."""
+def wide_fingerprints(docs: DataFrame, shingle: int, keys: int, seed: int = 42) -> DataFrame:
+    """``doc_id``, ``print`` of the shingles, ``minima``, the keys of their set, and its ``digest``, as bytes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, sets, digests = [], [], []
+            prints, minima, digests = [], [], []
             for text in batch["text"]:
-                hashes, words = shingle_hashes(text.as_py(), shingle, seed)
+                hashes = shingle_hashes(text.as_py(), shingle, seed)[0]
+                distinct = np.unique(hashes)
                 prints.append(wide_majority(hashes))
-                digests.append(xxhash.xxh128_digest(np.unique(hashes).tobytes()))
-                each = [xxhash.xxh64_intdigest(word, seed) for word in set(words)]
-                sets.append(wide_majority(np.array(each, np.uint64)))
+                minima.append(np.array(minima_keys(distinct, keys), np.uint64).tobytes())
+                digests.append(xxhash.xxh128_digest(distinct.tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *[pa.array(made, pa.binary()) for made in (prints, sets, digests)]],
-                ["doc_id", "print", "words", "digest"])
+                [batch["doc_id"], *[pa.array(made, pa.binary()) for made in (prints, minima, digests)]],
+                ["doc_id", "print", "minima", "digest"])
 
     return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(
-        rows, "doc_id long, print binary, words binary, digest binary")
+        rows, "doc_id long, print binary, minima binary, digest binary")
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int, seed: int = 42) -> DataFrame:
@@ -343,40 +352,37 @@ def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8
 
     Groups whose ids are all null are left out.
     """
-    prints = stored(wide_fingerprints(docs, shingle), "fingerprints")
-    groups = stored(prints.groupBy("digest", "print", "words").agg(F.min("doc_id").alias("node"))
+    number = number_of_keys(similarity)
+    prints = stored(wide_fingerprints(docs, shingle, number), "fingerprints")
+    groups = stored(prints.groupBy("digest", "print", "minima").agg(F.min("doc_id").alias("node"))
                     .where("node is not null"), "groups")
-    sampled = sampled_keys(groups.count(), similarity, shingle)
-    powers = np.int64(1) << np.arange(sampled.shape[1], dtype=np.int64)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 2000):
                 part = batch.slice(first, 2000)
-                raw = np.frombuffer(b"".join(part["words"].to_pylist()), np.uint8).reshape(part.num_rows, -1)
-                bits = np.unpackbits(raw, axis=1)
-                found = np.stack([bits[:, chosen] @ powers for chosen in sampled])
-                rows = pa.array(np.tile(np.arange(part.num_rows), len(sampled)))
+                found = np.frombuffer(b"".join(part["minima"].to_pylist()), np.int64).reshape(-1, number).T
+                rows = pa.array(np.tile(np.arange(part.num_rows), number))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.arange(len(sampled), dtype=np.int32), part.num_rows)),
-                     pa.array(found.ravel()), *[part[c].take(rows) for c in part.schema.names if c != "words"]],
-                    ["tab", "key", *[c for c in part.schema.names if c != "words"]])
+                    [pa.array(np.repeat(np.arange(number, dtype=np.int32), part.num_rows)),
+                     pa.array(found.ravel()), *[part[c].take(rows) for c in part.schema.names if c != "minima"]],
+                    ["tab", "key", *[c for c in part.schema.names if c != "minima"]])
 
     def candidates(of: DataFrame) -> DataFrame:
-        fields = "".join(f", {c} {t}" for c, t in of.dtypes if c != "words")
+        fields = "".join(f", {c} {t}" for c, t in of.dtypes if c != "minima")
         pairs = bucket_links(of.mapInArrow(keys, f"tab int, key long{fields}"), wide_radius(similarity),
                              reference_fingerprints(8, WIDE))
         return stored(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                       .distinct(), "candidates")
 
-    forest = candidates(groups.select("node", "print", "words"))
+    forest = candidates(groups.select("node", "print", "minima"))
     # Who passes the filter with anyone is in the forest of the key where they meet.
     nodes = stored(forest.select(F.col("a").alias("node")).unionAll(forest.select("b")).distinct(), "nodes")
     sets = stored(shingle_sets(docs, nodes, shingle), "sets")
     links = stored(verified(forest, sets, similarity), "verified")
     linked = connected_components(links)
     known = join_on(nodes, linked, ["node"]).select("node", F.coalesce("component", "node").alias("known"))
-    rest = candidates(join_on(groups.select("node", "print", "words"), known, ["node"], how="inner"))
+    rest = candidates(join_on(groups.select("node", "print", "minima"), known, ["node"], how="inner"))
     more = stored(verified(rest, sets, similarity), "verified")
     if not more.isEmpty():
         linked = connected_components(links.unionAll(more))

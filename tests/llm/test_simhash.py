@@ -134,6 +134,29 @@ def test_similar_documents(spark):
     assert kept == {k for k, c in component.items() if k == c}
 
 
+def test_passages_added_and_removed_meet_at_the_promised_rate():
+    """Pairs just above 0.8 by one contiguous edit; the rate can't depend on the number of texts."""
+    source, number = np.random.default_rng(9), simhash.number_of_keys(0.8)
+    met = []
+    for k in range(1500):
+        words = [f"w{source.integers(1 << 30)}" for _ in range(260)]
+        other = [*words, *[f"w{source.integers(1 << 30)}" for _ in range(62)]] if k % 2 else [*words[:90], *words[134:]]
+        assert 0.8 <= jaccard(" ".join(words), " ".join(other)) < 0.82
+        a, b = (simhash.minima_keys(np.unique(simhash.shingle_hashes(" ".join(t), 5, 42)[0]), number)
+                for t in (words, other))
+        met.append(any(x == y for x, y in zip(a, b)))
+    assert np.mean(met) >= 0.985
+
+
+def test_texts_with_an_added_passage_link(spark):
+    source = np.random.default_rng(10)
+    texts = [" ".join(f"w{source.integers(20_000)}" for _ in range(300)) for _ in range(80)]
+    texts += [t + "".join(f" w{source.integers(20_000)}" for _ in range(66)) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    component = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs).collect()}
+    assert sum(component[k + 80] == k for k in range(80)) >= 78
+
+
 def test_texts_below_the_similarity_stay_apart(spark):
     source = np.random.default_rng(7)
     texts = [" ".join(f"w{source.integers(20_000)}" for _ in range(300)) for _ in range(60)]
