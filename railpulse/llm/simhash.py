@@ -299,15 +299,14 @@ def minima_keys(hashes: np.ndarray, keys: int) -> list[int]:
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int, keys: int, seed: int = 42) -> DataFrame:
-    """``doc_id``, ``print`` of the shingles, ``minima``, the keys of their set, and its ``digest``, as bytes."""
+    """``doc_id`` and, of the set of shingles, ``print``, ``minima``, which are its keys, and ``digest``, as bytes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints, minima, digests = [], [], []
             for text in batch["text"]:
-                hashes = shingle_hashes(text.as_py(), shingle, seed)[0]
-                distinct = np.unique(hashes)
-                prints.append(wide_majority(hashes))
+                distinct = np.unique(shingle_hashes(text.as_py(), shingle, seed)[0])  # a repeat counts once
+                prints.append(wide_majority(distinct))
                 minima.append(np.array(minima_keys(distinct, keys), np.uint64).tobytes())
                 digests.append(xxhash.xxh128_digest(distinct.tobytes()))
             yield pa.RecordBatch.from_arrays(

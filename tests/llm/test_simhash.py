@@ -157,6 +157,15 @@ def test_texts_with_an_added_passage_link(spark):
     assert sum(component[k + 80] == k for k in range(80)) >= 78
 
 
+def test_repeats_of_a_line_count_once(spark):
+    source = np.random.default_rng(11)
+    words = [f"w{source.integers(20_000)}" for _ in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, *(["again and again the same line"] * 500)])),
+            (3, " ".join([*reversed(words), *(["again and again the same line"] * 500)]))]
+    found = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == [(1, 1), (2, 1), (3, 3)]
+
+
 def test_texts_below_the_similarity_stay_apart(spark):
     source = np.random.default_rng(7)
     texts = [" ".join(f"w{source.integers(20_000)}" for _ in range(300)) for _ in range(60)]
