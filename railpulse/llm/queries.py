@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from railpulse.llm import (
     bpe,
+    byte_bpe,
     embeddings,
     fingerprints,
     langid,
@@ -134,3 +135,13 @@ def op6_hyperdimensional_langid(spark: SparkSession, sf: str) -> DataFrame:
     prototypes = langid.learned(docs, may_learn=remainder(4) != 2)
     return langid.predicted(docs, prototypes).select(
         "doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op13_scanned_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = byte_bpe.decoded(byte_bpe.encoded(read(spark, sf, "documents"), ranks), ranks)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("content", 256).alias("decoded_sha256"))
