@@ -15,6 +15,7 @@ from railpulse.llm import (
     fingerprints,
     langid,
     packing,
+    periodic_runs,
     sharding,
     simhash,
     token_files,
@@ -145,3 +146,20 @@ def op13_scanned_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("content", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_recompression_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = periodic_runs.with_planted_repeats(read(spark, sf, "documents"))
+    runs = F.col("runs")
+    line = F.transform(runs, lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                   r["period"].cast("string")))
+    # Lengths and periods are exact integers far below 2^31, so cross products fit a long.
+    best = F.aggregate(runs, F.get(runs, F.lit(0)), lambda top, r: F.when(
+        r["length"] * top["period"] > top["length"] * r["period"], r).otherwise(top))
+    return periodic_runs.periodic_runs(docs).withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start"), F.col("best.length"), F.col("best.period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
