@@ -1,0 +1,134 @@
+"""Counts, scores and ranks of phrases against brute force."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from railpulse.llm import collocations
+from railpulse.llm.queries import op12_counted_collocations
+from tests.llm import cases
+
+
+def spelled(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    return [[w for w in re.split("[ \t]+", piece) if w] for piece in re.split("[.,;:!?\n\x0b\x0c\r]", lowered)]
+
+
+def brute(rows, least, longest=5, top=2000):
+    """Rows of the result from pairs of language and text."""
+    counts, totals = {}, Counter()
+    for lang, text in rows:
+        own = counts.setdefault(lang or "und", Counter())
+        for words in spelled(text or ""):
+            totals[lang or "und"] += len(words)
+            for k in range(1, longest + 1):
+                own.update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
+    found = []
+    for lang, own in counts.items():
+        frequent = {p: n for p, n in own.items() if n >= least}
+        n, ranked = totals[lang], []
+        inside = Counter()
+        for p, a in frequent.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    inside[p[i:i + size]] = max(inside[p[i:i + size]], a)
+        for p, a in frequent.items():
+            if len(p) > 1 and inside[p] < a:
+                score, k = min((1000 * a * n // (own[p[:k]] * own[p[k:]]), k) for k in range(1, len(p)))
+                ranked.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(ranked)[:top], 1):
+            found.append((lang, rank, phrase.decode(), -a, l, r, n, -score))
+    return sorted(found)
+
+
+def corpus(seed, texts=300):
+    """Texts of a few words, so that phrases repeat; some become frequent late."""
+    rng = np.random.default_rng(seed)
+    words = np.array(["The", "of", "a", "É", "é", "new", "York", "city", "x", "日本"])
+    rows = []
+    for i in range(texts):
+        drawn = words[rng.zipf(1.4, 30) % len(words)].tolist()
+        if i > texts * 0.7:
+            drawn += ["late", "comers", "meet", "again", "today"] * 2
+        marks = rng.choice([" ", " ", " ", "\t", ", ", ".", "\n"], len(drawn)).tolist()
+        rows.append((i, ["en", "de", None][i % 3], "".join(w + m for w, m in zip(drawn, marks))))
+    return rows
+
+
+@pytest.mark.parametrize("shards, least, slots", [(1, 8, 1 << 24), (3, 8, 1 << 24), (4, 20, 16), (5, 3, 1)])
+def test_against_brute_force(spark, monkeypatch, shards, least, slots):
+    monkeypatch.setattr(collocations, "MAX_SLOTS", slots)  # of few, nearly all phrases share theirs
+    monkeypatch.setattr(collocations, "ROW_TOKENS", 50)
+    monkeypatch.setattr(collocations, "SCAN_TOKENS", 200)
+    rows = corpus(shards)
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    found = sorted(tuple(r) for r in collocations.collocations(docs, least=least, shards=shards).collect())
+    want = brute([(lang, text) for _, lang, text in rows], least)
+    assert len(want) > 10 and found == want
+
+
+def test_top_and_ties(spark):
+    rows = [(i, "en", "b c. a b. c d. d a") for i in range(9)] + [(9, "en", "a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    found = sorted(tuple(r) for r in collocations.collocations(docs, least=9, top=3).collect())
+    assert found == brute([r[1:] for r in rows], 9, top=3) and len(found) == 3
+
+
+def test_hash_collisions(spark, monkeypatch):
+    plain = collocations.xxhash.xxh64_intdigest
+
+    class Colliding:
+        @staticmethod
+        def xxh64_intdigest(word, seed=0):
+            return 77 if seed == 0 and word in (b"of", b"the") else plain(word, seed)
+
+    monkeypatch.setattr(collocations, "xxhash", Colliding)
+    numbers = collocations._Numbers(0)
+    assert numbers[b"of"] == numbers[b"the"] and collocations._Numbers(1)[b"of"] != 77
+    phrases = np.array([[1, 2], [3, 4], [1, 2], [5, 6]], np.uint64)
+    found, which, n = collocations.summed(phrases, np.array([9, 9, 9, 7], np.uint64))  # hashes that collide
+    assert sorted(zip(found.tolist(), n.tolist())) == [([1, 2], 2), ([3, 4], 1), ([5, 6], 1)]
+    assert (phrases[which] == found).all()
+
+
+def test_words_that_share_a_number_are_hashed_anew(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "en", "a b a b")], "doc_id long, lang string, text string")
+    made = collocations._spelled
+
+    def merging(seed, shards):
+        return made(seed, shards) if seed else lambda batches: map(_merged, made(0, shards)(batches))
+
+    monkeypatch.setattr(collocations, "_spelled", merging)
+    words = {r["word"] for r in collocations.Corpus(docs).words.collect()}
+    assert words == {"a", "b"}
+
+
+def _merged(batch):
+    """All words of a dictionary batch with the number of the first."""
+    import pyarrow as pa
+
+    numbers = batch["number"].to_pylist()
+    return batch.set_column(3, "number", pa.array([numbers[0]] * len(numbers), pa.binary()))
+
+
+def test_large_counts_are_exact(spark):
+    rows = [("en", b"\1" * 8, 10**12 + 7), ("en", b"\2" * 8, 10**12 + 9), ("en", b"\1" * 8 + b"\2" * 8, 10**12 - 1)]
+    phrases = spark.createDataFrame([(a, bytearray(b), n) for a, b, n in rows], "lang string, words binary, n long")
+    totals = spark.createDataFrame([("en", 16 * 10**12 + 1)], "lang string, n long")
+    row = collocations._scored(phrases, totals).first()
+    assert row["score"] == 1000 * (10**12 - 1) * (16 * 10**12 + 1) // ((10**12 + 7) * (10**12 + 9))
+
+
+def test_unusual_tables(spark):
+    for clashing in (False, True):
+        docs = cases.unusual(spark, clashing)
+        found = sorted(tuple(r) for r in collocations.collocations(docs, least=2).collect())
+        assert found == brute([(r[2], r[1]) for r in cases.ROWS], 2)
+    assert collocations.collocations(cases.empty(spark)).count() == 0
+
+
+def test_query_over_the_whole_table(spark, sf001):
+    rows = [(r["lang"], r["text"]) for r in spark.read.parquet(f"{sf001}/documents.parquet").collect()]
+    assert sorted(tuple(r) for r in op12_counted_collocations(spark, sf001).collect()) == brute(rows, 100)
