@@ -12,9 +12,9 @@ two to five cycles for phrases of five words.
   nothing or too early: a phrase's count in a shard is the same whenever it is taken, and is kept
   by shard, so no count is wrong and none is added twice. With far more frequent phrases than
   slots more is counted for nothing; the table never grows beyond its bound.
-* Words are 64-bit hashes. All words are grouped by hash first; if two share one, everything is
-  hashed anew with another seed. Phrases are the hashes of their words side by side, not a
-  hash of a hash.
+* Words are 64-bit hashes, seeded by the language, so that a phrase tells its language. All words
+  are grouped by hash first; if two share one, everything is hashed anew with another seed.
+  Phrases are the hashes of their words side by side, not a hash of a hash.
 * Counts are summed in each task, then by shuffle together with those of the steps before.
   Phrases whose cycle is over and that have fewer than ``least`` are dropped.
 
@@ -40,10 +40,10 @@ from railpulse.llm.tables import stored, whole_text
 from railpulse.operators.timetable import join_on
 from railpulse.session import shared_folder
 
-LEAST, LONGEST, SHARDS, TOP = 100, 5, 4, 2000
+LEAST, LONGEST, SHARDS, TOP = 100, 5, 2, 2000
 FIRST_SLOTS, MAX_SLOTS, SLOTS_PER_PHRASE = 1 << 10, 1 << 24, 32  # powers of two
 ROW_TOKENS = 1 << 17  # numbers in a stored row
-SCAN_TOKENS = 1 << 22  # numbers whose phrases a task sums at once
+SCAN_TOKENS = 1 << 20  # numbers whose phrases a task sums at once
 SALTS = 64
 UNKNOWN = "und"
 DICTIONARY = -1
@@ -57,16 +57,20 @@ PIECE_END, NO_WORD = 0, 1  # numbers that are no words
 
 
 class _Numbers(dict):
-    """Number of each word: its hash."""
+    """Number of each word of a language: its hash."""
 
-    def __init__(self, seed: int):
+    def __init__(self, lang: str, seed: int):
         super().__init__({b"\n": PIECE_END, b"": NO_WORD})
-        self.seed = seed
+        self.seed = xxhash.xxh64_intdigest(lang, seed)
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = max(2, xxhash.xxh64_intdigest(word, self.seed))
         return number
 
+    def entries(self, first: int) -> tuple[list[bytes], list[str]]:
+        entries = list(self.items())[first:]
+        return [n.to_bytes(8, "little") for _, n in entries], [w.decode() for w, _ in entries]
+
 
 def word_numbers(text: str, numbers: dict[bytes, int]) -> np.ndarray:
     """Numbers of the words of a text, each piece followed by the number of its end."""
@@ -75,44 +79,54 @@ def word_numbers(text: str, numbers: dict[bytes, int]) -> np.ndarray:
     return found[found != NO_WORD]
 
 
+STORED = "part int, tokens binary, number binary, lang string, word string"
+ENTERED, HELD = 1 << 16, 1 << 20  # words of a language that are written at once, and that are remembered
+
+
 def _spelled(seed: int, shards: int):
-    """Rows of numbers of one language and shard, and rows of words with their number."""
+    """Rows of numbers of one shard, and rows of words with their number."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, entered, turn = _Numbers(seed), 2, TaskContext.get().partitionId()
-        waiting: dict[str, list[np.ndarray]] = {}
-        size: dict[str, int] = {}
-
-        def made(part: int, lang, tokens, number, word) -> pa.RecordBatch:
-            n = max(len(number), 1)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part] * n, pa.int32()), pa.array([lang] * n, pa.string()),
-                 pa.array([tokens] * n, pa.binary()),
-                 pa.array(number or [None], pa.binary()), pa.array(word or [None], pa.string())],
-                ["part", "lang", "tokens", "number", "word"])
+        numbers: dict[str, _Numbers] = {}
+        entered: dict[str, int] = {}
+        turn, waiting, size = TaskContext.get().partitionId(), [], 0
+
+        def tokens(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            nonlocal turn
+            flat = np.concatenate(found)
+            for own in np.split(flat, _cuts(flat)):
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array([turn % shards], pa.int32()), "tokens": [own.astype("<u8").tobytes()],
+                    "number": pa.array([None], pa.binary()), "lang": pa.array([None], pa.string()),
+                    "word": pa.array([None], pa.string())})
+                turn += 1
+
+        def words(lang: str) -> pa.RecordBatch:
+            number, word = numbers[lang].entries(entered[lang])
+            entered[lang] += len(word)
+            if entered[lang] > HELD:
+                del numbers[lang]
+            n = len(word)
+            return pa.RecordBatch.from_pydict({
+                "part": pa.array([DICTIONARY] * n, pa.int32()), "tokens": pa.array([None] * n, pa.binary()),
+                "number": pa.array(number, pa.binary()), "lang": pa.array([lang] * n, pa.string()),
+                "word": pa.array(word, pa.string())})
 
         for batch in batches:
             for text, lang in zip(batch["text"], batch["lang"].to_pylist()):
-                found = word_numbers(text.as_py(), numbers)
-                waiting.setdefault(lang, []).append(found)
-                size[lang] = size.get(lang, 0) + len(found)
-                if size[lang] >= ROW_TOKENS:
-                    tokens = np.concatenate(waiting.pop(lang))
-                    size[lang] = 0
-                    # Cut anywhere but within a piece.
-                    for own in np.split(tokens, _cuts(tokens)):
-                        yield made(turn % shards, lang, own.astype("<u8").tobytes(), [], [])
-                        turn += 1
-                if len(numbers) - entered >= 1 << 16:
-                    yield made(DICTIONARY, None, None, *_entries(numbers, entered))
-                    entered = len(numbers)
-                    if entered > 1 << 20:
-                        numbers, entered = _Numbers(seed), 2
-        for lang, held in waiting.items():
-            yield made(turn % shards, lang, np.concatenate(held).astype("<u8").tobytes(), [], [])
-            turn += 1
-        if len(numbers) > entered:
-            yield made(DICTIONARY, None, None, *_entries(numbers, entered))
+                if lang not in numbers:
+                    numbers[lang], entered[lang] = _Numbers(lang, seed), 2
+                waiting.append(word_numbers(text.as_py(), numbers[lang]))
+                size += len(waiting[-1])
+                if size >= ROW_TOKENS:
+                    yield from tokens(waiting)
+                    waiting, size = [], 0
+                if len(numbers[lang]) - entered[lang] >= ENTERED:
+                    yield words(lang)
+        if waiting:
+            yield from tokens(waiting)
+        for lang in list(numbers):
+            yield words(lang)
 
     return rows
 
@@ -124,11 +138,6 @@ def _cuts(tokens: np.ndarray) -> np.ndarray:
     return cuts[cuts < len(tokens)]
 
 
-def _entries(numbers: dict[bytes, int], first: int) -> tuple[list[bytes], list[str]]:
-    entries = list(numbers.items())[first:]
-    return [n.to_bytes(8, "little") for _, n in entries], [w.decode() for w, _ in entries]
-
-
 class Corpus:
     """Stored numbers of all words by shard, and the words of all numbers."""
 
@@ -138,20 +147,20 @@ class Corpus:
                             F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"))
         while True:
             path = shared_folder(spark, "words")
-            rows = texts.mapInArrow(
-                _spelled(seed, shards), "part int, lang string, tokens binary, number binary, word string")
+            rows = texts.mapInArrow(_spelled(seed, shards), STORED)
             rows.write.option("compression", "zstd").partitionBy("part").parquet(path)
             self.rows = spark.read.schema(rows.schema).parquet(path)
-            words = self.rows.where(F.col("part") == DICTIONARY).groupBy("number").agg(
-                F.min("word").alias("word"), F.max("word").alias("other"))
-            words = stored(words, "dictionary")
-            if words.where("word <> other").isEmpty():
+            entry = F.struct("lang", "word")
+            words = stored(self.rows.where(F.col("part") == DICTIONARY).groupBy("number").agg(
+                F.min(entry).alias("entry"), F.max(entry).alias("other")), "dictionary")
+            if words.where("entry <> other").isEmpty():
                 break
             seed += 1
-        self.words = words.select("number", "word")
+        #: ``number, lang, word``
+        self.words = words.select("number", "entry.lang", "entry.word")
 
     def shard(self, number: int) -> DataFrame:
-        return self.rows.where(F.col("part") == number).select("lang", "tokens")
+        return self.rows.where(F.col("part") == number).select("tokens")
 
 
 # --- counting in a shard -----------------------------------------------------------------
@@ -165,9 +174,9 @@ def _longer(hashes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def slots(hashes: np.ndarray, lang: str, number: int) -> np.ndarray:
+def slots(hashes: np.ndarray, number: int) -> np.ndarray:
     """Place of phrases in a table of this many slots, a power of two."""
-    mixed = (hashes + np.uint64(xxhash.xxh64_intdigest(lang))) * GOLDEN
+    mixed = hashes * GOLDEN
     return ((mixed ^ (mixed >> np.uint64(32))) & np.uint64(number - 1)).astype(np.int64)
 
 
@@ -190,8 +199,7 @@ def summed(phrases: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return phrases[order[at]], order[at], np.bincount(group, minlength=len(at))
 
 
-def counted(tokens: np.ndarray, lang: str, table: np.ndarray, step: int, lengths: list[int],
-            cycle: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def counted(tokens: np.ndarray, table: np.ndarray, step: int, lengths: list[int], cycle: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Active phrases of these lengths in the numbers of words: the phrases, how often each
     occurs, and the latest step in which one of its two shorter phrases may have become frequent.
 
@@ -208,7 +216,7 @@ def counted(tokens: np.ndarray, lang: str, table: np.ndarray, step: int, lengths
             return
         reached = np.zeros(len(hashes), np.uint8)
         if length in lengths:
-            reached[whole] = table[slots(hashes[whole], lang, len(table))]
+            reached[whole] = table[slots(hashes[whole], len(table))]
         whole = whole[:-1] & is_word[length - 1:]
         if length in lengths:
             since = np.maximum(reached[:-1], reached[1:]).astype(np.int64)
@@ -235,35 +243,30 @@ def _phrases(words: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(words.to_pylist()), "<u8").reshape(len(words), -1)
 
 
-SIGHTED = "lang string, words binary, fresh long, since int"
+SIGHTED = "words binary, fresh long, since int"
 BATCH_ROWS = 1 << 18  # rows of an Arrow batch
 
 
 def _scan(table: Broadcast, step: int, lengths: list[int], cycle: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[str, list[np.ndarray]] = {}
-
-        def sums(lang: str) -> Iterator[pa.RecordBatch]:
-            tokens = np.concatenate(waiting.pop(lang))
-            for phrases, n, since in counted(tokens, lang, table.value, step, lengths, cycle):
+        def sums(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for phrases, n, since in counted(np.concatenate(held), table.value, step, lengths, cycle):
                 for first in range(0, len(n), BATCH_ROWS):
                     cut = slice(first, first + BATCH_ROWS)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(n[cut]), pa.string()), _binary(phrases[cut]),
-                         pa.array(n[cut], pa.int64()), pa.array(since[cut], pa.int32())],
-                        ["lang", "words", "fresh", "since"])
+                        [_binary(phrases[cut]), pa.array(n[cut], pa.int64()), pa.array(since[cut], pa.int32())],
+                        ["words", "fresh", "since"])
 
+        held, size = [], 0
         for batch in batches:
-            for lang, tokens in zip(batch["lang"].to_pylist(), batch["tokens"]):
-                held = waiting.setdefault(lang, [])
-                held.append(np.frombuffer(tokens.as_buffer(), "<u8"))
-                if sum(map(len, held)) >= SCAN_TOKENS:
-                    yield from sums(lang)
-            # Rows are views of the batch; none outlives it.
-            for lang, held in waiting.items():
-                waiting[lang] = [np.concatenate(held)]
-        for lang in list(waiting):
-            yield from sums(lang)
+            for tokens in batch["tokens"]:
+                held.append(np.frombuffer(tokens.as_py(), "<u8"))
+                size += len(held[-1])
+                if size >= SCAN_TOKENS:
+                    yield from sums(held)
+                    held, size = [], 0
+        if held:
+            yield from sums(held)
 
     return rows
 
@@ -282,7 +285,7 @@ class _Table:
         self.steps = np.zeros(self.slots, np.uint8)
 
     def enter(self, newly: DataFrame, size: int, number: int) -> None:
-        """``newly``: ``lang, words, reached`` of phrases, ``number`` are known with them."""
+        """``newly``: ``words, reached`` of phrases, ``number`` are known with them."""
         self.phrases.append(newly)
         wanted = min(MAX_SLOTS, 1 << (SLOTS_PER_PHRASE * number).bit_length())
         if wanted > self.slots:
@@ -294,15 +297,11 @@ class _Table:
 
         def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys = np.array([f"{len(w)} {lang}" for w, lang in zip(
-                    batch["words"].to_pylist(), batch["lang"].to_pylist())], object)
-                for key in set(keys):
-                    own = pa.array(np.flatnonzero(keys == key))
-                    part = batch.take(own)
-                    hashes = phrase_hashes(_phrases(part["words"]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(slots(hashes, part["lang"][0].as_py(), slots_)), part["reached"]],
-                        ["slot", "reached"])
+                widths = np.fromiter(map(len, batch["words"].to_pylist()), np.int64, batch.num_rows)
+                for width in np.unique(widths):
+                    part = batch.take(pa.array(np.flatnonzero(widths == width)))
+                    found = slots(phrase_hashes(_phrases(part["words"])), slots_)
+                    yield pa.RecordBatch.from_arrays([pa.array(found), part["reached"]], ["slot", "reached"])
 
         # At most one row a slot comes to the driver.
         found = newly.mapInArrow(places, "slot long, reached int").groupBy("slot").agg(
@@ -312,36 +311,36 @@ class _Table:
 
 
 def frequent_phrases(corpus: Corpus, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
-    """``lang, words, n`` of all phrases of up to ``longest`` words that occur ``least`` times,
-    single words among them; and ``lang, n`` of all word occurrences."""
+    """``words, n`` of all phrases of up to ``longest`` words that occur ``least`` times, single
+    words among them; and ``lang, n`` of all word occurrences."""
     spark, cycle = corpus.words.sparkSession, corpus.shards
     by_shard = [f"n{s}" for s in range(cycle)]
     total = reduce(Column.__add__, [F.coalesce(F.col(c), F.lit(0)) for c in by_shard])
-    state = spark.createDataFrame([], "lang string, words binary, since int, reached int, "
+    state = spark.createDataFrame([], "words binary, since int, reached int, "
                                       + ", ".join(f"{c} long" for c in by_shard))
-    table, words, known, step = _Table(spark), None, 0, 0
+    table, totals, known, step = _Table(spark), None, 0, 0
     latest = dict.fromkeys(range(1, longest + 1), 0)  # the last step in which a length got new frequent phrases
     while step < cycle or any(latest[k] > step - cycle for k in range(1, longest)):
         lengths = [1] if step < cycle else []
         lengths += [k for k in range(2, longest + 1) if latest[k - 1] and latest[k - 1] > step - cycle]
-        shard, own = step % cycle, by_shard[step % cycle]
+        own = by_shard[step % cycle]
         shared = spark.sparkContext.broadcast(table.steps)
-        fresh = corpus.shard(shard).mapInArrow(_scan(shared, step, lengths, cycle), SIGHTED)
-        both = state.unionByName(fresh, allowMissingColumns=True)
-        merged = both.groupBy("lang", "words").agg(
+        fresh = corpus.shard(step % cycle).mapInArrow(_scan(shared, step, lengths, cycle), SIGHTED)
+        merged = state.unionByName(fresh, allowMissingColumns=True).groupBy("words").agg(
             F.max("since").alias("since"), F.max("reached").alias("reached"),
             *[F.max(c).alias(c) for c in by_shard], F.sum("fresh").alias("fresh"))
         merged = merged.withColumn(own, F.greatest(own, "fresh")).drop("fresh")
         merged = merged.withColumn("newly", F.col("reached").isNull() & (total >= least)).withColumn(
             "reached", F.coalesce("reached", F.when(total >= least, step + 1)).cast("int"))
         if step == cycle - 1:
-            whole = stored(merged, "phrases")
-            words = stored(whole.where(_length() == 1).groupBy("lang").agg(F.sum(total).alias("n")), "totals")
-            merged = whole
+            merged = stored(merged, "phrases")
+            words = merged.where(_length() == 1).select(F.col("words").alias("number"), total.alias("n"))
+            totals = stored(join_on(words, corpus.words, ["number"], how="inner").groupBy("lang").agg(
+                F.sum("n").alias("n")), "totals")
         # Whose cycle is over without enough occurrences is not counted any more.
         state = stored(merged.where(F.col("reached").isNotNull() | (F.col("since") + cycle - 1 > step)), "phrases")
         shared.destroy()
-        newly = state.where("newly").select("lang", "words", "reached")
+        newly = state.where("newly").select("words", "reached")
         state = state.drop("newly")
         sizes = {row["k"]: row["size"] for row in newly.groupBy(_length().alias("k")).agg(
             F.count("*").alias("size")).collect()}  # a row a length
@@ -349,7 +348,7 @@ def frequent_phrases(corpus: Corpus, least: int = LEAST, longest: int = LONGEST)
         latest.update(dict.fromkeys(sizes, step + 1))
         table.enter(newly, sum(sizes.values()), known)
         step += 1
-    return state.where("reached is not null").select("lang", "words", total.alias("n")), words
+    return state.where("reached is not null").select("words", total.alias("n")), totals
 
 
 # --- scores ------------------------------------------------------------------------------
@@ -359,41 +358,36 @@ def _part(first: Column, length: Column) -> Column:
     return F.substring("words", first * 8 + 1, length * 8)
 
 
-def _scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
-    """``lang, words, a, l, r, n, score`` of phrases of several words, by their weakest cut."""
-    longer = phrases.where(_length() > 1).withColumnRenamed("n", "a")
-    cuts = longer.withColumn("cut", F.explode(F.sequence(F.lit(1), _length() - 1)))
-    cuts = cuts.select("lang", "words", "a", "cut", _part(F.lit(0), F.col("cut")).alias("before"),
+def _scored(longer: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Adds ``l, r, score`` of the weakest cut to ``words, a, n``; ``phrases`` has ``words, n``."""
+    cuts = longer.select("words", "a", "n", F.explode(F.sequence(F.lit(1), _length() - 1)).alias("cut"))
+    cuts = cuts.select("words", "a", "n", "cut", _part(F.lit(0), F.col("cut")).alias("before"),
                        _part(F.col("cut"), _length() - F.col("cut")).alias("after"))
-    before = phrases.select("lang", F.col("words").alias("before"), F.col("n").alias("l"))
-    after = phrases.select("lang", F.col("words").alias("after"), F.col("n").alias("r"))
-    cuts = join_on(cuts, before, ["lang", "before"], how="inner")
-    cuts = join_on(cuts, after, ["lang", "after"], how="inner")
-    cuts = join_on(cuts, totals, ["lang"], how="inner")
-    exact = {c: F.col(c).cast("decimal(17,0)") for c in ("a", "l", "r", "n")}
-    cuts = cuts.withColumns({f"{c}_exact": exact[c] for c in exact}).withColumn("score", F.expr(
-        "cast(1000 as decimal(4,0)) * (a_exact * n_exact) div (l_exact * r_exact)"))
-    weakest = cuts.groupBy("lang", "words", "a", "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("weakest"))
-    return weakest.select("lang", "words", "a", "weakest.l", "weakest.r", "n", "weakest.score")
-
-
-def _within_longer(phrases: DataFrame, longest: int) -> DataFrame:
-    """``lang, words, within``: the most occurrences of a longer phrase around each phrase."""
-    rows = phrases.where(_length() > 2).select("lang", "words", F.col("n").alias("within"), _length().alias("k"))
+    cuts = join_on(cuts, phrases.select(F.col("words").alias("before"), F.col("n").alias("l")), ["before"], how="inner")
+    cuts = join_on(cuts, phrases.select(F.col("words").alias("after"), F.col("n").alias("r")), ["after"], how="inner")
+    cuts = cuts.withColumns({f"{c}_exact": F.col(c).cast("decimal(17,0)") for c in ("a", "l", "r", "n")}).withColumn(
+        "score", F.expr("cast(1000 as decimal(4,0)) * (a_exact * n_exact) div (l_exact * r_exact)"))
+    weakest = cuts.groupBy("words").agg(F.min(F.struct("score", "cut", "l", "r")).alias("weakest"))
+    return join_on(longer, weakest.select("words", "weakest.l", "weakest.r", "weakest.score"), ["words"], how="inner")
+
+
+def _within_longer(phrases: DataFrame) -> DataFrame:
+    """``words, within``: the most occurrences of a longer phrase around each phrase."""
+    rows = phrases.where(_length() > 2).select("words", F.col("n").alias("within"), _length().alias("k"))
     parts = F.expr("flatten(transform(sequence(2, k - 1), size -> transform(sequence(0, k - size), "
                    "first -> substring(words, first * 8 + 1, size * 8))))")
-    return rows.select("lang", F.explode(parts).alias("words"), "within").groupBy("lang", "words").agg(
+    return rows.select(F.explode(parts).alias("words"), "within").groupBy("words").agg(
         F.max("within").alias("within"))
 
 
 def _named(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Adds ``phrase``, the words with a space between."""
-    each = rows.select("lang", "words", F.posexplode(F.transform(
+    """Adds ``lang`` and ``phrase``, the words with a space between."""
+    each = rows.select("words", F.posexplode(F.transform(
         F.sequence(F.lit(0), _length() - 1), lambda k: F.substring(F.col("words"), k * 8 + 1, F.lit(8)))).alias(
             "at", "number"))
-    spelled = join_on(each, dictionary, ["number"], how="inner").groupBy("lang", "words").agg(
-        F.array_sort(F.collect_list(F.struct("at", "word"))).alias("spelled"))
-    return join_on(rows, spelled, ["lang", "words"], how="inner").withColumn(
+    spelled = join_on(each, dictionary, ["number"], how="inner").groupBy("words").agg(
+        F.array_sort(F.collect_list(F.struct("at", "word"))).alias("spelled"), F.min("lang").alias("lang"))
+    return join_on(rows, spelled, ["words"], how="inner").withColumn(
         "phrase", F.array_join(F.transform("spelled", lambda x: x["word"]), " ")).drop("spelled")
 
 
@@ -407,12 +401,13 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     """
     corpus = Corpus(docs, shards)
     phrases, totals = frequent_phrases(corpus, least, longest)
-    scored = join_on(_scored(phrases, totals), _within_longer(phrases, longest), ["lang", "words"])
-    kept = scored.where(F.coalesce(F.col("within") < F.col("a"), F.lit(True))).drop("within")
-    named = _named(kept, corpus.words)
+    longer = join_on(phrases.where(_length() > 1).withColumnRenamed("n", "a"), _within_longer(phrases), ["words"])
+    kept = longer.where(F.coalesce(F.col("within") < F.col("a"), F.lit(True))).drop("within")
+    named = stored(join_on(_named(kept, corpus.words), totals, ["lang"], how="inner"), "phrases")
+    scored = _scored(named, phrases)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # Ranked in salted parts first, so that a language with most phrases is no single task.
-    salted = named.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    salted = scored.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
     first = salted.withColumn("rank", F.row_number().over(
         Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top).drop("rank", "salt")
     return first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(

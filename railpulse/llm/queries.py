@@ -175,8 +175,8 @@ ORACLE_SQL["op12_counted_collocations"] = r"""
 with pieces as (select coalesce(lang, 'und') lang, unnest(string_split_regex(translate(coalesce(text, ''),
                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece
                 from documents),
-     lists as (select lang, list_filter(string_split_regex(piece, '[ \t]+'), x -> x <> '') w from pieces),
-     grams as (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), i -> w[i:i + k - 1])) w
+     lists as (select lang, [x for x in string_split_regex(piece, '[ \t]+') if x <> ''] w from pieces),
+     grams as (select lang, k, unnest([w[i:i + k - 1] for i in range(1, len(w) - k + 2)]) w
                from lists, range(1, 6) t(k) where len(w) >= k),
      counts as (select lang, k, w, count(*) f from grams group by 1, 2, 3),
      totals as (select lang, sum(f) n from counts where k = 1 group by 1),
@@ -188,13 +188,13 @@ with pieces as (select coalesce(lang, 'und') lang, unnest(string_split_regex(tra
               join kept r on r.lang = c.lang and r.w = c.w[j + 1:]
               join totals t on t.lang = c.lang),
      weakest as (select * from cuts qualify row_number() over (partition by lang, w order by score, j) = 1),
-     inner_ as (select lang, w[i:i + s - 1] w, max(f) f
+     around as (select lang, w[i:i + s - 1] w, max(f) f
                 from (select lang, w, f, s, unnest(range(1, k - s + 2)) i
                       from (select *, unnest(range(2, k)) s from kept where k > 2)) group by 1, 2),
      ranked as (select c.lang, array_to_string(c.w, ' ') phrase, a, l, r, n, score
-                from weakest c left join inner_ i on i.lang = c.lang and i.w = c.w
+                from weakest c left join around i on i.lang = c.lang and i.w = c.w
                 where i.f is null or i.f < a)
 select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase,
        a::bigint a, l::bigint l, r::bigint r, n::bigint n, score::bigint score
 from ranked qualify rank <= 2000
-""".replace("\\\\", "\\")
+"""
