@@ -26,6 +26,7 @@ have no words. Repeated rows count as often as they occur; other columns are ign
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -42,8 +43,8 @@ from railpulse.session import shared_folder
 
 LEAST, LONGEST, SHARDS, TOP = 100, 5, 2, 2000
 FIRST_SLOTS, MAX_SLOTS, SLOTS_PER_PHRASE = 1 << 10, 1 << 24, 32  # powers of two
-ROW_TOKENS = 1 << 17  # numbers in a stored row
-SCAN_TOKENS = 1 << 20  # numbers whose phrases a task sums at once
+ROW_TOKENS = 1 << 16  # numbers in a stored row
+SCAN_TOKENS = 1 << 19  # numbers whose phrases a task sums at once
 SALTS = 64
 UNKNOWN = "und"
 DICTIONARY = -1
@@ -80,7 +81,7 @@ def word_numbers(text: str, numbers: dict[bytes, int]) -> np.ndarray:
 
 
 STORED = "part int, tokens binary, number binary, lang string, word string"
-ENTERED, HELD = 1 << 16, 1 << 20  # words of a language that are written at once, and that are remembered
+ENTERED, HELD = 1 << 15, 1 << 17  # words of a language that are written at once, and that are remembered
 
 
 def _spelled(seed: int, shards: int):
@@ -189,8 +190,11 @@ def summed(phrases: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndar
     """The distinct phrases, which of the rows has the first of each, and how many rows have it."""
     order = np.argsort(hashes, kind="stable")
     changed = hashes[order[1:]] != hashes[order[:-1]]
-    differ = (phrases[order[1:]] != phrases[order[:-1]]).any(1)
-    if (differ & ~changed).any():  # phrases with the same hash
+    same_hash = False
+    for column in phrases.T:
+        column = column[order]
+        same_hash |= bool(((column[1:] != column[:-1]) & ~changed).any())
+    if same_hash:  # of different phrases
         order = np.lexsort(phrases.T)
         changed = (phrases[order[1:]] != phrases[order[:-1]]).any(1)
     first = np.concatenate([[True], changed])[:len(order)]
@@ -244,7 +248,19 @@ def _phrases(words: pa.Array) -> np.ndarray:
 
 
 SIGHTED = "words binary, fresh long, since int"
-BATCH_ROWS = 1 << 18  # rows of an Arrow batch
+BATCH_ROWS, BATCH_TOKEN_ROWS = 1 << 17, 16  # rows of an Arrow batch, out and in
+
+
+@contextmanager
+def _rows_at_once(spark: SparkSession, rows: int):
+    """So many rows go to a Python worker at once; stored rows of numbers are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def _scan(table: Broadcast, step: int, lengths: list[int], cycle: int):
@@ -333,12 +349,15 @@ def frequent_phrases(corpus: Corpus, least: int = LEAST, longest: int = LONGEST)
         merged = merged.withColumn("newly", F.col("reached").isNull() & (total >= least)).withColumn(
             "reached", F.coalesce("reached", F.when(total >= least, step + 1)).cast("int"))
         if step == cycle - 1:
-            merged = stored(merged, "phrases")
+            with _rows_at_once(spark, BATCH_TOKEN_ROWS):
+                merged = stored(merged, "phrases")
             words = merged.where(_length() == 1).select(F.col("words").alias("number"), total.alias("n"))
             totals = stored(join_on(words, corpus.words, ["number"], how="inner").groupBy("lang").agg(
                 F.sum("n").alias("n")), "totals")
         # Whose cycle is over without enough occurrences is not counted any more.
-        state = stored(merged.where(F.col("reached").isNotNull() | (F.col("since") + cycle - 1 > step)), "phrases")
+        with _rows_at_once(spark, BATCH_TOKEN_ROWS):
+            state = stored(merged.where(
+                F.col("reached").isNotNull() | (F.col("since") + cycle - 1 > step)), "phrases")
         shared.destroy()
         newly = state.where("newly").select("words", "reached")
         state = state.drop("newly")
