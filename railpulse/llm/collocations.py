@@ -81,7 +81,7 @@ def word_numbers(text: str, numbers: dict[bytes, int]) -> np.ndarray:
 
 
 STORED = "part int, tokens binary, number binary, lang string, word string"
-ENTERED, HELD = 1 << 15, 1 << 17  # words of a language that are written at once, and that are remembered
+ENTERED, HELD = 1 << 14, 1 << 16  # words of a language that are written at once, and that are remembered
 
 
 def _spelled(seed: int, shards: int):
@@ -149,7 +149,8 @@ class Corpus:
         while True:
             path = shared_folder(spark, "words")
             rows = texts.mapInArrow(_spelled(seed, shards), STORED)
-            rows.write.option("compression", "zstd").partitionBy("part").parquet(path)
+            with _rows_at_once(spark, BATCH_TEXTS):
+                rows.write.option("compression", "zstd").partitionBy("part").parquet(path)
             self.rows = spark.read.schema(rows.schema).parquet(path)
             entry = F.struct("lang", "word")
             words = stored(self.rows.where(F.col("part") == DICTIONARY).groupBy("number").agg(
@@ -248,7 +249,7 @@ def _phrases(words: pa.Array) -> np.ndarray:
 
 
 SIGHTED = "words binary, fresh long, since int"
-BATCH_ROWS, BATCH_TOKEN_ROWS = 1 << 17, 16  # rows of an Arrow batch, out and in
+BATCH_ROWS, BATCH_TOKEN_ROWS, BATCH_TEXTS = 1 << 17, 16, 2000  # rows of an Arrow batch
 
 
 @contextmanager
