@@ -324,6 +324,20 @@ def oracle_sql() -> dict[str, str]:
             f"select {DAILY_COLUMNS} from daily where svc = date '2024-01-15'", "daily"),
         "collation_summary": _with(SUMMARY, "month"),
         "daily_store": _with(f"select {DAILY_COLUMNS} from daily where {STORED}", "daily"),
+        "daily_store_concurrent": _with(
+            f"select {DAILY_COLUMNS} from month where provider <> 'Brightline'", "month"),
+        "collation_report": _with(
+            """select provider, case when svc between date '2024-01-01' and date '2024-01-30'
+                    then 'kept' else 'other_day' end as kind, cast(svc as varchar) as day,
+                count(*) as events_count from daily
+                where raw_day between date '2024-01-01' and date '2024-01-31' and day(raw_day) <> 7
+                group by provider, svc
+                union all
+                select provider, 'missing', cast(cast(d as date) as varchar), 0::bigint
+                from (values ('Amtrak'), ('Via'), ('Brightline')) p(provider),
+                    generate_series(date '2024-01-01', date '2024-01-30', interval 1 day) t(d)
+                where (provider, cast(d as date)) not in (
+                    select provider, raw_day from daily where day(raw_day) <> 7)""", "daily"),
         "daily_csv": _with(
             f"""select * replace (case provider when 'Via' then 'VIA' else provider end as provider)
                 from (select {DAILY_COLUMNS} from daily where {STORED})""", "daily"),

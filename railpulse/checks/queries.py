@@ -14,7 +14,7 @@ from railpulse.checks import views
 from railpulse.functions import timecols
 from railpulse.operators import enrich, events, filters, manifest, quality, reshape, timetable
 from railpulse.plans import collate, ingest, timetable_refresh
-from railpulse.schemas import EVENT_COLUMNS, PROVIDERS
+from railpulse.schemas import BRIGHTLINE, EVENT_COLUMNS, PROVIDERS
 from railpulse.session import shared_folder
 from railpulse.sinks import stores
 from railpulse.sources import raw_events, snapshots
@@ -460,6 +460,38 @@ def daily_store(spark: SparkSession, sf: str) -> DataFrame:
     return stores.read_daily_table(spark, table)
 
 
+@query
+def daily_store_concurrent(spark: SparkSession, sf: str) -> DataFrame:
+    """A month collated by one run per provider, side by side over one store: the rows of the
+    table then. A provider that can't be read is reported, and the others' days are there."""
+    root = shared_folder(spark, "concurrent")
+    raw = _raw_store(spark, sf, root)
+
+    def read_raw(provider: str) -> DataFrame:
+        if provider == BRIGHTLINE:
+            return raw_events.read_raw_events(spark, f"{root}/absent")
+        return raw
+
+    found = collate.run_collation_apart(read_raw, f"{root}/table", FIRST_DAY, LAST_DAY, PROVIDERS)
+    stopped = {provider for provider, outcome in found.items() if outcome.error}
+    if stopped != {BRIGHTLINE}:
+        raise RuntimeError(f"stopped: {found}")
+    return stores.read_daily_table(spark, f"{root}/table")
+
+
+@query
+def collation_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run of a month says of itself after its one pass: counts by reason, missing days."""
+    root = shared_folder(spark, "report")
+    raw = _raw_store(spark, sf, root).where("Day <> 7")
+    report = collate.run_collation(raw, f"{root}/table", FIRST_DAY, LAST_DAY, PROVIDERS)
+    counts = report.leftovers.select("provider", F.coalesce("left_out", F.lit("kept")).alias("kind"),
+                                     F.col("service_day").alias("day"), "events_count")
+    missing = report.missing.select("provider", F.lit("missing").alias("kind"), "day",
+                                    F.lit(0).cast("long").alias("events_count"))
+    return _text(counts.unionAll(missing), "day")
+
+
 @query
 def daily_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the CSV files of a month collated by calendar day, of which some days are

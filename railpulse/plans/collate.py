@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,13 @@ from railpulse.functions import pathcols, timecols
 from railpulse.operators.quality import expected_days, missing_days
 from railpulse.schemas import DEFAULT_ENABLED, EVENT_COLUMNS
 from railpulse.sinks.day_versions import DAY_COLUMNS
-from railpulse.sinks.stores import read_daily_table, write_daily_csv, write_daily_table
+from railpulse.sinks.stores import (
+    read_daily_table,
+    read_run_counts,
+    read_run_days,
+    write_daily_csv,
+    write_daily_table,
+)
 
 
 def yesterday() -> dt.date:
@@ -41,6 +49,7 @@ def collated_and_left(
     providers: Iterable[str] | None = DEFAULT_ENABLED,
     by_service_day: bool = True,
     late_days: int = 1,
+    carry: Iterable[str] = (),
 ) -> DataFrame:
     """All raw events that a run over a range of days reads, with ``left_out``.
 
@@ -49,20 +58,22 @@ def collated_and_left(
     add up to what was read. An event processed more than ``late_days`` after its day is
     read, and reported as ``other_day`` with that day, by the run over its processing day.
 
-    ``raw`` has the raw day as Year, Month and Day; only folders in range are read.
+    ``raw`` has the raw day as Year, Month and Day; only folders in range are read. ``carry``
+    are columns of ``raw`` to keep; ``raw_day`` is the raw day.
     """
     raw_day = F.make_date(*[F.col(c).cast("int") for c in DAY_COLUMNS])
     until = last + dt.timedelta(days=late_days) if by_service_day else last
     wanted = raw.where(raw_day.between(F.lit(first), F.lit(until)))
     if providers is not None:
         wanted = wanted.where(F.col("provider").isin(*providers))
-    placed = daily_events(wanted.withColumn("_raw_day", raw_day), carry=("_raw_day",))
+    carry = tuple(carry)
+    placed = daily_events(wanted.withColumn("raw_day", raw_day), carry=(*carry, *{"raw_day"} - set(carry)))
     day = F.col("service_day")
     kept = day.between(F.lit(first), F.lit(last))
     if not by_service_day:
-        kept = kept & (day == F.col("_raw_day"))
+        kept = kept & (day == F.col("raw_day"))
     reason = F.when(day.isNull(), F.lit("unreadable_time")).when(~kept, F.lit("other_day"))
-    return placed.withColumn("left_out", reason).drop("_raw_day")
+    return placed.withColumn("left_out", reason).drop(*{"raw_day"} - set(carry))
 
 
 def collate_range(
@@ -99,8 +110,8 @@ def collation_summary(daily: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class CollationReport:
-    """``summary`` of the stored days, ``leftovers`` and counts of what was read, and the
-    expected days without any raw event."""
+    """``summary`` of the stored days, ``leftovers``: counts of what was read, and the expected
+    days without any raw event. All are read from what the run stored."""
 
     summary: DataFrame
     leftovers: DataFrame
@@ -119,7 +130,8 @@ def run_collation(
 ) -> CollationReport:
     """Collate and store; every day of the range is replaced for every provider named.
 
-    The summary is computed from the stored table.
+    ``raw`` is read and parsed once: events that are left out, and the raw days, go into the
+    same write, and the summary, the counts and the missing days are read from what it stored.
     """
     spark = raw.sparkSession
     first = first or yesterday()
@@ -128,15 +140,47 @@ def run_collation(
     expected = expected_days(spark, first, last, providers)
     covered = expected.select("provider", *[
         f("day").cast("int").alias(name) for name, f in zip(DAY_COLUMNS, (F.year, F.month, F.dayofmonth))])
-    collated = collated_and_left(raw, first, last, providers, by_service_day, late_days)
-    write_daily_table(collated.where("left_out is null"), table_root, covered)
+    collated = collated_and_left(raw, first, last, providers, by_service_day, late_days, carry=("raw_day",))
+    run = write_daily_table(collated, table_root, covered)
     day = F.make_date(*DAY_COLUMNS)
     stored = read_daily_table(spark, table_root).where(
         day.between(F.lit(first), F.lit(last)) & F.col("provider").isin(*providers)
     ).withColumn("service_day", day)
     if csv_root is not None:
         write_daily_csv(stored, csv_root, covered)
-    raw_day = F.make_date(*[F.col(c).cast("int") for c in DAY_COLUMNS])
-    seen = raw.where(raw_day.between(F.lit(first), F.lit(last))).select("provider", raw_day.alias("day"))
+    seen = read_run_days(spark, table_root, run).where(F.col("day").between(F.lit(first), F.lit(last)))
     return CollationReport(
-        collation_summary(stored), collation_leftovers(collated), missing_days(expected, seen))
+        collation_summary(stored), read_run_counts(spark, table_root, run), missing_days(expected, seen))
+
+
+@dataclass(frozen=True)
+class ProviderOutcome:
+    """What became of one provider's run: its report, or what stopped it."""
+
+    report: CollationReport | None
+    error: str | None
+
+
+def run_collation_apart(
+    read_raw: Callable[[str], DataFrame],
+    table_root: str,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
+    providers: Iterable[str] = DEFAULT_ENABLED,
+    **options,
+) -> dict[str, ProviderOutcome]:
+    """Collate each provider by a run of its own, side by side in the same session.
+
+    ``read_raw(provider)`` gives its raw events. A provider whose events can't be read or
+    written has an error and keeps the days it had; the others' days are published.
+    """
+    def run(provider: str) -> ProviderOutcome:
+        try:
+            return ProviderOutcome(run_collation(
+                read_raw(provider), table_root, first, last, [provider], **options), None)
+        except Exception as error:  # whatever stops one provider is reported, and stops no other
+            return ProviderOutcome(None, f"{type(error).__name__}: {error}"[:2000])
+
+    providers = list(providers)
+    with ThreadPoolExecutor(len(providers)) as pool:
+        return dict(zip(providers, pool.map(inheritable_thread_target(run), providers)))

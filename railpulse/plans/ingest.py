@@ -13,12 +13,12 @@ from pyspark.sql import types as T
 from railpulse.operators import enrich, events, filters, quality, reshape, timetable
 from railpulse.schemas import BRIGHTLINE, BRIGHTLINE_HEADSIGNS, DEFAULT_ENABLED, PROVIDERS
 from railpulse.sinks.stores import write_quarantine, write_raw_events
-from railpulse.sources import snapshots, state
+from railpulse.sources import runs, snapshots, state
 
 HEADSIGNS = {BRIGHTLINE: BRIGHTLINE_HEADSIGNS}
 LANDED = ("landed_at",)
 TABLE_NAMES = ("means", "by_train_number", "by_last_stop")
-TABLE_VERSION = T.StructType([T.StructField("tables", T.LongType(), True)])
+TABLE_VERSION = T.StructType([T.StructField("tables", T.StringType(), True)])
 
 
 @dataclass(frozen=True)
@@ -44,30 +44,27 @@ class TimetableTables:
     def save(self, root: str) -> None:
         """Store the tables, so that each run reads them instead of the timetables.
 
-        They go to a folder of their own, and one state row makes all three current at
-        once; what was loaded from an earlier version stays readable.
+        They go to a folder named after the run, and one state row makes all three current
+        at once; what was loaded from an earlier version stays readable, and of saves that
+        run side by side the later one counts.
         """
-        spark, root = self.means.sparkSession, root.rstrip("/")
-        version = 1 + _table_version(spark, root)
+        spark, root, run = self.means.sparkSession, root.rstrip("/"), runs.new_run()
         for name in TABLE_NAMES:
-            getattr(self, name).write.mode("overwrite").parquet(f"{root}/version={version}/{name}")
+            getattr(self, name).write.mode("overwrite").parquet(f"{root}/version={run}/{name}")
         state.write_state(
-            spark.createDataFrame([(version,)], TABLE_VERSION), f"{root}/current", TABLE_VERSION)
+            spark.createDataFrame([(run,)], TABLE_VERSION), f"{root}/current", TABLE_VERSION)
 
     @classmethod
     def load(cls, spark: SparkSession, root: str, feed: Sequence[str] = ()) -> TimetableTables:
         root = root.rstrip("/")
-        version = _table_version(spark, root)
+        current = state.read_state(spark, f"{root}/current", TABLE_VERSION).first()
+        if current is None:
+            raise FileNotFoundError(f"no timetable tables under {root}")
         means, by_number, by_stop = (
-            spark.read.parquet(f"{root}/version={version}/{name}") for name in TABLE_NAMES)
+            spark.read.parquet(f"{root}/version={current['tables']}/{name}") for name in TABLE_NAMES)
         return cls(means, by_number, by_stop, tuple(feed))
 
 
-def _table_version(spark: SparkSession, root: str) -> int:
-    row = state.read_state(spark, f"{root}/current", TABLE_VERSION)[0].first()
-    return row["tables"] if row else 0
-
-
 def new_departures(stops: DataFrame, cutoff: dt.datetime | str | None = None) -> DataFrame:
     """Station rows that make events: past the cutoff, departed, rail, known provider."""
     return filters.known_providers(filters.departed_rail(filters.newer_than(stops, cutoff)))

@@ -18,14 +18,16 @@ def dates_from_headers(headers: DataFrame) -> DataFrame:
 
 
 def run_refresh(headers: DataFrame, manifest_path: str) -> list[str]:
-    """Agencies whose bundle must be fetched; the manifest is rewritten only if any.
+    """Agencies whose bundle must be fetched; only their dates are set in the manifest, so
+    that refreshes of other agencies may run meanwhile.
 
     The list has one name per agency, a handful of control values.
     """
     current = dates_from_headers(headers)
     cached = state.read_manifest(headers.sparkSession, manifest_path)
-    changed = [r["agency"] for r in
-               changed_timetables(current, cached).select("agency").collect()]
+    changes = changed_timetables(current, cached)
+    changed = [r["agency"] for r in changes.select("agency").collect()]
     if changed:
-        state.write_manifest(merged_manifest(current, cached), manifest_path)
+        state.write_manifest(merged_manifest(current, cached).join(
+            changes.select("agency"), "agency", "left_semi"), manifest_path)
     return sorted(changed)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from railpulse.functions.pathcols import provider_path_name
 from railpulse.schemas import DAILY, EVENT, EVENT_COLUMNS
-from railpulse.sinks.day_versions import DAY_COLUMNS, current_days, publish_days
+from railpulse.sinks.day_versions import DAY_COLUMNS, current_days, publish_days, version_folder
 
 RAW_ROWS_PER_FILE = 2_000_000
 
@@ -45,22 +45,55 @@ def write_raw_events(
     )
 
 
-def write_daily_table(daily: DataFrame, root: str, covered: DataFrame) -> None:
+def write_daily_table(daily: DataFrame, root: str, covered: DataFrame) -> str:
     """Daily events as Parquet by provider and service day, ordered by stop path.
 
     The days in ``covered`` are replaced whole, also those without events now. The
     rebalance hint lets adaptive execution split a heavy day and join light ones.
+
+    With columns ``left_out`` and ``service_day``, rows that have a reason in the first go to
+    a part of the same version that no reader of the table sees, without their events: so
+    one pass stores what is kept and counts what is not. ``raw_day`` is stored where it is
+    given. The version's name is returned.
     """
-    layout = ["provider", *DAY_COLUMNS]
+    layout = ["kept", "provider", *DAY_COLUMNS]
+    daily = daily.withColumns({name: F.lit(None).cast(kind) for name, kind in (
+        ("left_out", "string"), ("service_day", "date"), ("raw_day", "date")) if name not in daily.columns})
+    kept = F.col("left_out").isNull()
     rows = (
-        daily.select("stop_path", *EVENT_COLUMNS, *layout)
+        daily.select(*[F.when(kept, F.col(c)).alias(c) for c in ("stop_path", *EVENT_COLUMNS, *DAY_COLUMNS)],
+                     "provider", "raw_day", "left_out", F.when(~kept, F.col("service_day")).alias("left_day"),
+                     kept.alias("kept"))
         .hint("rebalance", *layout)
         .sortWithinPartitions(*layout, "stop_path")
     )
-    publish_days(daily.sparkSession, root, covered, lambda folder: rows.write.mode(
+    return publish_days(daily.sparkSession, root, covered, lambda folder: rows.write.mode(
         "overwrite").partitionBy(*layout).parquet(folder))
 
 
+def read_run_counts(spark: SparkSession, root: str, run: str) -> DataFrame:
+    """``provider, left_out, service_day, events_count`` of what one run read: rows without a
+    reason were kept. Of those only the folders' names are read."""
+    layout = T.StructType([
+        T.StructField("left_out", T.StringType(), True), T.StructField("left_day", T.DateType(), True),
+        T.StructField("kept", T.BooleanType(), True),
+        *[DAILY[c] for c in ("provider", *DAY_COLUMNS)]])
+    rows = spark.read.schema(layout).parquet(version_folder(root, run))
+    kept = rows.where("kept").select(
+        "provider", F.lit(None).cast("string").alias("left_out"), F.make_date(*DAY_COLUMNS).alias("service_day"))
+    left = rows.where("not kept").select("provider", "left_out", F.col("left_day").alias("service_day"))
+    return kept.unionAll(left).groupBy("provider", "left_out", "service_day").agg(
+        F.count(F.lit(1)).alias("events_count"))
+
+
+def read_run_days(spark: SparkSession, root: str, run: str) -> DataFrame:
+    """The ``provider`` and raw ``day`` of what one run read, each once."""
+    layout = T.StructType([T.StructField("raw_day", T.DateType(), True), T.StructField("kept", T.BooleanType(), True),
+                           *[DAILY[c] for c in ("provider", *DAY_COLUMNS)]])
+    return spark.read.schema(layout).parquet(version_folder(root, run)).select(
+        "provider", F.col("raw_day").alias("day")).distinct()
+
+
 def write_daily_csv(daily: DataFrame, root: str, covered: DataFrame) -> None:
     """Daily events as gzip CSV with header, one folder per provider, stop path and day."""
     layout = ["provider", "stop_path", *DAY_COLUMNS]
@@ -78,15 +111,17 @@ def write_daily_csv(daily: DataFrame, root: str, covered: DataFrame) -> None:
 
 def read_daily_table(spark: SparkSession, root: str) -> DataFrame:
     """The stored daily events; a store without any day yet is empty."""
-    layout = T.StructType([*DAILY.fields, T.StructField("stored_version", T.LongType(), True)])
-    return current_days(spark, root, lambda folder: spark.read.schema(layout).parquet(folder), DAILY)
+    layout = T.StructType([*DAILY.fields, T.StructField("kept", T.BooleanType(), True),
+                           T.StructField("stored_version", T.StringType(), True)])
+    return current_days(spark, root, lambda folder: spark.read.schema(layout).parquet(folder).where(
+        "kept").drop("kept"), DAILY)
 
 
 def read_daily_csv(spark: SparkSession, root: str) -> DataFrame:
     """The current CSV files, with provider names as paths spell them."""
     layout = T.StructType([
         *EVENT.fields, *[DAILY[c] for c in ("provider", "stop_path", *DAY_COLUMNS)],
-        T.StructField("stored_version", T.LongType(), True)])
+        T.StructField("stored_version", T.StringType(), True)])
     return current_days(
         spark, root,
         lambda folder: spark.read.schema(layout).option("header", True).option("escape", '"').csv(folder),

@@ -1,12 +1,16 @@
 """Small control tables: the cutoff of the last run and the timetable manifest.
 
-A table has two slots, written in turn, and the higher version counts. The slot being
-replaced is never the one in use, so a lost writer leaves the former state readable.
+Every write adds a commit, a folder of its own with one file, so writers never touch each
+other's files. A commit holds the rows it changes and those it found, each with the moment it
+was set; of the rows of a key the latest counts. So writers of different keys that run side by
+side both persist, and of one key the later one wins. A commit that has been taken over is
+removed after ``GRACE``, when no reader can have it listed any more.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railpulse.schemas import MANIFEST
+from railpulse.sources import files, runs
 
 CUTOFF = T.StructType([
     T.StructField("datetime", T.StringType(), True),
@@ -21,36 +26,45 @@ CUTOFF = T.StructType([
     T.StructField("batch", T.LongType(), True),
     T.StructField("before", T.StringType(), True),
 ])
+GRACE = dt.timedelta(hours=1)
 
 
-def read_state(spark: SparkSession, path: str, layout: T.StructType) -> tuple[DataFrame, int]:
-    """Rows of the newest version and its number; an absent table is empty, version 0."""
-    stored = T.StructType([*layout.fields, T.StructField("version", T.LongType(), True)])
+def _latest(spark: SparkSession, path: str, layout: T.StructType, key: Sequence[str]) -> DataFrame:
+    """Rows of the newest commit of each key, with ``set_at``."""
+    with_moment = T.StructType([*layout.fields, T.StructField("set_at", T.LongType(), True)])
     try:
-        rows = spark.read.schema(stored).json(path)
+        rows = spark.read.schema(T.StructType(
+            [*with_moment.fields, T.StructField("commit", T.StringType(), True)])).json(path)
     except AnalysisException:
-        return spark.createDataFrame([], layout), 0
-    version = rows.agg(F.max("version")).first()[0] or 0
-    if not version:
-        return spark.createDataFrame([], layout), 0
-    # Only the slot in use is read, so that writing the other one disturbs no reader.
-    current = spark.read.schema(layout).json(f"{path.rstrip('/')}/slot={version % 2}")
-    return current, version
+        return spark.createDataFrame([], with_moment)
+    fields = with_moment.fieldNames()
+    newest = rows.where("set_at is not null").groupBy(*key).agg(
+        F.max_by(F.struct(*fields), F.struct("set_at", "commit")).alias("row"))
+    return newest.where("row is not null").select("row.*")
 
 
-def write_state(rows: DataFrame, path: str, layout: T.StructType) -> None:
-    """Store a new version, as one file so that it appears all at once.
+def read_state(spark: SparkSession, path: str, layout: T.StructType, key: Sequence[str] = ()) -> DataFrame:
+    """The current rows, one per key (without a key: one); an absent table is empty."""
+    return _latest(spark, path, layout, key).drop("set_at")
 
-    One task writes it: control tables have a row per agency or per provider and day.
+
+def write_state(rows: DataFrame, path: str, layout: T.StructType, key: Sequence[str] = ()) -> None:
+    """Set these rows; those of other keys stay.
+
+    One task writes one file, which appears all at once: control tables have a row per agency.
     """
-    _, version = read_state(rows.sparkSession, path, layout)
-    (
-        rows.select(*layout.fieldNames())
-        .withColumn("version", F.lit(version + 1).cast("bigint"))
-        .coalesce(1)
-        .write.mode("overwrite")
-        .json(f"{path.rstrip('/')}/slot={(version + 1) % 2}")
-    )
+    spark, path, run = rows.sparkSession, path.rstrip("/"), runs.new_run()
+    found = files.listed(spark, path)
+    known = _latest(spark, path, layout, key)
+    # After what is known, even if that was set by a faster clock.
+    set_at = max(runs.moment(), 1 + (known.agg(F.max("set_at")).first()[0] or 0))
+    changed = rows.select(*layout.fieldNames(), F.lit(set_at).alias("set_at"))
+    others = known.join(rows.select(*key), list(key), "left_anti") if key else known.limit(0)
+    others.select(changed.columns).unionAll(changed).coalesce(1).write.json(f"{path}/commit={run}")
+    before = runs.began(run) - int(GRACE.total_seconds() * 1e6)
+    for name in found:
+        if name.startswith("commit=") and runs.began(name.removeprefix("commit=")) < before:
+            files.remove(spark, f"{path}/{name}")
 
 
 def _moment(text: str | None) -> dt.datetime | None:
@@ -70,7 +84,7 @@ def read_cutoff(
 
     A batch that is run again after it moved the cutoff gets the cutoff it had before.
     """
-    stored = read_state(spark, path, CUTOFF)[0].first()
+    stored = read_state(spark, path, CUTOFF).first()
     if stored is None:
         return None
     repeated = batch is not None and stored["batch"] == batch
@@ -90,8 +104,9 @@ def write_cutoff(
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Last known modification date per agency; empty when there is none yet."""
-    return read_state(spark, path, MANIFEST)[0]
+    return read_state(spark, path, MANIFEST, ["agency"])
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    write_state(manifest, path, MANIFEST)
+    """Set the dates of these agencies; others keep theirs."""
+    write_state(manifest, path, MANIFEST, ["agency"])

@@ -1,0 +1,230 @@
+"""Runs side by side over one store: interleaved by hand, and in threads."""
+
+import datetime as dt
+import glob
+import json
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+
+from railpulse.plans import collate, ingest, timetable_refresh
+from railpulse.sinks import day_versions, stores
+from railpulse.sources import files, raw_events, runs, state
+from tests.test_stores import bag, event, frame, raw_week
+
+DAY = dt.date(2025, 1, 5)
+HOUR = dt.timedelta(hours=1)
+
+
+def daily(spark, trip, provider="Amtrak", day=5):
+    return collate.daily_events(frame(spark, event(trip, f"2025-01-{day:02d}T10:00:00+00:00", provider)))
+
+
+def trips(spark, root):
+    return sorted(r["trip_id"] for r in stores.read_daily_table(spark, root).collect())
+
+
+def test_a_run_in_the_middle_of_another(spark, tmp_path, monkeypatch):
+    """Run A has written its rows, then B runs whole, then A moves its pointers."""
+    root, plain = str(tmp_path / "daily"), stores.publish_days
+    one, two = daily(spark, "a", "Amtrak"), daily(spark, "b", "Via", 6)
+
+    def interrupted(spark_, root_, covered, write):
+        monkeypatch.setattr(stores, "publish_days", plain)
+
+        def and_then(folder):
+            write(folder)
+            stores.write_daily_table(two, root, two)
+
+        return plain(spark_, root_, covered, and_then)
+
+    monkeypatch.setattr(stores, "publish_days", interrupted)
+    stores.write_daily_table(one, root, one)
+    assert trips(spark, root) == ["a", "b"]
+
+
+def test_the_last_run_over_a_day_counts(spark, tmp_path):
+    root = str(tmp_path / "daily")
+    for trip in ("a", "b"):
+        stores.write_daily_table(daily(spark, trip), root, daily(spark, trip))
+    nothing = daily(spark, "c").where("false")
+    stores.write_daily_table(nothing, root, daily(spark, "c", "Via"))
+    assert trips(spark, root) == ["b"]
+    stores.write_daily_table(nothing, root, daily(spark, "c"))
+    assert trips(spark, root) == []
+
+
+def test_a_run_that_dies_before_its_pointers_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "daily")
+    stores.write_daily_table(daily(spark, "a"), root, daily(spark, "a"))
+
+    def dies(folder):
+        daily(spark, "b").withColumn("kept", F.lit(True)).write.partitionBy("kept", *day_versions.KEY).parquet(folder)
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        day_versions.publish_days(spark, root, daily(spark, "b"), dies)
+    assert trips(spark, root) == ["a"]
+
+
+def test_many_threads(spark, tmp_path):
+    root = str(tmp_path / "daily")
+
+    def run(k):
+        rows = daily(spark, f"t{k}", ("Amtrak", "Via")[k % 2], 1 + k // 2)
+        stores.write_daily_table(rows, root, rows)
+        stores.write_daily_csv(rows, root + "-csv", rows)
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(run, range(12)))
+    assert trips(spark, root) == sorted(f"t{k}" for k in range(12))
+    assert stores.read_daily_csv(spark, root + "-csv").count() == 12
+
+
+def test_superseded_versions_are_removed(spark, tmp_path):
+    root = str(tmp_path / "daily")
+    for trip in ("a", "b", "c"):
+        stores.write_daily_table(daily(spark, trip), root, daily(spark, trip))
+    stores.write_daily_table(daily(spark, "v", "Via"), root, daily(spark, "v", "Via"))
+    assert day_versions.remove_superseded(spark, root, HOUR) == []
+    assert len(day_versions.remove_superseded(spark, root, dt.timedelta(0))) == 2
+    assert len(glob.glob(f"{root}/data/stored_version=*")) == 2
+    assert len(glob.glob(f"{root}/current/**/stored_version=*", recursive=True)) == 2
+    assert trips(spark, root) == ["c", "v"]
+
+
+def test_reading_one_day_prunes_pointers_and_versions(spark, tmp_path):
+    root = str(tmp_path / "daily")
+    for day in (5, 6):
+        stores.write_daily_table(daily(spark, "a", day=day), root, daily(spark, "a", day=day))
+    rows = stores.read_daily_table(spark, root).where("Day = 5")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("(Day#") >= 2 and all("Day" in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:])
+    assert rows.count() == 1
+
+
+PAIR = "agency string, last_modified string"
+
+
+def test_refreshes_of_different_agencies_side_by_side(spark, tmp_path, monkeypatch):
+    path, plain = str(tmp_path / "manifest"), state.write_manifest
+    now = "Wed, 12 Nov 2025 10:00:00 GMT"
+    headers = [spark.createDataFrame([(a, now)], PAIR) for a in ("A", "B")]
+
+    def interrupted(manifest, path_):
+        monkeypatch.setattr(state, "write_manifest", plain)
+        timetable_refresh.run_refresh(headers[1], path)
+        plain(manifest, path_)
+
+    monkeypatch.setattr(state, "write_manifest", interrupted)
+    assert timetable_refresh.run_refresh(headers[0], path) == ["A"]
+    assert sorted(r["agency"] for r in state.read_manifest(spark, path).collect()) == ["A", "B"]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: state.write_manifest(spark.createDataFrame([(f"T{k}", "x")], PAIR), path), range(8)))
+    assert state.read_manifest(spark, path).count() == 10
+
+
+def test_old_commits_are_taken_over_and_removed(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    for k in range(3):
+        state.write_manifest(spark.createDataFrame([(f"A{k}", str(k))], PAIR), path)
+    old = [f"commit={k:017d}-old{k}" for k in range(3)]
+    for name, aged in zip(sorted(p.rsplit("/", 1)[1] for p in glob.glob(f"{path}/commit=*")), old):
+        (tmp_path / "manifest" / name).rename(tmp_path / "manifest" / aged)
+    state.write_manifest(spark.createDataFrame([("A1", "new")], PAIR), path)
+    assert len(glob.glob(f"{path}/commit=*")) == 1
+    assert bag(state.read_manifest(spark, path)) == {("A0", "0"): 1, ("A1", "new"): 1, ("A2", "2"): 1}
+
+
+def test_a_fast_clock_does_not_win_for_ever(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "cutoff")
+    moments = [dt.datetime(2025, 1, 5, hour, tzinfo=dt.timezone.utc) for hour in (1, 2)]
+    real = runs.moment
+    monkeypatch.setattr(runs, "moment", lambda: real() + 10**12)
+    state.write_cutoff(spark, path, moments[0])
+    monkeypatch.setattr(runs, "moment", real)
+    state.write_cutoff(spark, path, moments[1])
+    assert state.read_cutoff(spark, path) == moments[1]
+
+
+def test_timetable_tables_saved_side_by_side(spark, tmp_path):
+    root = str(tmp_path / "tables")
+
+    def save(n):
+        rows = spark.createDataFrame([("x", n)], "k string, n int")
+        ingest.TimetableTables(rows, rows, rows).save(root)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(save, range(3)))
+    loaded = ingest.TimetableTables.load(spark, root)
+    assert len({t.first()["n"] for t in (loaded.means, loaded.by_train_number, loaded.by_last_stop)}) == 1
+    with pytest.raises(FileNotFoundError):
+        ingest.TimetableTables.load(spark, str(tmp_path / "none"))
+
+
+def test_a_provider_that_cannot_be_read_stops_no_other(spark, tmp_path):
+    raw, root = raw_week(spark, str(tmp_path / "raw")), str(tmp_path / "daily")
+    collate.run_collation(raw, root, DAY, providers=["Via"])
+
+    def read(provider):
+        if provider == "Via":
+            return raw_events.read_raw_events(spark, str(tmp_path / "nowhere"))
+        return raw.withColumn("trip_id", F.when(F.col("provider") == "Brightline", F.raise_error(F.lit("damaged"))
+                                                .cast("string")).otherwise(F.col("trip_id")))
+
+    found = collate.run_collation_apart(read, root, DAY, providers=["Amtrak", "Via", "Brightline"])
+    assert found["Amtrak"].error is None and found["Amtrak"].report.summary.count() == 1
+    assert "nowhere" in found["Via"].error and "damaged" in found["Brightline"].error
+    assert trips(spark, root) == ["day", "night", "null", "via"]  # what Via had stays
+
+
+def scans(spark, before):
+    """Files of the raw store opened by jobs since then, from the SQL status store."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    total = 0
+    for execution in _iterate(store.executionsList()):
+        if execution.executionId() <= before:
+            continue
+        values = store.executionMetrics(execution.executionId())
+        for node in _iterate(store.planGraph(execution.executionId()).allNodes()):
+            if node.name().startswith("Scan text"):
+                for metric in _iterate(node.metrics()):
+                    if metric.name() == "number of files read":
+                        found = values.get(metric.accumulatorId())
+                        total += int(found.get().replace(",", "")) if found.isDefined() else 0
+    return total
+
+
+def _iterate(seq):
+    it = seq.iterator()
+    while it.hasNext():
+        yield it.next()
+
+
+def test_one_raw_scan_per_run(spark, tmp_path):
+    raw = raw_week(spark, str(tmp_path / "raw"))
+    written = len(glob.glob(f"{tmp_path}/raw/**/*.json.gz", recursive=True))
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = max((e.executionId() for e in _iterate(store.executionsList())), default=-1)
+    report = collate.run_collation(raw, str(tmp_path / "daily"), dt.date(2025, 1, 4), dt.date(2025, 1, 7),
+                                   ["Amtrak", "Via", "Brightline"], csv_root=str(tmp_path / "csv"))
+    counts = bag(report.leftovers, "provider", "left_out", "service_day", "events_count")
+    assert bag(report.missing, "provider", "day") and report.summary.count()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert 0 < scans(spark, before) <= written
+    whole = collate.collation_leftovers(collate.collated_and_left(
+        raw, dt.date(2025, 1, 4), dt.date(2025, 1, 7), ["Amtrak", "Via", "Brightline"]))
+    assert counts == bag(whole, "provider", "left_out", "service_day", "events_count")
+
+
+def test_what_is_left_out_is_no_row_of_the_table(spark, tmp_path):
+    raw, root = raw_week(spark, str(tmp_path / "raw")), str(tmp_path / "daily")
+    report = collate.run_collation(raw, root, DAY)
+    assert trips(spark, root) == ["day", "night", "null", "via"]
+    left = {(r["left_out"], str(r["service_day"])): r["events_count"]
+            for r in report.leftovers.where("left_out is not null").collect()}
+    # "night" was processed on the 6th, "early" belongs to the 4th, "bad" has no time.
+    assert left == {("other_day", "2025-01-04"): 1, ("unreadable_time", "None"): 1}
+    assert files.exists(spark, f"{root}/current/provider=Amtrak/Year=2025/Month=1/Day=5")
+    assert json.dumps(files.listed(spark, str(tmp_path / "absent"))) == "[]"

@@ -10,7 +10,7 @@ from railpulse.checks.queries import QUERIES
 from railpulse.operators import enrich, timetable
 
 WRITES_WHILE_BUILDING = {"event_stream", "cutoff_stream", "ingest_runs", "raw_event_store", "daily_store",
-                         "daily_csv", "service_day_slice", "snapshot_quarantine"}
+                         "daily_csv", "daily_store_concurrent", "collation_report", "service_day_slice", "snapshot_quarantine"}
 LAZY = sorted(set(QUERIES) - WRITES_WHILE_BUILDING)
 
 
