@@ -196,3 +196,86 @@ def test_first_of_each_of_unusual_rows(spark):
     # 1 and 6 are copies; 2 and 3 have no words; the row without an id stays.
     assert sorted(str(r["doc_id"]) for r in kept) == ["-4", "1", "2", "5", "7", "9", "None"]
     assert simhash.first_of_each(cases.empty(spark)).count() == 0
+
+
+def template_group(source, members, share, words=300):
+    """Texts of one template, each with its own words at some places; their similarities."""
+    first = [f"w{source.integers(20_000)}" for _ in range(words)]
+    return [edited(first, share, source) for _ in range(members)]
+
+
+def made(spark, monkeypatch, texts):
+    """Components, and how many rows each table of pairs had."""
+    rows, plain = {}, simhash.stored
+
+    def counted(df, purpose):
+        out = plain(df, purpose)
+        if purpose in ("candidates", "verified"):
+            rows.setdefault(purpose, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "stored", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs).collect()}
+    monkeypatch.setattr(simhash, "stored", plain)
+    return found, rows
+
+
+def test_pairs_grow_with_a_group_and_not_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "FINE_BLOCK", 64)  # so that keys are dealt over several blocks
+    total = {}
+    for members in (200, 400):
+        texts = template_group(np.random.default_rng(5), members, 0.01)
+        found, rows = made(spark, monkeypatch, texts)
+        assert set(found.values()) == {0}
+        total[members] = sum(rows["candidates"])
+    assert total[400] < 2.5 * total[200] and total[400] < 14 * 400
+
+
+def test_a_template_below_the_similarity_makes_few_pairs(spark, monkeypatch):
+    """Of all pairs of texts of one template, few but those close to the similarity are verified."""
+    texts = template_group(np.random.default_rng(6), 300, 0.018)
+    alike = [jaccard(a, b) for i, a in enumerate(texts) for b in texts[:i]]
+    assert 0.66 < np.mean(alike) < 0.74
+    found, rows = made(spark, monkeypatch, texts)
+    assert found == brute_components(texts)
+    stars, rest = sum(rows["candidates"][:2]), rows["candidates"][2]
+    assert stars < 14 * 2 * 300 and rest <= sum(j >= 0.735 for j in alike) + len(alike) // 200
+
+
+def brute_components(texts, similarity=0.8):
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    least = list(range(len(texts)))
+
+    def top(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both >= similarity * (len(a) + len(sets[j]) - both):
+                x, y = top(i), top(j)
+                least[max(x, y)] = min(x, y)
+    return {i: top(i) for i in range(len(texts))}
+
+
+def test_pivots_discard_pairs_in_every_key():
+    prints = np.random.default_rng(2).integers(0, 1 << 64, (400, 1), dtype=np.uint64)
+    met = []
+    plain, pivots = simhash.distances, simhash.reference_fingerprints()
+
+    class Counting:
+        @staticmethod
+        def distances(one, others):
+            if others.shape == (len(others), 1) and one.shape == (1,):
+                met.append(len(others))
+            return plain(one, others)
+
+    simhash.distances = Counting.distances
+    try:
+        assert simhash.links_within(prints, pivots, 4) == []
+    finally:
+        simhash.distances = plain
+    assert sum(met) < 400 * 399 / 2 / 1000  # pairs that the table leaves to verify
