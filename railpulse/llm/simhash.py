@@ -32,10 +32,11 @@ the similarity and the wanted ``RECALL`` alone. Only keys that several texts sha
   sets, and link if their Jaccard similarity is at least the one asked for.
 * The rest: keys whose texts are not all connected by then are looked at whole. Fingerprints of
   ``FINE`` words, made of the texts in such keys only, and their pivot tables discard pairs inside a
-  key's task; all pairs across components that remain leave it, and are verified as before. So
-  every pair that meets and passes the filter is either verified or connected by links that are.
-  A fine fingerprint passes 0.8 but for one pair in 4,000, and 0.7 with one pair in 2,500: a group
-  of m texts of one template makes m² pairs only between 0.75 and 0.8.
+  key's task, the shingle sets of those that remain across components are compared right there,
+  and a forest of the links found leaves it. So every pair that meets and passes the filter is
+  either verified or connected by links that are, and a group of m texts makes no more than m
+  rows a key and block pair, however alike they are. A fine fingerprint passes 0.8 but for one
+  pair in 4,000.
 
 Null texts are empty, null ids keep their rows and never name a component (a component of
 null ids only has a null name), repeated rows stay. Other columns are ignored.
@@ -62,7 +63,7 @@ from railpulse.operators.timetable import join_on
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 RADIUS, KEPT, PIVOTS, BLOCK = 4, 3, 32, 4096
 WIDE, RECALL, SPREAD, BAND = 8, 0.995, 5.5, 5
-FINE, FINE_SPREAD, FINE_BLOCK = 64, 3.5, 1 << 14
+FINE, FINE_SPREAD, FINE_BLOCK = 64, 3.5, 1 << 12
 
 
 def shingle_hashes(text: str, shingle: int, seed: int) -> tuple[np.ndarray, list[bytes]]:
@@ -149,22 +150,25 @@ def reference_fingerprints(number: int = PIVOTS, words: int = 1, seed: int = 9)
 
 
 def links_within(prints: np.ndarray, pivots: np.ndarray, radius: int, sides: np.ndarray | None = None,
-                 earlier: np.ndarray | None = None, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+                 earlier: np.ndarray | None = None, known: np.ndarray | None = None,
+                 sets: np.ndarray | None = None, similarity: float = 0.8) -> list[tuple[int, int]]:
     """Spanning forest of the links of one key's fingerprints (a row each), as pairs of rows.
 
     With ``sides``, only pairs from different sides count. With ``earlier``, the masks of
     keys before this one, pairs that have such a key in common don't, as they meet there.
-    With ``known``, the components so far, it is no forest but all pairs across them.
+    With ``known``, the components so far, and the fingerprints' ``sets``, pairs of a component
+    don't count, and others only if their sets have this Jaccard similarity.
     """
     table = np.stack([distances(prints, pivot) for pivot in pivots], 1)
     order = np.argsort(table[:, 0], kind="stable")
     prints, table = prints[order], table[order]
     if sides is not None:
         sides = sides[order]
-    if known is not None:
-        known = known[order]
     stops = np.searchsorted(table[:, 0], table[:, 0] + radius, "right")
     root = list(range(len(prints)))
+    if known is not None:
+        sets, first = sets[order], {}
+        root = [first.setdefault(component, i) for i, component in enumerate(known[order].tolist())]
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -180,26 +184,37 @@ def links_within(prints: np.ndarray, pivots: np.ndarray, radius: int, sides: np.
         near = near[distances(prints[i], prints[near]) <= radius]
         if sides is not None:
             near = near[sides[near] != sides[i]]
-        if known is not None:
-            forest += [(int(order[i]), int(order[j])) for j in near[known[near] != known[i]].tolist()]
-            continue
         for j in near.tolist():
             if earlier is not None and ((prints[i] ^ prints[j]) & earlier == 0).any():
                 continue
             a, b = top(i), top(j)
-            if a != b:
+            if a != b and (sets is None or alike(sets[i], sets[j], similarity)):
                 root[max(a, b)] = min(a, b)
                 forest.append((int(order[i]), int(order[j])))
     return forest
 
 
+def alike(one: np.ndarray, two: np.ndarray, similarity: float) -> bool:
+    """Whether two sets have at least this Jaccard similarity."""
+    least = math.ceil((len(one) + len(two)) * similarity / (1 + similarity) - 1e-9)  # of what both have
+    return min(len(one), len(two)) >= least and len(np.intersect1d(one, two, assume_unique=True)) >= least
+
+
+def _sets(column: pa.Array) -> np.ndarray:
+    found = np.empty(len(column), object)
+    for k, hashes in enumerate(column):
+        found[k] = hashes.values.to_numpy().copy()
+    return found
+
+
 def bucket_links(keyed: DataFrame, radius: int, pivots: np.ndarray, masks: np.ndarray | None = None,
-                 block: int = BLOCK) -> DataFrame:
+                 block: int = BLOCK, similarity: float = 0.8) -> DataFrame:
     """Pairs ``a, b`` of nodes that connect those within ``radius`` that share a ``tab, key``.
 
     ``keyed``: ``tab, key, node, print`` with the fingerprint's words as big-endian bytes. Rows of keys
-    with more than ``block`` rows go to every pair of blocks with their own. If there is a column
-    ``known``, the component so far, the pairs are all those across components.
+    with more than ``block`` rows go to every pair of blocks with their own. If there are columns
+    ``known``, the component so far, and ``hashes``, the set, the pairs are those across components
+    whose sets have the similarity.
     """
     large = keyed.groupBy("tab", "key").count().where(F.col("count") > block).select(
         "tab", "key", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
@@ -208,7 +223,7 @@ def bucket_links(keyed: DataFrame, radius: int, pivots: np.ndarray, masks: np.nd
     dealt = dealt.withColumn("own", F.coalesce(own, F.lit(0))).withColumn("other", F.explode(
         F.when(F.col("blocks").isNull(), F.array(F.lit(0)))
         .otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    names, more = ["tab", "key", "low", "high"], [c for c in keyed.columns if c == "known"]
+    names, more = ["tab", "key", "low", "high"], [c for c in ("known", "hashes") if c in keyed.columns]
     dealt = dealt.select("tab", "key", F.least("own", "other").alias("low"),
                          F.greatest("own", "other").alias("high"), "node", "own", "print", *more)
     words = pivots.shape[1]
@@ -224,9 +239,9 @@ def bucket_links(keyed: DataFrame, radius: int, pivots: np.ndarray, masks: np.nd
                 nodes, prints = columns[4][begin:end], columns[6][begin:end]
                 sides = columns[5][begin:end] if columns[2][begin] != columns[3][begin] else None
                 earlier = masks[:columns[0][begin]] if masks is not None else None
-                known = columns[7][begin:end] if more else None
-                found += [(nodes[i], nodes[j])
-                          for i, j in links_within(prints, pivots, radius, sides, earlier, known)]
+                known, sets = (c[begin:end] for c in columns[7:]) if more else (None, None)
+                found += [(nodes[i], nodes[j]) for i, j in links_within(
+                    prints, pivots, radius, sides, earlier, known, sets, similarity)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*found)], ["a", "b"])
 
@@ -236,7 +251,8 @@ def bucket_links(keyed: DataFrame, radius: int, pivots: np.ndarray, masks: np.nd
             columns = [batch[c].to_numpy().astype(np.int64) for c in (*names, "node", "own")]
             columns.append(np.frombuffer(b"".join(batch["print"].to_pylist()), ">u8").reshape(-1, words)
                            .astype(np.uint64))
-            columns += [batch[c].to_numpy().astype(np.int64) for c in more]
+            if more:
+                columns += [batch["known"].to_numpy().astype(np.int64), _sets(batch["hashes"])]
             columns = [np.concatenate(pair) for pair in zip(held, columns)] if held else columns
             keys = np.stack(columns[:4])
             ended = np.flatnonzero((keys != keys[:, -1:]).any(0))
@@ -357,15 +373,16 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def fine_fingerprints(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, print``: fingerprints of ``FINE`` words of these nodes' sets."""
+    """``node, print, hashes``: sets of these nodes and their fingerprints of ``FINE`` words."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [wide_majority(hashes.values.to_numpy().view(np.uint64), FINE) for hashes in batch["hashes"]]
-            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(prints, pa.binary())], ["node", "print"])
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(prints, pa.binary()), batch["hashes"]],
+                                             ["node", "print", "hashes"])
 
     return join_on(sets, nodes, ["node"], how="inner").select("node", "hashes").mapInArrow(
-        rows, "node long, print binary")
+        rows, "node long, print binary, hashes array<long>")
 
 
 def star_pairs(keyed: DataFrame, same_in_all_keys: bool) -> DataFrame:
@@ -434,11 +451,8 @@ def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8
         "first <> last").select("tab", "key")
     left = stored(join_on(left, open_keys, ["tab", "key"], how="inner").select("tab", "key", "node", "known"), "open")
     fine = stored(fine_fingerprints(sets, left.select("node").distinct()), "fine")
-    rest = bucket_links(join_on(left, fine, ["node"], how="inner"), wide_radius(similarity, FINE, FINE_SPREAD),
-                        reference_fingerprints(8, FINE), block=FINE_BLOCK)
-    rest = stored(rest.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                  .distinct(), "candidates")
-    more = stored(verified(rest, sets, similarity), "verified")
+    more = stored(bucket_links(join_on(left, fine, ["node"], how="inner"), wide_radius(similarity, FINE, FINE_SPREAD),
+                               reference_fingerprints(8, FINE), block=FINE_BLOCK, similarity=similarity), "verified")
     if not more.isEmpty():
         known = _components_of(nodes, links.unionAll(more))
     return join_on(groups.select("node"), known, ["node"]).select(
