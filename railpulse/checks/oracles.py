@@ -199,6 +199,10 @@ def oracle_sql() -> dict[str, str]:
         "gtfs_stop_times": _with(
             f"""select {STOP_KEY}, route_id, direction_id, arrival_time,
                 arrival_time as departure_time from stops""", "stops"),
+        "gtfs_csv_bundles": _with(
+            f"""select case when cast(trip_id as bigint) % 2 = 0 then 'Amtrak' else 'Via' end as provider,
+                {STOP_KEY}, route_id, direction_id, arrival_time, arrival_time as departure_time
+                from stops""", "stops"),
         "scheduled_headway": _with(
             f"""select {STOP_KEY}, route_id, direction_id, arrival_time, scheduled_headway
                 from metrics""", "metrics"),
@@ -317,6 +321,7 @@ def oracle_sql() -> dict[str, str]:
             f"""select provider, "Year", "Month", "Day", {EVENT_FIELDS} from raw""", "raw"),
         "daily_events": _with(f"select {DAILY_COLUMNS} from daily", "daily"),
         "collate_range": _with(f"select {DAILY_COLUMNS} from month", "month"),
+        "raw_store_compacted": _with(f"select {DAILY_COLUMNS} from month", "month"),
         "collate_same_day": _with(
             f"""select {DAILY_COLUMNS} from daily where svc = raw_day
                 and svc between date '2024-01-01' and date '2024-01-30'""", "daily"),

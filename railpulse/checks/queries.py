@@ -16,8 +16,8 @@ from railpulse.operators import enrich, events, filters, manifest, quality, resh
 from railpulse.plans import collate, ingest, timetable_refresh
 from railpulse.schemas import BRIGHTLINE, EVENT_COLUMNS, PROVIDERS
 from railpulse.session import shared_folder
-from railpulse.sinks import stores
-from railpulse.sources import raw_events, snapshots
+from railpulse.sinks import compaction, stores
+from railpulse.sources import raw_events, snapshots, timetables
 from railpulse.streaming import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,33 @@ def gtfs_time_seconds(spark: SparkSession, sf: str) -> DataFrame:
         timecols.clock_seconds(text, extended_hours=True).alias("extended_seconds"))
 
 
+def _bundles(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Two providers' timetables as published: CSV text with a byte order mark, quotes and commas
+    in cells, columns in another order for each, and some that nothing here reads."""
+    root = shared_folder(spark, "bundles")
+    stop_times, trips = views.stop_times(spark, sf), views.trips(spark, sf).drop("ord")
+    number = F.regexp_replace("trip_id", "^P", "").cast("long")
+    sign = F.concat(F.lit('To "Main", track '), F.col("trip_id"))
+    found = {}
+    for odd, provider in enumerate((PROVIDERS[0], PROVIDERS[1])):
+        found[provider] = f"{root}/{provider}"
+        for rows, name, text in ((stop_times, "stop_times", "stop_headsign"), (trips, "trips", "trip_headsign")):
+            own = rows.where(number % 2 == odd).withColumn(text, sign)
+            columns = sorted(own.columns, reverse=bool(odd))
+            marked = own.select(*columns).withColumnRenamed(columns[0], "\ufeff" + columns[0])
+            marked.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(
+                f"{found[provider]}/{name}.txt")
+    return found
+
+
+@query
+def gtfs_csv_bundles(spark: SparkSession, sf: str) -> DataFrame:
+    """Timetables of two providers read from CSV text and loaded in one frame."""
+    stop_times, trips = timetables.read_bundles(spark, _bundles(spark, sf))
+    return timetable.scheduled_stops(stop_times, trips, ["provider"]).select(
+        "provider", *STOP_KEY, "route_id", "direction_id", "arrival_time", "departure_time")
+
+
 @query
 def gtfs_stop_times(spark: SparkSession, sf: str) -> DataFrame:
     return _stops(spark, sf).select(
@@ -448,6 +475,27 @@ def _raw_store(spark: SparkSession, sf: str, root: str) -> DataFrame:
     return raw_events.read_raw_events(spark, f"{root}/raw")
 
 
+@query
+def raw_store_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """A month collated from a compacted raw store, to which a batch was added since, and of which
+    another ran again for some days."""
+    root = shared_folder(spark, "compacted")
+    raw, store = f"{root}/raw", f"{root}/days"
+    views.raw_events(spark, sf).write.parquet(f"{root}/events")
+    rows = spark.read.parquet(f"{root}/events")
+    even, day, moment = F.col("trip_id").cast("int") % 2 == 0, F.col("Day"), F.make_date("Year", "Month", "Day")
+    until = LAST_DAY + dt.timedelta(days=1)
+    stores.write_raw_events(rows.where(even & ((day > 5) | (F.col("event_type") == "ARR"))), raw, moment, 0)
+    stores.write_raw_events(rows.where(~even & (day < 20)), raw, moment, 1)
+    compaction.compact_raw_days(spark, raw, store, FIRST_DAY, until, PROVIDERS)
+    stores.write_raw_events(rows.where(even & (day <= 5)), raw, moment, 0)
+    stores.write_raw_events(rows.where(~even & (day >= 20)), raw, moment, 2)
+    # Of the day after the last only the first hours belong to the month.
+    found = compaction.read_raw_days(spark, raw, store, FIRST_DAY, until, PROVIDERS,
+                                     before=dt.datetime.combine(until, dt.time(3)))
+    return collate.collate_range(found, FIRST_DAY, LAST_DAY, PROVIDERS).drop("service_day")
+
+
 @query
 def daily_store(spark: SparkSession, sf: str) -> DataFrame:
     """A month collated by service day, again by calendar day, and some days without events:

@@ -43,6 +43,14 @@ def _current(pointers: DataFrame) -> DataFrame:
         F.max_by("stored_version", F.struct("set_at", "stored_version")).alias("stored_version"))
 
 
+def current_versions(spark: SparkSession, root: str, folders: list[str]) -> dict[tuple, str]:
+    """The current version of each key whose folder of pointers is named; no other is listed."""
+    if not folders:
+        return {}
+    rows = spark.read.schema(POINTERS).option("basePath", f"{root.rstrip('/')}/current").json(folders)
+    return {tuple(row[c] for c in KEY): row["stored_version"] for row in _current(rows).collect()}
+
+
 def publish_days(
     spark: SparkSession, root: str, covered: DataFrame, write: Callable[[str], None]
 ) -> str:

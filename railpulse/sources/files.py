@@ -23,6 +23,23 @@ def listed(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(place))
 
 
+def tree(spark: SparkSession, path: str) -> list[str]:
+    """Files in a folder and all below it, by their path from there; none if it does not exist."""
+    system, place = _opened(spark, path)
+    if not system.exists(place):
+        return []
+    above = place.toUri().getPath().rstrip("/") + "/"
+    found, names = system.listFiles(place, True), []
+    while found.hasNext():
+        names.append(found.next().getPath().toUri().getPath().removeprefix(above))
+    return sorted(names)
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A value as it is spelled in the name of a partition's folder."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, place = _opened(spark, path)
     system.delete(place, True)

@@ -28,7 +28,16 @@ def read_raw_events(spark: SparkSession, root: str) -> DataFrame:
     A line holding a whole array reads the same. Partition columns (provider, Year,
     Month, Day) come with the rows, and filters on them prune folders.
     """
-    rows = parse_event_documents(spark.read.option("pathGlobFilter", RAW_FILES).text(root))
+    return _parsed_lines(spark.read.option("pathGlobFilter", RAW_FILES).text(root))
+
+
+def read_raw_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """The same of some files of the store at ``root``; nothing else of it is listed."""
+    return _parsed_lines(spark.read.option("basePath", root).text(paths))
+
+
+def _parsed_lines(lines: DataFrame) -> DataFrame:
+    rows = parse_event_documents(lines)
     if "provider" in rows.columns:
         rows = rows.withColumn("provider", _provider_from_path(F.col("provider")))
     return rows

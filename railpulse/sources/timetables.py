@@ -55,7 +55,8 @@ def _read_csv(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame
 
     ``ord`` is taken at the scan, before any shuffle, and grows in file order.
     """
-    lines = spark.read.option("header", True).csv(path)
+    # A quote inside a quoted cell is doubled, as the published format says.
+    lines = spark.read.option("header", True).option("escape", '"').csv(path)
     present = {name.strip().lstrip("\ufeff"): name for name in lines.columns}
     fields = []
     for field in layout:

@@ -1,0 +1,100 @@
+import datetime as dt
+import re
+
+from railpulse.sinks import compaction, stores
+from railpulse.sinks.day_versions import remove_superseded
+from railpulse.sources import files, raw_events
+from tests.test_stores import bag, event, frame
+
+DAYS = [dt.date(2025, 1, day) for day in range(1, 7)]
+BOTH = ("Amtrak", "Via")
+
+
+def write(spark, root, batch, day, *times, provider="Amtrak", trip="t"):
+    rows = frame(spark, *[event(f"{trip}{k}", time, provider) for k, time in enumerate(times)])
+    stores.write_raw_events(rows, root, dt.datetime.combine(day, dt.time()), batch)
+
+
+def place(tmp_path):
+    return str(tmp_path / "raw"), str(tmp_path / "days")
+
+
+def rows_of(df):
+    return bag(df, "provider", "Year", "Month", "Day", "trip_id", "event_time")
+
+
+def whole(spark, raw):
+    return rows_of(raw_events.read_raw_events(spark, raw))
+
+
+def test_reads_what_the_raw_store_holds(spark, tmp_path):
+    raw, store = place(tmp_path)
+    every = (spark, raw, store, DAYS[0], DAYS[-1], BOTH)
+    assert compaction.compact_raw_days(*every) is None
+    assert compaction.read_raw_days(*every).count() == 0
+    for day in DAYS[:4]:
+        write(spark, raw, 0, day, f"{day}T10:00:00+00:00", "unknown")
+        write(spark, raw, 1, day, f"{day}T09:00:00+00:00", provider="Via", trip="v")
+    assert rows_of(compaction.read_raw_days(*every)) == whole(spark, raw)
+    run = compaction.compact_raw_days(*every)
+    found = compaction.day_files(*every)
+    assert not any(own.raw for own in found.values())
+    assert all(f"stored_version={run}" in path for own in found.values() for path in own.compacted)
+    assert rows_of(compaction.read_raw_days(*every)) == whole(spark, raw)
+    # A later batch is read beside the compacted files; of a batch that ran again, its raw files.
+    write(spark, raw, 2, DAYS[1], f"{DAYS[1]}T11:00:00+00:00", trip="late")
+    write(spark, raw, 0, DAYS[2], f"{DAYS[2]}T12:00:00+00:00", trip="again")
+    found = compaction.day_files(*every)
+    sizes = {key[3]: (len(own.compacted), len(own.raw)) for key, own in found.items() if key[0] == "Amtrak"}
+    assert sizes == {1: (1, 0), 2: (1, 1), 3: (0, 1), 4: (1, 0), 5: (0, 0), 6: (0, 0)}
+    assert rows_of(compaction.read_raw_days(*every)) == whole(spark, raw)
+    # Compacted anew, nothing is read from raw files; the old version can go.
+    compaction.compact_raw_days(*every)
+    assert remove_superseded(spark, store, dt.timedelta(0)) == [run]
+    assert not any(own.raw for own in compaction.day_files(*every).values())
+    assert rows_of(compaction.read_raw_days(*every)) == whole(spark, raw)
+
+
+def test_a_day_lists_that_day_only(spark, tmp_path, monkeypatch):
+    raw, store = place(tmp_path)
+    for day in DAYS:
+        for batch in range(3):
+            write(spark, raw, batch, day, f"{day}T10:0{batch}:00+00:00")
+    compaction.compact_raw_days(spark, raw, store, DAYS[0], DAYS[-1], BOTH)
+    asked, tree, exists = [], files.tree, files.exists
+    monkeypatch.setattr(files, "tree", lambda s, path: asked.append(path) or tree(s, path))
+    monkeypatch.setattr(files, "exists", lambda s, path: asked.append(path) or exists(s, path))
+    rows = compaction.read_raw_days(spark, raw, store, DAYS[2], DAYS[2], BOTH)
+    assert rows.count() == 3
+    # For each provider the raw day and its pointer, and one index; no other folder.
+    assert len(asked) <= 6 and {int(re.search(r"Day=0?(\d+)", path)[1]) for path in asked} == {3}
+    opened = rows.inputFiles()
+    assert len(opened) == 1 and "/Day=3/" in opened[0]
+
+
+def test_files_outside_a_time_range_are_not_read(spark, tmp_path):
+    raw, store = place(tmp_path)
+    day, three = DAYS[0], dt.datetime.combine(DAYS[0], dt.time(3))
+    write(spark, raw, 0, day, *[f"{day}T{hour:02d}:30:00+00:00" for hour in (1, 8, 20)])
+    write(spark, raw, 1, DAYS[1], *[f"{DAYS[1]}T{hour:02d}:30:00+00:00" for hour in (8, 20)])
+    write(spark, raw, 2, DAYS[2], f"{DAYS[2]}T08:30:00+00:00", "unknown")
+    every = (spark, raw, store, day, DAYS[2], ["Amtrak"])
+    compaction.compact_raw_days(*every)
+    late = {"since": dt.datetime(2025, 1, 2, 0, 0), "before": dt.datetime(2025, 1, 2, 9, 0)}
+    found = compaction.day_files(*every, **late)
+    assert [len(own.compacted) for own in found.values()] == [0, 1, 1]  # the last holds an unreadable time
+    times = {r["event_time"] for r in compaction.read_raw_days(*every, **late).collect()}
+    assert times == {"2025-01-02T08:30:00+00:00", "unknown"}
+    early = compaction.read_raw_days(spark, raw, store, day, day, ["Amtrak"], before=three)
+    assert [r["event_time"] for r in early.collect()] == ["2025-01-01T01:30:00+00:00"]
+
+
+def test_sorted_within_files(spark, tmp_path):
+    raw, store = place(tmp_path)
+    for batch, hour in enumerate((9, 3, 21, 12)):
+        write(spark, raw, batch, DAYS[0], f"{DAYS[0]}T{hour:02d}:00:00+00:00", f"{DAYS[0]}T{hour:02d}:30:00+00:00")
+    compaction.compact_raw_days(spark, raw, store, DAYS[0], DAYS[0], BOTH)
+    found = compaction.read_raw_days(spark, raw, store, DAYS[0], DAYS[0], BOTH)
+    (file,) = found.inputFiles()
+    times = [r["event_time"] for r in spark.read.parquet(file).orderBy("_metadata.row_index").collect()]
+    assert len(times) == 8 and times == sorted(times)
