@@ -14,6 +14,8 @@ last two may be missing.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,14 +38,14 @@ def _logarithm(number: Column, per_doubling: int) -> Column:
     return F.least(grid, F.lit((1 << BITS) - 1))
 
 
-def with_curve_index(docs: DataFrame) -> DataFrame:
-    """``doc_id, size, text_crc32, lang, source, curve_index`` of every document."""
+def with_curve_index(docs: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, size, text_crc32, lang, source, curve_index`` of every document, and ``carried``."""
     text = F.col("text").cast("string")
     column = {c: F.col(c) if c in docs.columns else F.lit(None).cast("string") for c in ("lang", "source")}
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
     rows = docs.select(
         F.col("doc_id"), size.alias("size"), F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
-        *[c.alias(name) for name, c in column.items()],
+        *[c.alias(name) for name, c in column.items()], *carried,
         _category(column["lang"]).alias("_x"), _category(column["source"]).alias("_y"),
         _logarithm(F.char_length(text), 24).alias("_z"),
         # How much of a text lies outside ASCII: 0 to 1023 for one to four bytes a character.
@@ -77,9 +79,17 @@ def with_shards(indexed: DataFrame, n_shards: int = 24) -> DataFrame:
         "_part", "_place", "_before", "_rank")
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str) -> None:
-    """Whole documents under ``shard=…`` folders in the order of their slots."""
-    extra = [c for c in docs.columns if c not in ("shard", "slot")]
-    (docs.select(*extra).join(assigned.select("doc_id", "shard", "slot"), "doc_id")
+def write_shards(docs: DataFrame, path: str, n_shards: int = 24) -> None:
+    """Whole documents under ``shard=…`` folders in the order of their slots.
+
+    Rows are numbered and stored first and get their shard by that number, so rows with a null
+    id and rows that repeat an id are written like all others. Columns ``shard``, ``slot`` and
+    ``_row`` of the documents are replaced.
+    """
+    own = [c for c in docs.columns if c not in ("shard", "slot", "_row")]
+    numbered = stored(docs.select(*own, F.monotonically_increasing_id().alias("_row")), "numbered")
+    assigned = with_shards(with_curve_index(numbered, carried=("_row",)), n_shards).select("_row", "shard", "slot")
+    # Both sides grow with the documents, so neither is broadcast.
+    (numbered.join(assigned.hint("merge"), "_row").drop("_row")
      .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))

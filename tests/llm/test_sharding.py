@@ -1,4 +1,7 @@
 import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from railpulse.llm import sharding
 from railpulse.session import shared_folder
@@ -25,15 +28,25 @@ def test_fewer_rows_than_shards(spark):
     assert len({r["shard"] for r in rows}) == len(cases.ROWS) and {r["slot"] for r in rows} == {0}
 
 
+def test_null_and_repeated_ids_are_written(spark):
+    docs = cases.unusual(spark, clashing=True)
+    docs = docs.unionAll(docs)
+    path = shared_folder(spark, "shards")
+    sharding.write_shards(docs.withColumn("slot", F.lit("x")), path, 4)
+    rows = spark.read.parquet(path).select("doc_id", "text", "shard", "slot").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter(
+        (r["doc_id"], r["text"]) for r in docs.collect())
+    assert len({(r["shard"], r["slot"]) for r in rows}) == 2 * len(cases.ROWS)
+
+
 def test_empty_table(spark):
     assert sharding.with_shards(sharding.with_curve_index(cases.empty(spark)), 24).count() == 0
 
 
 def test_shards_are_compact_and_written(spark, sf001):
     docs = spark.read.parquet(f"{sf001}/documents.parquet")
-    assigned = sharding.with_shards(sharding.with_curve_index(docs), 24)
     path = shared_folder(spark, "shards")
-    sharding.write_shards(docs, assigned, path)
+    sharding.write_shards(docs, path, 24)
     stored = spark.read.parquet(path)
     assert stored.count() == docs.count()
     rows = stored.select("shard", "lang", "source", "n_chars").collect()
