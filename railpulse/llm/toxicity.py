@@ -1,8 +1,10 @@
 """Toxicity by weak supervision: many voters, a generative model of them, a linear classifier.
 
 1. Lexicon. Words and word beginnings that are far likelier in toxic texts than in others
-   are mined from all labelled rows that may be learned from. A term must stand in many
-   different contexts (next words), so that copies of one text don't teach its vocabulary.
+   are mined from all labelled rows that may be learned from, in one aggregation. A term must
+   stand in many different contexts (next words), so that copies of one text don't teach its
+   vocabulary. Every term that passes stays; only those come to the driver and to the tasks
+   (their number is logged).
 2. Voters. A lexicon voter has the terms of one kind (words or beginnings) and one tier of
    precision, and votes if a text has any of them (or, for a second one, has one twice);
    patterns (shouting, repeated marks, masked letters, address) vote besides. A text's votes
@@ -11,8 +13,10 @@
 3. Label model. Two classes; within each, a vote depends on the class and on one other vote
    (the tree of strongest dependencies), so accuracies and correlations are both estimated.
    Expectation-maximisation: known labels are held, others get posteriors.
-4. Classifier. Logistic regression on terms and votes, with posterior labels as targets, on
-   at most ``SAMPLE`` rows chosen by a hash among those that may be learned from.
+4. Classifier. Logistic regression on terms and votes, with the label model's posteriors as
+   targets of all rows, also of those whose label is known, on at most ``SAMPLE`` rows chosen by
+   a hash among those that may be learned from. Terms in fewer than ``LEAST_ROWS`` of them have
+   no weight of their own and count through their voters, which bounds the columns by the sample.
 
 Null and empty texts have no terms and no votes and get the score that goes with that. Rows
 with a null id are scored and never learned from. A label table may repeat ids: an id is
@@ -22,7 +26,8 @@ than id and text are ignored.
 
 from __future__ import annotations
 
-import math
+import json
+import logging
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -34,12 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from railpulse.llm.tables import stored, whole_text
+from railpulse.llm.tables import least_hashes, stored, whole_text
 from railpulse.operators.timetable import join_on
 
+log = logging.getLogger(__name__)
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
-TERMS, SAMPLE = 512, 20_000
+SAMPLE, HELD = 20_000, 200_000
+#: A term must be in so many toxic texts, and in so many sampled rows for a weight of its own.
+LEAST, LEAST_ROWS = 3, 3
 TIERS = (0.9, 0.7)  # lower bounds of precision; the last tier has the rest
 LEAST_ODDS, LEAST_GAIN = 1.5, 9.0
 #: What the pattern voters look for.
@@ -63,71 +71,70 @@ def terms_of(words: set[str]) -> set[str]:
 
 # --- lexicon -------------------------------------------------------------------------
 
-def _mined(rows: DataFrame, candidates: frozenset[str] | None) -> DataFrame:
-    """Texts per term, and a mask of 64 hashed contexts; all terms, or the candidates only."""
+def _counted(rows: DataFrame) -> DataFrame:
+    """``term, n, other, contexts``: toxic and clean texts with the term, different contexts in toxic ones."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[int]] = {}
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_pydict({
-                "term": pa.array(list(held), pa.string()),
-                "n": pa.array([v[0] for v in held.values()], pa.int64()),
-                "contexts": pa.array(np.array([v[1] for v in held.values()], np.uint64).view(np.int64))})
+            n, other, masks = (np.array(column, np.uint64).view(np.int64) for column in zip(*held.values()))
+            out = pa.RecordBatch.from_pydict({"term": pa.array(list(held), pa.string()), "n": n,
+                                              "other": other, "contexts": masks})
             held.clear()
             return out
 
         for batch in batches:
-            for value in batch["text"]:
+            for value, toxic in zip(batch["text"], batch["toxic"].to_pylist()):
                 words = WORD.findall(value.as_py().lower())
-                if candidates is None:
-                    following = dict(zip(words, [*words[1:], ""]))
+                if toxic == 1:
                     masks: Counter = Counter()
-                    for word, after in following.items():
+                    for word, after in dict(zip(words, [*words[1:], ""])).items():
                         bit = 1 << (sum(after.encode()) * 40503 >> 3) % 64
                         for term in terms_of({word}):
                             masks[term] |= bit
+                    for term, mask in masks.items():
+                        entry = held.setdefault(term, [0, 0, 0])
+                        entry[0] += 1
+                        entry[2] |= mask
                 else:
-                    masks = dict.fromkeys(candidates.intersection(terms_of(set(words))), 0)
-                for term, mask in masks.items():
-                    entry = held.setdefault(term, [0, 0])
-                    entry[0] += 1
-                    entry[1] |= mask
-                if len(held) > 200_000:
+                    for term in terms_of(set(words)):
+                        held.setdefault(term, [0, 0, 0])[1] += 1
+                if len(held) > HELD:
                     yield flush()
         if held:
             yield flush()
 
-    return (rows.select(whole_text().alias("text")).mapInArrow(count, "term string, n long, contexts long")
-            .groupBy("term").agg(F.sum("n").alias("n"), F.expr("bit_count(bit_or(contexts))").alias("contexts")))
+    counts = rows.select(whole_text().alias("text"), "toxic").mapInArrow(
+        count, "term string, n long, other long, contexts long")
+    return counts.groupBy("term").agg(
+        F.sum("n").alias("n"), F.sum("other").alias("other"), F.expr("bit_count(bit_or(contexts))").alias("contexts"))
+
 
+def lexicon_of(labelled: DataFrame) -> DataFrame:
+    """``term, precision, gain`` of every term that passes, from rows of ``text, toxic``.
 
-def mine_lexicon(labelled: DataFrame, n_terms: int = TERMS) -> list[tuple[str, float]]:
-    """Terms with their precision in falling order of evidence, from rows of ``text, toxic``."""
+    The bounds are the same at every size, and every term that passes them stays.
+    """
     sizes = {row["toxic"]: row["count"] for row in labelled.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    if not toxic:
-        return []
-    # A candidate is in one of 400 toxic texts at least, which bounds their number.
-    least = max(3, toxic // 400)
-    positive = _mined(labelled.where("toxic = 1"), None).where(F.col("n") >= least).where(
-        F.col("contexts") >= F.least(F.lit(8), F.greatest(F.lit(2), F.floor(F.col("n") * 0.3)))).collect()
-    candidates = {row["term"]: row["n"] for row in positive}
-    negative = {row["term"]: row["n"] for row in
-                _mined(labelled.where("toxic = 0"), frozenset(candidates)).collect()}
-    rate = toxic / (toxic + clean)
-    evidence = []
-    for term, n in candidates.items():
-        other = negative.get(term, 0)
-        odds = math.log((n + 0.5) / (toxic + 1)) - math.log((other + 0.5) / (clean + 1))
-        if odds >= LEAST_ODDS:
-            # How much likelier the term's labels are at its own rate than at that of all texts.
-            both = n + other
-            gain = n * math.log(n / (both * rate)) + (
-                other * math.log(other / (both * (1 - rate))) if other else 0.0)
-            evidence.append((gain, term, (n + 0.5) / (both + 1)))
-    return [(term, precision) for gain, term, precision in sorted(evidence, reverse=True)[:n_terms]
-            if gain >= LEAST_GAIN]
+    rate = max(toxic, 1) / max(toxic + clean, 1)
+    n, other = F.col("n"), F.col("other")
+    both = n + other
+    odds = F.log((n + 0.5) / (toxic + 1.0)) - F.log((other + 0.5) / (clean + 1.0))
+    # How much likelier the term's labels are at its own rate than at that of all texts.
+    gain = n * F.log(n / (both * rate)) + F.when(
+        other > 0, other * F.log(other / (both * (1 - rate)))).otherwise(0.0)
+    varied = F.col("contexts") >= F.least(F.lit(8), F.greatest(F.lit(2), F.floor(n * 0.3)))
+    return (_counted(labelled).where((n >= LEAST) & varied & (odds >= LEAST_ODDS))
+            .select("term", ((n + 0.5) / (both + 1)).alias("precision"), gain.alias("gain"))
+            .where(F.col("gain") >= LEAST_GAIN))
+
+
+def mine_lexicon(labelled: DataFrame) -> list[tuple[str, float]]:
+    """Terms with their precision in falling order of evidence."""
+    rows = sorted(lexicon_of(labelled).collect(), key=lambda row: (-row["gain"], row["term"]))
+    return [(row["term"], row["precision"]) for row in rows]
 
 
 def votes_of(term: str, precision: float) -> tuple[int, int]:
@@ -247,12 +254,19 @@ def fit_label_model(masks: np.ndarray, labels: np.ndarray, counts: np.ndarray, r
 
 # --- classifier ----------------------------------------------------------------------
 
-def features(hits: list[list[int]], masks: np.ndarray, n_terms: int) -> np.ndarray:
-    """A column per term, per term that stands there twice, per vote, and one of ones."""
-    out = np.zeros((len(masks), 2 * n_terms + VOTERS + 1), np.float32)
+def own_columns(hits: list[list[int]]) -> np.ndarray:
+    """Numbers of the terms (and of terms twice) that stand in enough sampled rows, ascending."""
+    numbers, times = np.unique(np.concatenate([np.asarray(h, np.int64) for h in hits]), return_counts=True)
+    return numbers[times >= LEAST_ROWS]
+
+
+def features(hits: list[list[int]], masks: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """A column per term or term that stands there twice, per vote, and one of ones."""
+    out = np.zeros((len(masks), len(columns) + VOTERS + 1), np.float32)
+    place = {int(number): k for k, number in enumerate(columns)}
     for row, found in enumerate(hits):
-        out[row, found] = 1
-    out[:, 2 * n_terms:-1] = bits_of(masks)
+        out[row, [place[k] for k in found if k in place]] = 1
+    out[:, len(columns):-1] = bits_of(masks)
     out[:, -1] = 1
     return out
 
@@ -281,8 +295,12 @@ def fit_classifier(x: np.ndarray, target: np.ndarray, penalty: float = 0.5, roun
 
 
 def scored(hits: DataFrame, n_terms: int, weights: np.ndarray) -> DataFrame:
-    """``doc_id, score`` from stored hits, as built-in expressions."""
-    term_weights = F.lit([float(w) for w in weights[:2 * n_terms]])
+    """``doc_id, score`` from stored hits, as built-in expressions.
+
+    ``weights``: of every term, every term twice, every vote, and the constant.
+    """
+    # As one literal: an array of as many expressions would be slow to plan.
+    term_weights = F.from_json(F.lit(json.dumps([float(w) for w in weights[:2 * n_terms]])), "array<double>")
     total = F.lit(float(weights[-1])) + F.aggregate(
         "hits", F.lit(0.0), lambda s, k: s + F.get(term_weights, k))
     for k in range(VOTERS):
@@ -290,8 +308,7 @@ def scored(hits: DataFrame, n_terms: int, weights: np.ndarray) -> DataFrame:
     return hits.select("doc_id", (1 / (1 + F.exp(-total))).alias("score"))
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, may_learn: Column, n_terms: int = TERMS,
-                    sample: int = SAMPLE) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = SAMPLE) -> DataFrame:
     """``doc_id, score`` of every row; only rows with ``may_learn`` lend their labels."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")))
@@ -299,7 +316,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, may_learn: Column, n_ter
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     # Labels grow with the texts, so they are never broadcast; the texts are shuffled once.
     labelled = stored(texts.where(learning).join(known.hint("merge"), "doc_id").select("text", "toxic"), "labelled")
-    lexicon = mine_lexicon(labelled, n_terms)
+    lexicon = mine_lexicon(labelled)
+    log.info("%d terms in the lexicon", len(lexicon))
     if not lexicon:
         return texts.select("doc_id", F.lit(0.0).alias("score"))
     hits = stored(term_hits(docs, lexicon), "hits")
@@ -308,9 +326,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, may_learn: Column, n_ter
     counts = seen.groupBy("votes", "label").count().toPandas().sort_values(["votes", "label"])
     model = fit_label_model(counts["votes"].to_numpy(np.int64), counts["label"].to_numpy(np.int64),
                             counts["count"].to_numpy(float))
-    chosen = (seen.where("learning").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-              .select("hits", "votes", "label").toPandas())
-    masks, label = chosen["votes"].to_numpy(np.int64), chosen["label"].to_numpy(np.int64)
-    target = np.where(label >= 0, label, model.posterior(masks))
-    weights = fit_classifier(features(chosen["hits"].tolist(), masks, len(lexicon)), target)
+    chosen = least_hashes(hits.where(learning), sample, "doc_id").select("hits", "votes").toPandas()
+    masks, found = chosen["votes"].to_numpy(np.int64), chosen["hits"].tolist()
+    columns = own_columns(found)
+    fitted = fit_classifier(features(found, masks, columns), model.posterior(masks))
+    weights = np.zeros(2 * len(lexicon) + VOTERS + 1)
+    weights[columns], weights[2 * len(lexicon):] = fitted[:len(columns)], fitted[len(columns):]
     return scored(hits, len(lexicon), weights)

@@ -65,3 +65,56 @@ def test_unusual_rows_with_a_lexicon(spark):
     scores = {r["doc_id"]: r["score"] for r in toxicity.scored(
         toxicity.term_hits(cases.unusual(spark), lexicon), 2, weights).collect()}
     assert abs(scores[1] - 1 / (1 + np.exp(-2))) < 1e-12 and abs(scores[3] - 1 / (1 + np.exp(1))) < 1e-12
+
+
+def test_lexicon_against_brute_force(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    labelled = docs.join(labels.select("doc_id", "toxic"), "doc_id").select("text", "toxic")
+    rows = [(r["text"] or "", r["toxic"]) for r in labelled.collect()]
+    toxic = sum(t for _, t in rows)
+    clean, seen = len(rows) - toxic, {}
+    for text, label in rows:
+        words = toxicity.WORD.findall(text.lower())
+        following = dict(zip(words, [*words[1:], ""]))
+        for term in toxicity.terms_of(set(words)):
+            contexts, counts = seen.setdefault(term, (set(), [0, 0]))
+            counts[label] += 1
+            if label:
+                contexts.update(sum(following[w].encode()) * 40503 >> 3 & 63 for w in words
+                                if w == term or len(w) >= len(term) > 1 and term == w[:len(term) - 1] + "-")
+    want = {}
+    for term, (contexts, (other, n)) in seen.items():
+        if n < toxicity.LEAST or len(contexts) < min(8, max(2, int(n * 0.3))):
+            continue
+        odds = np.log((n + 0.5) / (toxic + 1)) - np.log((other + 0.5) / (clean + 1))
+        gain = n * np.log(n * len(rows) / ((n + other) * toxic))
+        gain += other * np.log(other * len(rows) / ((n + other) * clean)) if other else 0
+        if odds >= toxicity.LEAST_ODDS and gain >= toxicity.LEAST_GAIN:
+            want[term] = (n + 0.5) / (n + other + 1)
+    monkeypatch.setattr(toxicity, "HELD", 50)  # counts leave a task in many parts
+    found = dict(toxicity.mine_lexicon(labelled))
+    assert want and found.keys() == want.keys()
+    assert all(abs(found[t] - want[t]) < 1e-12 for t in want)
+
+
+def test_rare_terms_count_through_their_voters():
+    hits = [[0, 2], [0], [0, 1], [5], [], [0, 2], [2]]
+    columns = toxicity.own_columns(hits)
+    assert columns.tolist() == [0, 2]
+    x = toxicity.features(hits, np.array([1] * len(hits)), columns)
+    assert x.shape == (7, 2 + toxicity.VOTERS + 1)
+    assert x[:, :2].tolist() == [[1, 1], [1, 0], [1, 0], [0, 0], [0, 0], [1, 1], [0, 1]]
+    assert (x[:, 2] == 1).all() and (x[:, -1] == 1).all()
+
+
+def test_scores_against_dense_vectors(spark):
+    source = np.random.default_rng(3)
+    n_terms = 700
+    weights = source.normal(size=2 * n_terms + toxicity.VOTERS + 1)
+    rows = [(k, sorted(source.choice(2 * n_terms, int(source.integers(0, 30)), replace=False).tolist()),
+             int(source.integers(0, 2 ** toxicity.VOTERS))) for k in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, hits array<int>, votes int")
+    dense = toxicity.features([h for _, h, _ in rows], np.array([v for _, _, v in rows]), np.arange(2 * n_terms))
+    want = 1 / (1 + np.exp(-(dense.astype(float) @ weights)))
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(table, n_terms, weights).collect()}
+    assert all(abs(got[k] - want[k]) < 1e-6 for k in got) and len(got) == 200
