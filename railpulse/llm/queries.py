@@ -23,7 +23,7 @@ from railpulse.llm import (
     toxicity,
     warc,
 )
-from railpulse.llm.tables import read
+from railpulse.llm.tables import read, stored
 from railpulse.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,7 +56,11 @@ def op2_multiset_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 def op4_warc_salvage(spark: SparkSession, sf: str) -> DataFrame:
     typed = warc.with_record_types(read(spark, sf, "pages"))
     archives = warc.write_archives(typed, shared_folder(spark, "warc"))
-    return warc.read_archives(archives).where("reason is null").select(
+    drilled = warc.salvage_drill(archives, shared_folder(spark, "warc-damaged")).agg(F.sum("lost_unstruck")).first()
+    if drilled[0]:
+        raise ValueError(f"salvage lost {drilled[0]} records of damaged copies that the damage did not strike")
+    found = stored(warc.read_archives(archives).drop("payload"), "warc-read")
+    return warc.split_read(found, archives, shared_folder(spark, "warc-quarantine")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

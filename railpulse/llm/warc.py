@@ -10,8 +10,14 @@ version lines) one by one. A member must inflate with the right checksum, a reco
 a version line, headers, a block of the stated length with the closing blank lines, and a
 payload of the stated digest. Where a check fails, the reader searches for the next gzip
 magic or version line that starts a valid record and goes on there; the bytes between are
-logged as a quarantined gap with the reason. Nothing is dropped silently: records and gaps
-cover an archive from its first byte to its last.
+logged as a quarantined gap with the reason. Members and gaps cover an archive from its
+first byte to its last.
+
+A member may hold several records. Where one of them fails, the search goes on in the
+inflated bytes, and the gap there is logged with its place in them (``inside``). Of a member
+that does not inflate to its end or has a wrong checksum, what did inflate is searched too: a
+record there counts if its payload's digest is stated and holds, its ``length`` is null, and
+the member's bytes are a gap all the same. Headers may be of any length.
 
 Null html is an empty payload, a null url an empty target. Null ids make records without a
 page number, which are no candidates for a response that others name. Rows that repeat the
@@ -43,8 +49,11 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DATE = "2024-01-01T00:00:00Z"
 PAGE_NAME = re.compile(r"<urn:page:(-?\d+)>")
 MANIFEST = "archive string, records long, bytes long"
-READ = ("archive string, at long, length long, reason string, record_type string, page_id long, "
-        "refers_to long, target string, payload_bytes long, payload_digest string, payload binary")
+READ = ("archive string, at long, length long, inside long, inside_length long, reason string, "
+        "record_type string, page_id long, refers_to long, target string, payload_bytes long, "
+        "payload_digest string, payload binary")
+DRILL = ("archive string, records long, damaged_from long, damaged_bytes long, struck long, "
+         "recovered long, lost_unstruck long, quarantined_bytes long")
 READ_NAMES = [column.split()[0] for column in READ.split(", ")]
 
 
@@ -120,17 +129,26 @@ def write_archives(typed: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
 
 
 class Found(NamedTuple):
-    """A record that passed every check, or a gap (no record) with the reason."""
+    """A record that passed every check, or a gap (no record) with the reason.
+
+    ``inside``: place in the member's inflated bytes, null for gaps between members and records.
+    """
 
     at: int
-    length: int
+    length: int | None
+    inside: int | None
+    inside_length: int | None
     reason: str | None
     headers: dict[str, str]
     payload: bytes
 
 
 class Invalid(Exception):
-    pass
+    """A failed check; ``inflated`` is what came out of a member before it."""
+
+    def __init__(self, reason: str, inflated: bytes = b""):
+        super().__init__(reason)
+        self.inflated = inflated
 
 
 def parse_record(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
@@ -193,19 +211,34 @@ class SalvageReader:
         while not machine.eof:
             raw = self._read(place, READ_BYTES)
             if not raw:
-                raise Invalid("member is cut off")
+                raise Invalid("member is cut off", b"".join(parts))
+            before = machine.copy()
             try:
                 parts.append(machine.decompress(raw))
             except zlib.error as error:
-                raise Invalid(f"member does not inflate: {error}") from None
+                for k in range(len(raw)):  # what this read gives up to the failing byte
+                    try:
+                        parts.append(before.decompress(raw[k:k + 1]))
+                    except zlib.error:
+                        break
+                raise Invalid(f"member does not inflate: {error}", b"".join(parts)) from None
             place += len(raw)
         return b"".join(parts), place - len(machine.unused_data)
 
     def _plain(self, at: int) -> tuple[bytes, int]:
         """Content and end of the record whose version line is at a place."""
-        raw = self._read(at, READ_BYTES)
-        head = raw.find(BLANK)
-        length = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", raw[:head] if head >= 0 else b"")
+        raw, line = self._read(at, READ_BYTES), 0
+        while (head := raw.find(BLANK)) < 0:
+            # Junk is given up at its first line without a colon, not read to its end.
+            while (end := raw.find(b"\r\n", line)) >= 0:
+                if line and b":" not in raw[line:end]:
+                    raise Invalid("header without a colon")
+                line = end + 2
+            more = self._read(at + len(raw), len(raw))
+            if not more:
+                raise Invalid("headers do not end")
+            raw += more
+        length = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", raw[:head])
         if length is None:
             raise Invalid("no headers with a content length")
         end = at + head + 2 * len(BLANK) + int(length[1])
@@ -213,19 +246,43 @@ class SalvageReader:
             raise Invalid("record is cut off")
         return self._read(at, end - at), end
 
-    def _records(self, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
+    def _member(self, at: int) -> tuple[bytes, int, bool]:
+        """Content and end of the member, or of the record by itself, at a place; whether it is a member."""
         start = self._read(at, 8)
         if start.startswith(GZIP_MAGIC):
-            raw, end = self._inflate(at)
-        elif start.startswith(VERSION):
+            return *self._inflate(at), True
+        if start.startswith(VERSION):
             raw, end = self._plain(at)
-        else:
-            raise Invalid("neither a member nor a version line")
-        found, place = [], 0
+            if parse_record(raw)[2] != len(raw):
+                raise Invalid("record is not of the stated length")
+            return raw, end, False
+        raise Invalid("neither a member nor a version line")
+
+    @staticmethod
+    def _inside(raw: bytes, at: int, length: int | None) -> Iterator[Found]:
+        """Records and gaps of inflated bytes. Without ``length`` the member failed: then only
+        records with a digest that holds count, and gaps are not listed, as its bytes are one."""
+        place, gap, reason = 0, None, ""
         while place < len(raw):
-            headers, payload, place = parse_record(raw, place)
-            found.append((headers, payload))
-        return found, end
+            try:
+                headers, payload, end = parse_record(raw, place)
+                if length is None and (headers.get("warc-type") == "revisit" or not headers.get(
+                        "warc-payload-digest", "").startswith("sha256:")):
+                    raise Invalid("no digest of its own in a broken member")
+            except Invalid as error:
+                if gap is None:
+                    gap, reason = place, str(error)
+                place = raw.find(VERSION, place + 1)
+                if place < 0:
+                    place = len(raw)
+                continue
+            if gap is not None and length is not None:
+                yield Found(at, length, gap, place - gap, reason, {}, b"")
+            gap = None
+            yield Found(at, length, place, end - place, None, headers, payload)
+            place = end
+        if gap is not None and length is not None:
+            yield Found(at, length, gap, len(raw) - gap, reason, {}, b"")
 
     def _next_start(self, at: int) -> int:
         """Place of the next magic or version line, or the end of the archive."""
@@ -242,32 +299,36 @@ class SalvageReader:
         at, gap, reason = 0, None, ""
         while at < self._size:
             try:
-                found, end = self._records(at)
+                raw, end, packed = self._member(at)
             except Invalid as error:
                 if gap is None:
                     gap, reason = at, str(error)
+                yield from self._inside(error.inflated, at, None)
                 at = self._next_start(at + 1)
                 continue
             if gap is not None:
-                yield Found(gap, at - gap, reason, {}, b"")
+                yield Found(gap, at - gap, None, None, reason, {}, b"")
                 gap = None
-            for headers, payload in found:
-                yield Found(at, end - at, None, headers, payload)
+            if packed:
+                yield from self._inside(raw, at, end - at)
+            else:
+                headers, payload, _ = parse_record(raw)
+                yield Found(at, end - at, None, None, None, headers, payload)
             at = end
         if gap is not None:
-            yield Found(gap, self._size - gap, reason, {}, b"")
+            yield Found(gap, self._size - gap, None, None, reason, {}, b"")
 
 
 def _row(archive: str, found: Found) -> tuple:
     if found.reason is not None:
-        return (archive, found.at, found.length, found.reason, *[None] * 7)
+        return (archive, *found[:5], *[None] * 7)
     headers = found.headers
     numbers = [int(m[1]) if (m := PAGE_NAME.fullmatch(headers.get(h, ""))) else None
                for h in ("warc-record-id", "warc-refers-to")]
     revisit = headers.get("warc-type") == "revisit"
     size = int(headers["full-length"]) if revisit and headers.get("full-length") else len(found.payload)
     digest = headers.get("warc-payload-digest", "").removeprefix("sha256:") or None
-    return (archive, found.at, found.length, None, headers.get("warc-type"), *numbers,
+    return (archive, *found[:5], headers.get("warc-type"), *numbers,
             headers.get("warc-target-uri"), size, digest, None if revisit else found.payload)
 
 
@@ -296,3 +357,68 @@ def read_archives(archives: DataFrame) -> DataFrame:
 
     files = max(1, archives.count())
     return archives.select("archive").repartition(files, "archive").mapInArrow(read, READ)
+
+
+def split_read(found: DataFrame, manifest: DataFrame, quarantine: str) -> DataFrame:
+    """The records of archives just read and stored; gaps go to ``quarantine``, as Parquet.
+
+    Raises where an archive gave other than the records its manifest states: results are whole
+    or there are none.
+    """
+    found.where("reason is not null").drop("payload").write.mode("append").parquet(quarantine)
+    records = found.where("reason is null")
+    read = records.groupBy("archive").agg(F.count("*").alias("n_read"))
+    short = (manifest.join(read, "archive", "left").where(F.coalesce("n_read", F.lit(0)) != F.col("records"))
+             .select(F.count("*"), F.min("archive")).first())
+    if short[0]:
+        raise ValueError(f"{short[0]} archives gave other than their records, such as {short[1]}; see {quarantine}")
+    return records
+
+
+def salvage_drill(archives: DataFrame, folder: str, every: int = 8) -> DataFrame:
+    """Damages a copy of the archives of every ``every``-th writing task and salvages it.
+
+    The middle sixteenth of a copy is overwritten. Per copy: records of the archive, the bytes
+    damaged, records they struck, records recovered, records lost though not struck (none, if the
+    reader does its work) and bytes in quarantine. Copies that are not needed longer stay in
+    ``folder``, which is scratch.
+    """
+    schema = pa.schema([(name, {"string": pa.string(), "long": pa.int64()}[kind])
+                        for name, kind in (c.split() for c in DRILL.split(", "))])
+
+    def drill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place in batch["archive"].to_pylist():
+                store, path = fs.FileSystem.from_uri(place)
+                target, root = fs.FileSystem.from_uri(folder)
+                target.create_dir(root)
+                copy = f"{root}/{uuid.uuid4().hex}-{path.rsplit('/', 1)[-1]}"
+                with store.open_input_file(path) as source:
+                    size = source.size()
+                    begin, length = size // 2, max(1, size // 16)
+                    with target.open_output_stream(copy, compression=None) as out:
+                        at = 0
+                        while at < size:
+                            source.seek(at)
+                            block = bytearray(source.read(min(1 << 20, size - at)))
+                            low, high = max(begin - at, 0), min(begin + length - at, len(block))
+                            if low < high:
+                                block[low:high] = b"\xa5" * (high - low)
+                            out.write(bytes(block))
+                            at += len(block)
+                    # Places, not payloads, are kept: some tens of bytes a record of one archive.
+                    whole = {(f.at, f.inside): f.length for f in SalvageReader(source) if f.reason is None}
+                with target.open_input_file(copy) as source:
+                    got, gaps = set(), 0
+                    for f in SalvageReader(source):
+                        if f.reason is None:
+                            got.add((f.at, f.inside))
+                        elif f.inside is None:
+                            gaps += f.length
+                struck = {key for key, n in whole.items() if key[0] < begin + length and begin < key[0] + n}
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, (
+                    place, len(whole), begin, length, len(struck), len(got & whole.keys()),
+                    len(whole.keys() - struck - got), gaps)))], schema=schema)
+
+    chosen = archives.where(F.regexp_extract("archive", r"/(\d{6,})-\d+-[^/]*$", 1).cast("long") % every == 0)
+    return chosen.select("archive").repartition(max(1, archives.count()), "archive").mapInArrow(drill, DRILL)
