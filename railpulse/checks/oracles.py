@@ -217,6 +217,18 @@ def oracle_sql() -> dict[str, str]:
         "last_stop_per_trip": _with("select * from last_stops", "last_stops"),
         "direction_lookup_primary": _with("select * from lookup1", "lookup1"),
         "direction_lookup_secondary": _with("select * from lookup2", "lookup2"),
+        "stop_sequence_fill": _with(
+            """, timed as (select event_id, "trainNumRaw", code, coalesce(arr, dep) as seen from station_rows),
+            calls as (select trip_short_name, stop_id, sec % 86400 as sec, stop_sequence
+                      from stop_times s join trips t on s.trip_id = t.trip_id),
+            late as (select event_id, sec, stop_sequence, (hour(seen) * 3600 + minute(seen) * 60
+                            + second(seen) - sec + 129600) % 86400 - 43200 as off_plan
+                     from timed join calls on trip_short_name = "trainNumRaw" and stop_id = code),
+            nearest as (select * from late where abs(off_plan) <= 3600 qualify row_number() over (
+                            partition by event_id order by abs(off_plan), sec, stop_sequence) = 1)
+            select event_id, "trainNumRaw", code, stop_sequence, cast(sec as int) as planned_time,
+                   cast(off_plan as int) as off_plan
+            from timed left join nearest using (event_id)""", "station_rows", "stop_times", "trips"),
         "direction_id": _with(
             """select event_id, "trainNumRaw", "destCode", direction_id, lookup_method
                 from directed""", "directed"),

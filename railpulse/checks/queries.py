@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from railpulse.checks import views
 from railpulse.functions import timecols
-from railpulse.operators import enrich, events, filters, manifest, quality, reshape, timetable
+from railpulse.operators import enrich, events, filters, manifest, quality, reshape, sequence, timetable
 from railpulse.plans import collate, ingest, timetable_refresh
 from railpulse.schemas import BRIGHTLINE, EVENT_COLUMNS, PROVIDERS
 from railpulse.session import shared_folder
@@ -143,6 +143,18 @@ def direction_lookup_secondary(spark: SparkSession, sf: str) -> DataFrame:
     return timetable.direction_by_last_stop(views.trips(spark, sf), views.stop_times(spark, sf))
 
 
+@query
+def stop_sequence_fill(spark: SparkSession, sf: str) -> DataFrame:
+    numbers = views.trips(spark, sf).select("trip_id", F.col("trip_short_name").alias("trainNumRaw"))
+    planned = timetable.with_clock_times(views.stop_times(spark, sf), extended_hours=True)
+    calls = timetable.join_on(planned, numbers, ["trip_id"], hot=False).withColumnRenamed("stop_id", "code")
+    seen = F.coalesce("arr", "dep")
+    rows = views.station_rows(spark, sf).withColumn(
+        "second", (F.hour(seen) * 3600 + F.minute(seen) * 60 + F.second(seen)).cast("int"))
+    return sequence.with_stop_sequence(rows, calls, ["trainNumRaw", "code"], "second").select(
+        "event_id", "trainNumRaw", "code", "stop_sequence", "planned_time", "off_plan")
+
+
 # --- enrichment ----------------------------------------------------------------------
 
 @query
