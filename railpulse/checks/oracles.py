@@ -22,6 +22,19 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                cast(l_orderkey * 7919 % 79200 + l_linenumber * 1800 + l_partkey % 60 as int)
                    as sec
         from lineitem"""),
+    "running": ((), """
+        select service_id, day from (
+            select r_regionkey as service_id, cast(unnest(range(date '2024-01-01', date '2024-02-01',
+                       interval 1 day)) as date) as day from region)
+        where case service_id when 0 then true when 1 then isodow(day) < 6 when 2 then isodow(day) > 5
+                   when 4 then isodow(day) < 6 and day <= date '2024-01-15' else false end
+        union select n_regionkey, date '2024-01-06' + cast(n_nationkey // 10 as int)
+              from nation where n_nationkey % 2 = 0
+        except select n_regionkey, date '2024-01-06' + cast(n_nationkey // 10 as int)
+               from nation where n_nationkey % 2 = 1"""),
+    "day_sets": (("running",), """
+        select day, min(day) over (partition by services) as day_type from (
+            select day, list(service_id order by service_id) as services from running group by day)"""),
     "stops": (("trips", "stop_times"), """
         select s.trip_id, s.stop_id, s.stop_sequence, t.route_id, t.direction_id,
                case when s.sec < 86400 then s.sec end as arrival_time
@@ -217,6 +230,19 @@ def oracle_sql() -> dict[str, str]:
         "last_stop_per_trip": _with("select * from last_stops", "last_stops"),
         "direction_lookup_primary": _with("select * from lookup1", "lookup1"),
         "direction_lookup_secondary": _with("select * from lookup2", "lookup2"),
+        "service_day_types": _with(
+            """select cast(day as varchar) as service_day, cast(day_type as varchar) as day_type
+                from day_sets""", "day_sets"),
+        "scheduled_headway_by_day": _with(
+            f"""select {STOP_KEY}, cast(d.service_id as bigint) as service_id,
+                cast(day_type as varchar) as day_type,
+                cast(arrival_time - lag(arrival_time) over (
+                   partition by day_type, route_id, direction_id, stop_id
+                   order by arrival_time nulls first, trip_id, stop_sequence) as bigint)
+                   as scheduled_headway
+                from stops s join orders o on s.trip_id = cast(o.o_orderkey as varchar)
+                join (select distinct service_id, day_type from running join day_sets using (day)) d
+                  on d.service_id = o.o_custkey % 5""", "stops", "day_sets"),
         "stop_sequence_fill": _with(
             """, timed as (select event_id, "trainNumRaw", code, coalesce(arr, dep) as seen from station_rows),
             calls as (select trip_short_name, stop_id, sec % 86400 as sec, stop_sequence

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from railpulse.checks import views
 from railpulse.functions import timecols
-from railpulse.operators import enrich, events, filters, manifest, quality, reshape, sequence, timetable
+from railpulse.operators import enrich, events, filters, manifest, quality, reshape, sequence, service_days, timetable
 from railpulse.plans import collate, ingest, timetable_refresh
 from railpulse.schemas import BRIGHTLINE, EVENT_COLUMNS, PROVIDERS
 from railpulse.session import shared_folder
@@ -143,6 +143,22 @@ def direction_lookup_secondary(spark: SparkSession, sf: str) -> DataFrame:
     return timetable.direction_by_last_stop(views.trips(spark, sf), views.stop_times(spark, sf))
 
 
+@query
+def scheduled_headway_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    days = service_days.active_days(*views.service_calendar(spark, sf))
+    services = views.table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("trip_id"), (F.col("o_custkey") % 5).alias("service_id"))
+    stops = timetable.join_on(_stops(spark, sf, positions=True), services, ["trip_id"], hot=False)
+    found = service_days.with_headway_by_day_type(stops, days)
+    return _text(found.select(*STOP_KEY, "service_id", "day_type", "scheduled_headway"), "day_type")
+
+
+@query
+def service_day_types(spark: SparkSession, sf: str) -> DataFrame:
+    days = service_days.active_days(*views.service_calendar(spark, sf))
+    return _text(service_days.day_types(days), "service_day", "day_type")
+
+
 @query
 def stop_sequence_fill(spark: SparkSession, sf: str) -> DataFrame:
     numbers = views.trips(spark, sf).select("trip_id", F.col("trip_short_name").alias("trainNumRaw"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railpulse.functions import timecols
+from railpulse.operators.service_days import WEEKDAYS
 from railpulse.plans.ingest import TimetableTables, generate_events, new_departures
 from railpulse.schemas import AMTRAK, BRIGHTLINE, PROVIDERS, VIA
 
@@ -75,6 +76,27 @@ def stop_times(spark: SparkSession, sf_dir: str, positions: bool = False) -> Dat
     )
 
 
+def service_calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Regions as services with weekday patterns of a month, nations as exceptions on three days.
+
+    Service 0 runs daily, 1 on working days, 2 on weekends, 3 by exception only, 4 on working days
+    of the first half.
+    """
+    region = F.col("r_regionkey")
+    works, rests = region.isin(0, 1, 4).cast("int"), region.isin(0, 2).cast("int")
+    calendar = table(spark, sf_dir, "region").select(
+        region.alias("service_id"),
+        *[(works if k < 5 else rests).alias(name) for k, name in enumerate(WEEKDAYS)],
+        F.lit("2024-01-01").cast("date").alias("start_date"),
+        F.when(region == 4, F.lit("2024-01-15")).otherwise(F.lit("2024-01-31")).cast("date").alias("end_date"))
+    nation = F.col("n_nationkey")
+    exceptions = table(spark, sf_dir, "nation").select(
+        F.col("n_regionkey").alias("service_id"),
+        F.date_add(F.lit("2024-01-06").cast("date"), F.expr("n_nationkey div 10").cast("int")).alias("date"),
+        (nation % 2 + 1).cast("int").alias("exception_type"))
+    return calendar, exceptions
+
+
 def station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as flat station rows."""
     user, event = F.col("user_id"), F.col("event_id")
