@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railpulse.functions import timecols
+from railpulse.functions import pathcols, timecols
+from railpulse.functions.once import evaluated_once
 from railpulse.operators.service_days import WEEKDAYS
 from railpulse.plans.ingest import TimetableTables, generate_events, new_departures
 from railpulse.schemas import AMTRAK, BRIGHTLINE, PROVIDERS, VIA
@@ -200,8 +201,8 @@ def generated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated events as read from the raw store: processed on their calendar day."""
     day = timecols.event_wall_clock(F.col("event_time")).cast("date")
-    return generated_events(spark, sf_dir).withColumns(
-        {"Year": F.year(day), "Month": F.month(day), "Day": F.dayofmonth(day)})
+    return evaluated_once(generated_events(spark, sf_dir), raw_day=day).withColumns(
+        pathcols.day_parts(F.col("raw_day"))).drop("raw_day")
 
 
 def manifests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -16,6 +16,7 @@ EVENT_TIME_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\
 HTTP_DATE_SHAPE = r"^[A-Za-z]{3}, \d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2} (GMT|UTC)$"
 HTTP_DATE_PATTERN = "d MMM yyyy HH:mm:ss z"
 DAY_CLOCK_SHAPE = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
+PLAIN_CLOCK_SHAPE = r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"
 LONG_CLOCK_SHAPE = r"^\d{1,3}:[0-5]?\d:[0-5]?\d$"
 EASTERN = "America/New_York"
 SERVICE_DAY_START_HOUR = 3
@@ -42,11 +43,15 @@ def parse_http_date(text: Column) -> Column:
 def clock_seconds(text: Column, extended_hours: bool = False) -> Column:
     """``HH:MM:SS`` -> second of the day.
 
-    Times from 24:00:00 on become null unless ``extended_hours`` keeps them.
+    Times from 24:00:00 on become null unless ``extended_hours`` keeps them. Two digits each,
+    the common spelling, are read by their places; only others are split.
     """
     shape = LONG_CLOCK_SHAPE if extended_hours else DAY_CLOCK_SHAPE
     hour, minute, second = (F.get(F.split(text, ":"), F.lit(i)).cast("int") for i in range(3))
-    return F.when(text.rlike(shape), hour * 3600 + minute * 60 + second)
+    places = [F.substr(text, F.lit(i), F.lit(2)).cast("int") for i in (1, 4, 7)]
+    return F.when(
+        text.rlike(PLAIN_CLOCK_SHAPE), places[0] * 3600 + places[1] * 60 + places[2]
+    ).when(text.rlike(shape), hour * 3600 + minute * 60 + second)
 
 
 def whole_second(ts: Column) -> Column:

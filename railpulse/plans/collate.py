@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railpulse.functions import pathcols, timecols
+from railpulse.functions.once import evaluated_once
 from railpulse.operators.quality import expected_days, missing_days
 from railpulse.schemas import DEFAULT_ENABLED, EVENT_COLUMNS
 from railpulse.sinks.day_versions import DAY_COLUMNS
@@ -37,9 +38,11 @@ def daily_events(raw: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
     """
     day = timecols.service_date(timecols.event_wall_clock(F.col("event_time")))
     path = pathcols.stop_path(F.col("route_id"), F.col("direction_id"), F.col("stop_id"))
-    placed = raw.select("provider", *EVENT_COLUMNS, path.alias("stop_path"),
-                        day.alias("service_day"), *carry)
-    return placed.withColumns(pathcols.day_parts(F.col("service_day")))
+    carry = tuple(carry)
+    placed = evaluated_once(
+        raw.select("provider", *EVENT_COLUMNS, path.alias("stop_path"), *carry), service_day=day)
+    return placed.select("provider", *EVENT_COLUMNS, "stop_path", "service_day", *carry).withColumns(
+        pathcols.day_parts(F.col("service_day")))
 
 
 def collated_and_left(

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railpulse.functions import timecols
+from railpulse.functions.once import evaluated_once
 from railpulse.schemas import EVENT, EVENT_COLUMNS, PROVIDER_PATH_NAMES
 from railpulse.sinks.day_versions import KEY, POINTERS, current_versions, publish_days, version_folder
 from railpulse.sources import files, raw_events
@@ -178,9 +179,11 @@ def read_raw_days(
     for folder, paths in sorted(by_run.items()):
         rows = rows.unionByName(
             spark.read.schema(COMPACTED).option("basePath", f"{folder}/events").parquet(*paths))
-    time = _wall_clock()
+    if since is None and before is None:
+        return rows
+    rows, time = evaluated_once(rows, _time=_wall_clock()), F.col("_time")
     if since is not None:
         rows = rows.where(time.isNull() | (time >= F.lit(since.isoformat()).cast("timestamp_ntz")))
     if before is not None:
         rows = rows.where(time.isNull() | (time < F.lit(before.isoformat()).cast("timestamp_ntz")))
-    return rows
+    return rows.drop("_time")

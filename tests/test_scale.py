@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from railpulse.checks.queries import QUERIES
+from railpulse.functions import timecols
 from railpulse.operators import enrich, timetable
 
 WRITES_WHILE_BUILDING = {"event_stream", "cutoff_stream", "ingest_runs", "raw_event_store", "daily_store",
@@ -131,3 +132,18 @@ def test_keys_of_different_width_still_match(spark):
     left = spark.createDataFrame([(1, "a")], "k int, s string")
     right = spark.createDataFrame([(1, "a", "hit")], "k bigint, s string, v string")
     assert timetable.join_on(left, right, ["k", "s"]).first()["v"] == "hit"
+
+
+def test_event_times_are_parsed_once_for_each_use(spark, sf001):
+    """The raw day and the service day: filters on them copy neither parse."""
+    plan = QUERIES["collate_same_day"](spark, sf001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[T ]") == 2
+
+
+def test_common_clock_times_are_read_by_places(spark):
+    rows = spark.createDataFrame(
+        [(t,) for t in ("07:05:09", "7:5:9", "23:59:59", "24:00:00", "07:05:09\n", "07:05:9x", "-7:05:09", None)], "t string")
+    found = rows.select(timecols.clock_seconds(F.col("t")), timecols.clock_seconds(F.col("t"), True))
+    assert [tuple(r) for r in found.collect()] == [
+        (25509, 25509), (25509, 25509), (86399, 86399), (None, 86400), (25509, 25509), (None,) * 2, (None,) * 2, (None,) * 2]
+    assert "substr" in found._jdf.queryExecution().optimizedPlan().toString()
