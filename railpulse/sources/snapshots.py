@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from railpulse.functions.once import evaluated_once
 from railpulse.functions.timecols import instant_to_utc
 from railpulse.schemas import (
     OPTIONAL_STATION_FIELDS,
@@ -85,7 +86,7 @@ def parse_snapshots(docs: DataFrame) -> DataFrame:
     # Apart from its uses, so that the parse is evaluated once.
     parsed = docs.withColumn("_wrapped", wrapped).withColumn(
         "trains", F.when(F.size("_wrapped") == 1, F.get("_wrapped", F.lit(0))))
-    return parsed.withColumn("violations", _violations(F.col("trains"))).drop("_wrapped")
+    return evaluated_once(parsed, violations=_violations(F.col("trains"))).drop("_wrapped")
 
 
 def accepted_snapshots(parsed: DataFrame) -> DataFrame:

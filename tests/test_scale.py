@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from railpulse.checks.queries import QUERIES
 from railpulse.functions import timecols
 from railpulse.operators import enrich, timetable
+from railpulse.sources import snapshots
 
 WRITES_WHILE_BUILDING = {"event_stream", "cutoff_stream", "ingest_runs", "raw_event_store", "daily_store",
                          "daily_csv", "daily_store_concurrent", "collation_report", "service_day_slice", "snapshot_quarantine"}
@@ -140,6 +141,13 @@ def test_event_times_are_parsed_once_for_each_use(spark, sf001):
     assert plan.count("[T ]") == 2
 
 
+def test_rejected_documents_are_checked_once(spark, sf001):
+    docs = spark.createDataFrame([(1, "{}"), (2, "[")], "document_id bigint, value string")
+    rejected = snapshots.rejected_snapshots(snapshots.parse_snapshots(docs))
+    assert rejected._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 1
+    assert [r["document_id"] for r in rejected.collect()] == [2]
+
+
 def test_common_clock_times_are_read_by_places(spark):
     rows = spark.createDataFrame(
         [(t,) for t in ("07:05:09", "7:5:9", "23:59:59", "24:00:00", "07:05:09\n", "07:05:9x", "-7:05:09", None)], "t string")
