@@ -52,14 +52,14 @@ def write_event_stream(
 ) -> StreamingQuery:
     """Deduplicated events to a Parquet store by provider and calendar day, exactly once.
 
-    A micro-batch holds minutes of events, so it is brought together in few ``files`` per
-    folder before it is written.
+    A micro-batch is brought together in few ``files`` per folder before it is written. Folders
+    are dealt to tasks, so that a batch of many days after a pause is not written by few.
     """
     day = timecols.event_wall_clock(F.col("event_time")).cast("date")
     placed = events.select(
         "provider", *EVENT_COLUMNS,
         F.year(day).alias("Year"), F.month(day).alias("Month"), F.dayofmonth(day).alias("Day")
-    ).repartition(files)
+    ).repartition("provider", *DAY_COLUMNS, F.pmod(F.xxhash64(*SAME_REPORT), F.lit(files)))
     writer = (
         placed.writeStream.format("parquet").outputMode("append")
         .option("path", root).option("checkpointLocation", checkpoint)

@@ -126,6 +126,20 @@ def test_a_date_far_ahead_loses_no_later_event(spark, tmp_path):
     assert run() == 3
 
 
+def test_a_batch_of_many_days_is_written_by_many_tasks(spark, tmp_path):
+    days = [f"2025-11-{day:02d}T08:{minute:02d}:00Z" for day in range(1, 25) for minute in range(8)]
+    landing, events = tmp_path / "landing", tmp_path / "events"
+    land(landing, "a.json", snapshot(*days))
+    docs = snapshots.stream_snapshots(spark, str(landing))
+    found = ingest_stream.first_reports(ingest_stream.event_stream(docs, tables(spark)))
+    ingest_stream.write_event_stream(
+        found, str(events), str(tmp_path / "check"), once=True).awaitTermination()
+    assert spark.read.parquet(str(events)).count() == len(days)
+    written = [path for path in events.rglob("part-*.parquet")]
+    assert len({path.name.split("-")[1] for path in written}) > ingest_stream.FILES_PER_BATCH
+    assert max(Counter(path.parent for path in written).values()) <= ingest_stream.FILES_PER_BATCH
+
+
 def test_a_repeated_batch_has_its_own_cutoff(spark, tmp_path):
     path = str(tmp_path / "cutoff")
     first, second = (dt.datetime(2025, 1, day, tzinfo=dt.timezone.utc) for day in (1, 2))
