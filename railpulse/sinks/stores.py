@@ -95,13 +95,19 @@ def read_run_days(spark: SparkSession, root: str, run: str) -> DataFrame:
 
 
 def write_daily_csv(daily: DataFrame, root: str, covered: DataFrame) -> None:
-    """Daily events as gzip CSV with header, one folder per provider, stop path and day."""
+    """Daily events as gzip CSV with header, one folder per provider, stop path and day.
+
+    What takes time is the number of files, not of rows, so rows are dealt by stop path to all
+    tasks of a shuffle, which adaptive execution must not join for being small. One task makes the
+    folders above the days of a month, and the commit moves them at once.
+    """
     layout = ["provider", "stop_path", *DAY_COLUMNS]
     spelled = provider_path_name(F.col("provider"))
+    tasks = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (
         daily.withColumn("provider", spelled)
         .select(*EVENT_COLUMNS, *layout)
-        .hint("rebalance", *layout)
+        .repartition(tasks, "provider", "stop_path", "Year", "Month")
     )
     publish_days(
         daily.sparkSession, root, covered.withColumn("provider", spelled),

@@ -224,6 +224,19 @@ def test_csv_quotes(spark, tmp_path):
     assert '"say ""hi"", ok"' in gzip.open(path, "rt").read()
 
 
+def test_small_csv_days_are_written_by_all_tasks(spark, tmp_path):
+    rows = [event(f"t{n}", f"2025-01-{d:02d}T12:00:00+00:00", stop=f"S{n}") for n in range(64) for d in (5, 6)]
+    daily = collate.daily_events(frame(spark, *rows)).drop("service_day")
+    stores.write_daily_csv(daily, str(tmp_path), daily.select("provider", "Year", "Month", "Day").distinct())
+    found = glob.glob(f"{tmp_path}/data/*/*/*/*/*/*/part-*.csv.gz")
+    tasks = {}
+    for path in found:
+        tasks.setdefault(path.split("stop_path=")[1].split("/")[0], set()).add(path.split("/part-")[1][:5])
+    assert len(found) == 128 and len(tasks) == 64
+    assert all(len(own) == 1 for own in tasks.values())
+    assert len(set().union(*tasks.values())) > 4
+
+
 def test_cutoff_state(spark, tmp_path):
     path = str(tmp_path / "cutoff")
     assert state.read_cutoff(spark, path) is None
