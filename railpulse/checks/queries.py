@@ -425,7 +425,9 @@ def cutoff_stream(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Two batch runs over overlapping snapshots, with the timetable rebuilt in between."""
     root = shared_folder(spark, "runs")
-    docs = views.documents(spark, sf)
+    # Stored as landed: both runs read what is there, and none makes the documents anew.
+    views.documents(spark, sf).write.parquet(f"{root}/landing")
+    docs = spark.read.parquet(f"{root}/landing")
     landed = [docs.withColumn("landed_at", F.lit(f"2024-01-14 0{hour}:00:00").cast("timestamp_ntz"))
               for hour in (1, 2)]
     even = F.col("document_id") % 2 == 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from railpulse.checks.queries import QUERIES
 from railpulse.functions import timecols
 from railpulse.operators import enrich, timetable
+from railpulse.plans import ingest
 from railpulse.sources import snapshots
 
 WRITES_WHILE_BUILDING = {"event_stream", "cutoff_stream", "ingest_runs", "raw_event_store", "daily_store",
@@ -148,6 +149,18 @@ def test_rejected_documents_are_checked_once(spark, sf001):
     assert [r["document_id"] for r in rejected.collect()] == [2]
 
 
+def test_both_ingest_runs_read_stored_documents(spark, sf001, monkeypatch):
+    plans, run = [], ingest.run_ingest
+
+    def watched(docs, *args, **options):
+        plans.append(plan_of(docs))
+        return run(docs, *args, **options)
+
+    monkeypatch.setattr(ingest, "run_ingest", watched)
+    QUERIES["ingest_runs"](spark, sf001)
+    assert len(plans) == 2 and not any("to_json" in plan or "Aggregate" in plan for plan in plans)
+
+
 def test_common_clock_times_are_read_by_places(spark):
     rows = spark.createDataFrame(
         [(t,) for t in ("07:05:09", "7:5:9", "23:59:59", "24:00:00", "07:05:09\n", "07:05:9x", "-7:05:09", None)], "t string")
