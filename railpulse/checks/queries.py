@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from railpulse.checks import views
 from railpulse.functions import timecols
+from railpulse.functions.once import evaluated_once
 from railpulse.operators import enrich, events, filters, manifest, quality, reshape, sequence, service_days, timetable
 from railpulse.plans import collate, ingest, timetable_refresh
 from railpulse.schemas import BRIGHTLINE, EVENT_COLUMNS, PROVIDERS
@@ -446,8 +447,8 @@ def ingest_runs(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def raw_events_valid(spark: SparkSession, sf: str) -> DataFrame:
     """Files as arrays and as single objects, with broken and blank ones in between."""
-    rows = views.raw_events(spark, sf)
-    text = F.to_json(F.struct(*EVENT_COLUMNS))
+    rows = evaluated_once(views.raw_events(spark, sf), text=F.to_json(F.struct(*EVENT_COLUMNS)))
+    text = F.col("text")
     document = (
         F.when(F.col("event_type") == "ARR", F.concat(F.lit("["), text, F.lit(",\n "), text, F.lit("]")))
         .otherwise(F.concat(F.lit("\n"), text, F.lit(" \n"))))

@@ -82,9 +82,8 @@ def with_scheduled_headway(
     null, and a filter would evaluate the clock parse a second time.
     """
     group = [*feed, "route_id", "direction_id", "stop_id"]
-    position = [F.xxhash64("ord").alias("position")] if "ord" in stops.columns else []
-    identity = F.struct(*row_key, *position)
-    seconds = stops.groupBy(*group, "arrival_time").agg(F.min(identity).alias("_leader"))
+    identity = row_identity(stops, row_key)
+    seconds = first_of_seconds(stops, group, identity)
     previous = F.lag("arrival_time").over(Window.partitionBy(*group).orderBy("arrival_time"))
     gaps = seconds.withColumn("_gap", F.col("arrival_time") - previous)
     joined = join_on(stops, gaps, [*group, "arrival_time"], null_safe=group)
@@ -95,6 +94,23 @@ def with_scheduled_headway(
     return joined.withColumn("scheduled_headway", headway.cast("bigint")).drop("_gap", "_leader")
 
 
+def row_identity(stops: DataFrame, row_key: Sequence[str] = ROW_KEY) -> Column:
+    """What says which row comes first within a second."""
+    position = [F.xxhash64("ord").alias("position")] if "ord" in stops.columns else []
+    return F.struct(*row_key, *position)
+
+
+def first_of_seconds(stops: DataFrame, group: Sequence[str], identity: Column) -> DataFrame:
+    """The distinct arrival seconds of a group, each with the identity of its first row.
+
+    The least of texts makes Spark sort by the keys, so a hash of them goes first: hardly
+    a comparison then looks beyond one number.
+    """
+    keys = [*group, "arrival_time"]
+    return stops.groupBy(F.xxhash64(*keys).alias("_hash"), *keys).agg(
+        F.min(identity).alias("_leader")).drop("_hash")
+
+
 def trip_starts(stops: DataFrame, feed: Sequence[str] = ()) -> DataFrame:
     """Earliest arrival of every trip."""
     return stops.groupBy(*feed, "trip_id").agg(F.min("arrival_time").alias("_start"))
@@ -139,12 +155,20 @@ def scheduled_metric_means(
     window and its sort, and the shuffled data is bounded by the number of stops.
     """
     stops = _stops_with_start(stop_times, trips, feed, extended_hours)
+    return _means(stops.groupBy(*feed, "route_id", "direction_id", "stop_id").agg(*_arrival_sums()), feed)
+
+
+def _arrival_sums() -> list[Column]:
+    """Of the stops of a route and direction: what the means are made of."""
     arrival = F.col("arrival_time")
-    per_route = stops.groupBy(*feed, "route_id", "direction_id", "stop_id").agg(
+    return [
         F.count(arrival).alias("arrivals"),
         (F.max(arrival) - F.min(arrival)).cast("bigint").alias("span"),
         F.sum((arrival - F.col("_start")).cast("bigint")).alias("elapsed"),
-    )
+    ]
+
+
+def _means(per_route: DataFrame, feed: Sequence[str]) -> DataFrame:
     arrivals = F.sum("arrivals")
     gaps = F.sum(F.greatest(F.col("arrivals") - 1, F.lit(0)))
     return per_route.groupBy(*feed, "stop_id", "direction_id").agg(
@@ -153,6 +177,33 @@ def scheduled_metric_means(
     )
 
 
+def means_and_last_stop_directions(
+    stop_times: DataFrame, trips: DataFrame, feed: Sequence[str] = (), extended_hours: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``scheduled_metric_means`` and ``direction_by_last_stop`` from one pass over the stop times.
+
+    They are shuffled and sorted by trip once: windows add the start and the last stop of the
+    trip, and the join with the trips finds them in place. Both results are read from one row per
+    stop, which lists its routes and directions; a plan that has both computes it once.
+    """
+    trip = Window.partitionBy(*feed, "trip_id")
+    place = F.struct("stop_sequence", "stop_id")
+    timed = with_clock_times(stop_times, extended_hours).select(*feed, "trip_id", "stop_id", "stop_sequence", "arrival_time")
+    placed = timed.select("*", F.min("arrival_time").over(trip).alias("_start"),
+                          (place == F.max(place).over(trip)).alias("_last")).drop("stop_sequence")
+    wanted = trips.select(*feed, "trip_id", "route_id", "direction_id", "ord", F.lit(True).alias("_known"))
+    stops = join_on(placed, wanted, [*feed, "trip_id"], hot=False)
+    ends = F.col("_last") & F.col("_known")
+    per_route = stops.groupBy(*feed, "route_id", "direction_id", "stop_id").agg(
+        *_arrival_sums(), F.count_if(ends).alias("ends"), F.min(F.when(ends, F.col("ord"))).alias("ord"))
+    listed = per_route.groupBy(*feed, "stop_id").agg(F.collect_list(
+        F.struct("direction_id", "arrivals", "span", "elapsed", "ends", "ord")).alias("routes"))
+    routes = listed.select(*feed, "stop_id", F.inline("routes"))
+    ended = routes.where((F.col("ends") > 0) & F.col("stop_id").isNotNull())
+    return _means(routes, feed), _first_direction(
+        ended.withColumnRenamed("stop_id", "headsign_stop_id"), [*feed, "headsign_stop_id"])
+
+
 def last_stop_per_trip(stop_times: DataFrame, feed: Sequence[str] = ()) -> DataFrame:
     """Stop with the highest sequence number of every trip; equal numbers go by stop id."""
     last = F.max(F.struct("stop_sequence", "stop_id"))

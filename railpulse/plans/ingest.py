@@ -34,12 +34,8 @@ class TimetableTables:
     def build(
         cls, stop_times: DataFrame, trips: DataFrame, feed: Sequence[str] = ()
     ) -> TimetableTables:
-        return cls(
-            timetable.scheduled_metric_means(stop_times, trips, feed),
-            timetable.direction_by_train_number(trips, feed),
-            timetable.direction_by_last_stop(trips, stop_times, feed),
-            tuple(feed),
-        )
+        means, by_last_stop = timetable.means_and_last_stop_directions(stop_times, trips, feed)
+        return cls(means, timetable.direction_by_train_number(trips, feed), by_last_stop, tuple(feed))
 
     def save(self, root: str) -> None:
         """Store the tables, so that each run reads them instead of the timetables.

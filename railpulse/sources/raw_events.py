@@ -93,10 +93,14 @@ def parse_event_documents(docs: DataFrame) -> DataFrame:
     Empty, blank and invalid texts yield nothing; the text is parsed as the only
     element of an array, so trailing text makes it invalid.
     """
-    text = F.btrim(F.col("value"), F.lit(BLANKS))
-    listed = text.startswith("[")
-    wrapped = F.when(listed, F.concat(F.lit("["), text, F.lit("]"))).otherwise(
-        F.concat(F.lit("[["), text, F.lit("]]")))
+    # Only texts with blanks at an end are trimmed, and one that doesn't end as it begins fails at
+    # its end: it need not be read up to there.
+    value = F.col("value")
+    trimmed = F.btrim(value, F.lit(BLANKS))
+    listed = F.when(value.startswith("{"), F.lit(False)).otherwise(trimmed.startswith("["))
+    wrapped = F.when(value.startswith("{") & value.endswith("}"), F.concat(F.lit("[["), value, F.lit("]]"))).when(
+        trimmed.startswith("[") & trimmed.endswith("]"), F.concat(F.lit("["), value, F.lit("]"))).when(
+        trimmed.startswith("{") & trimmed.endswith("}"), F.concat(F.lit("[["), value, F.lit("]]")))
     carried = [c for c in docs.columns if c not in ("value", "error")]
     # Apart from its uses, and exploded in the outer form, so that it is parsed once.
     parsed = docs.select(*carried, listed.alias("_listed"), F.from_json(

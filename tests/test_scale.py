@@ -10,7 +10,7 @@ from railpulse.checks.queries import QUERIES
 from railpulse.functions import timecols
 from railpulse.operators import enrich, timetable
 from railpulse.plans import ingest
-from railpulse.sources import snapshots
+from railpulse.sources import raw_events, snapshots
 
 WRITES_WHILE_BUILDING = {"event_stream", "cutoff_stream", "ingest_runs", "raw_event_store", "daily_store",
                          "daily_csv", "daily_store_concurrent", "collation_report", "service_day_slice", "snapshot_quarantine"}
@@ -168,3 +168,17 @@ def test_common_clock_times_are_read_by_places(spark):
     assert [tuple(r) for r in found.collect()] == [
         (25509, 25509), (25509, 25509), (86399, 86399), (None, 86400), (25509, 25509), (None,) * 2, (None,) * 2, (None,) * 2]
     assert "substr" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stop_times_are_scanned_once_for_all_timetable_tables(spark, sf001):
+    plan = final_plan(QUERIES["event_generation"](spark, sf001)).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", plan)) == 1
+
+
+def test_texts_that_are_cut_off_are_not_parsed(spark):
+    texts = ['{"trip_id":"a"}', ' [{"trip_id":"b"},\n {"trip_id":"c"}]\t', '[{"trip_id":"d"}', '{"trip_id":"e"} x',
+             '{"trip_id":"f"},{"trip_id":"g"}', "[]", " ", "", None, '{"trip_id":"h"}]', "\r\n{\"trip_id\":\"i\"} "]
+    docs = spark.createDataFrame([(t,) for t in texts], "value string")
+    found = raw_events.parse_event_documents(docs)
+    assert sorted(r["trip_id"] for r in found.collect()) == ["a", "b", "c", "i"]
+    assert "EndsWith" in found._jdf.queryExecution().optimizedPlan().toString()

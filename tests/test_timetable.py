@@ -222,3 +222,26 @@ def test_means_round_half_to_even(spark):
                    for r in found.collect()) == Counter(
         [("A", 2, 4), ("B", 0, None), ("A", None, None)])
     assert tuple(enrich.metric_match_stats(found).first()) == (2, 1, pytest.approx(200 / 3))
+
+
+def test_tables_of_one_pass_equal_those_of_single_operators(spark):
+    """Also for stops and trips without an id, unknown, unused and repeated trips, and equal last stops."""
+    stop_times = spark.range(0, 4000).select(
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("A"), (F.col("id") % 2).cast("string"))).alias("provider"),
+        F.when(F.col("id") % 11 != 0, F.concat(F.lit("t"), (F.col("id") * 31 % 300).cast("string"))).alias("trip_id"),
+        F.when(F.col("id") % 13 != 0, F.concat(F.lit("s"), (F.col("id") * 17 % 9).cast("string"))).alias("stop_id"),
+        F.when(F.col("id") % 17 != 0, F.col("id") * 7 % 5).alias("stop_sequence"),
+        F.format_string("%02d:%02d:00", F.col("id") * 3 % 26, F.col("id") * 11 % 60).alias("arrival_time")
+    ).withColumn("departure_time", F.col("arrival_time"))
+    trips = spark.range(0, 520).select(
+        F.concat(F.lit("A"), (F.col("id") % 3).cast("string")).alias("provider"),
+        F.when(F.col("id") % 19 != 0, F.concat(F.lit("t"), (F.col("id") % 400).cast("string"))).alias("trip_id"),
+        F.concat(F.lit("r"), (F.col("id") % 4).cast("string")).alias("route_id"),
+        F.when(F.col("id") % 5 != 0, (F.col("id") % 2).cast("int")).alias("direction_id"),
+        (1000 - F.col("id")).alias("ord"))
+    for feed in ([], ["provider"]):
+        means, by_last_stop = timetable.means_and_last_stop_directions(stop_times, trips, feed)
+        for found, single in ((means, timetable.scheduled_metric_means(stop_times, trips, feed)),
+                              (by_last_stop, timetable.direction_by_last_stop(trips, stop_times, feed))):
+            rows = sorted(map(str, found.select(single.columns).collect()))
+            assert rows and rows == sorted(map(str, single.collect()))
