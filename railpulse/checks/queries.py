@@ -360,9 +360,10 @@ def _future_document(spark: SparkSession, train: str) -> DataFrame:
     return spark.createDataFrame([(json.dumps(known),)], "value string")
 
 
-def _land(docs: DataFrame, future: DataFrame, landing: str) -> None:
-    """Add files for one micro-batch."""
-    docs.select("value").unionAll(future).repartition(FILES_PER_BATCH).write.mode("append").text(landing)
+def _land(docs: DataFrame, future: DataFrame, landing: str, files: int | None = None) -> None:
+    """Add files for one micro-batch: so many, or one for each task that makes documents."""
+    rows = docs.select("value").unionAll(future)
+    (rows.repartition(files) if files else rows).write.mode("append").text(landing)
 
 
 def _saved_tables(spark: SparkSession, sf: str, root: str) -> ingest.TimetableTables:
@@ -380,9 +381,9 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_folder(spark, "stream")
     docs = views.documents(spark, sf)
     odd = F.col("document_id") % 2 == 1
-    _land(docs.where(~odd), _future_document(spark, "900001"), f"{root}/landing")
+    _land(docs.where(~odd), _future_document(spark, "900001"), f"{root}/landing", FILES_PER_BATCH)
     _land(docs.where(odd | (F.col("document_id") % 10 == 0)), _future_document(spark, "900001"),
-          f"{root}/landing")
+          f"{root}/landing", FILES_PER_BATCH)
     landed = snapshots.stream_snapshots(
         spark, f"{root}/landing", one_per_line=True, max_files_per_trigger=FILES_PER_BATCH)
     found = ingest_stream.first_reports(

@@ -82,8 +82,9 @@ def with_scheduled_headway(
     null, and a filter would evaluate the clock parse a second time.
     """
     group = [*feed, "route_id", "direction_id", "stop_id"]
-    identity = row_identity(stops, row_key)
-    seconds = first_of_seconds(stops, group, identity)
+    position = [F.xxhash64("ord").alias("position")] if "ord" in stops.columns else []
+    identity = F.struct(*row_key, *position)
+    seconds = stops.groupBy(*group, "arrival_time").agg(F.min(identity).alias("_leader"))
     previous = F.lag("arrival_time").over(Window.partitionBy(*group).orderBy("arrival_time"))
     gaps = seconds.withColumn("_gap", F.col("arrival_time") - previous)
     joined = join_on(stops, gaps, [*group, "arrival_time"], null_safe=group)
@@ -94,23 +95,6 @@ def with_scheduled_headway(
     return joined.withColumn("scheduled_headway", headway.cast("bigint")).drop("_gap", "_leader")
 
 
-def row_identity(stops: DataFrame, row_key: Sequence[str] = ROW_KEY) -> Column:
-    """What says which row comes first within a second."""
-    position = [F.xxhash64("ord").alias("position")] if "ord" in stops.columns else []
-    return F.struct(*row_key, *position)
-
-
-def first_of_seconds(stops: DataFrame, group: Sequence[str], identity: Column) -> DataFrame:
-    """The distinct arrival seconds of a group, each with the identity of its first row.
-
-    The least of texts makes Spark sort by the keys, so a hash of them goes first: hardly
-    a comparison then looks beyond one number.
-    """
-    keys = [*group, "arrival_time"]
-    return stops.groupBy(F.xxhash64(*keys).alias("_hash"), *keys).agg(
-        F.min(identity).alias("_leader")).drop("_hash")
-
-
 def trip_starts(stops: DataFrame, feed: Sequence[str] = ()) -> DataFrame:
     """Earliest arrival of every trip."""
     return stops.groupBy(*feed, "trip_id").agg(F.min("arrival_time").alias("_start"))
@@ -179,12 +163,12 @@ def _means(per_route: DataFrame, feed: Sequence[str]) -> DataFrame:
 
 def means_and_last_stop_directions(
     stop_times: DataFrame, trips: DataFrame, feed: Sequence[str] = (), extended_hours: bool = False
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``scheduled_metric_means`` and ``direction_by_last_stop`` from one pass over the stop times.
 
     They are shuffled and sorted by trip once: windows add the start and the last stop of the
-    trip, and the join with the trips finds them in place. Both results are read from one row per
-    stop, which lists its routes and directions; a plan that has both computes it once.
+    trip, and the join with the trips finds them in place. Both results are read from the third,
+    one row per stop that lists its routes and directions; a plan that has both computes it once.
     """
     trip = Window.partitionBy(*feed, "trip_id")
     place = F.struct("stop_sequence", "stop_id")
@@ -201,7 +185,7 @@ def means_and_last_stop_directions(
     routes = listed.select(*feed, "stop_id", F.inline("routes"))
     ended = routes.where((F.col("ends") > 0) & F.col("stop_id").isNotNull())
     return _means(routes, feed), _first_direction(
-        ended.withColumnRenamed("stop_id", "headsign_stop_id"), [*feed, "headsign_stop_id"])
+        ended.withColumnRenamed("stop_id", "headsign_stop_id"), [*feed, "headsign_stop_id"]), listed
 
 
 def last_stop_per_trip(stop_times: DataFrame, feed: Sequence[str] = ()) -> DataFrame:

@@ -23,30 +23,41 @@ TABLE_VERSION = T.StructType([T.StructField("tables", T.StringType(), True)])
 
 @dataclass(frozen=True)
 class TimetableTables:
-    """What ingest needs of the timetables; ``feed`` names the key columns they share."""
+    """What ingest needs of the timetables; ``feed`` names the key columns they share.
+
+    ``per_stop`` is what two of the tables are read from, where they were built together.
+    """
 
     means: DataFrame
     by_train_number: DataFrame
     by_last_stop: DataFrame
     feed: tuple[str, ...] = ()
+    per_stop: DataFrame | None = None
 
     @classmethod
     def build(
         cls, stop_times: DataFrame, trips: DataFrame, feed: Sequence[str] = ()
     ) -> TimetableTables:
-        means, by_last_stop = timetable.means_and_last_stop_directions(stop_times, trips, feed)
-        return cls(means, timetable.direction_by_train_number(trips, feed), by_last_stop, tuple(feed))
+        means, by_last_stop, per_stop = timetable.means_and_last_stop_directions(stop_times, trips, feed)
+        return cls(means, timetable.direction_by_train_number(trips, feed), by_last_stop, tuple(feed), per_stop)
 
     def save(self, root: str) -> None:
         """Store the tables, so that each run reads them instead of the timetables.
 
         They go to a folder named after the run, and one state row makes all three current
         at once; what was loaded from an earlier version stays readable, and of saves that
-        run side by side the later one counts.
+        run side by side the later one counts. The rows per stop are kept meanwhile, a row each,
+        so that the stop times are read once.
         """
         spark, root, run = self.means.sparkSession, root.rstrip("/"), runs.new_run()
-        for name in TABLE_NAMES:
-            getattr(self, name).write.mode("overwrite").parquet(f"{root}/version={run}/{name}")
+        if self.per_stop is not None:
+            self.per_stop.persist()
+        try:
+            for name in TABLE_NAMES:
+                getattr(self, name).write.mode("overwrite").parquet(f"{root}/version={run}/{name}")
+        finally:
+            if self.per_stop is not None:
+                self.per_stop.unpersist()
         state.write_state(
             spark.createDataFrame([(run,)], TABLE_VERSION), f"{root}/current", TABLE_VERSION)
 

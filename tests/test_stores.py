@@ -320,3 +320,22 @@ def test_a_day_without_events_leaves_other_days(spark, tmp_path):
     collate.run_collation(raw, root, dt.date(2025, 1, 5))
     collate.run_collation(raw, root, dt.date(2024, 1, 1))
     assert stores.read_daily_table(spark, root).count() == 4
+
+
+def test_saving_timetable_tables_reads_the_stop_times_once(spark, tmp_path):
+    rows = [(f"t{n % 9}", f"0{n % 10}:00:00", f"0{n % 10}:00:00", f"s{n % 5}", n) for n in range(90)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    stop_times = spark.createDataFrame(
+        spark.sparkContext.parallelize(rows, 2).map(counted),
+        "trip_id string, arrival_time string, departure_time string, stop_id string, stop_sequence bigint")
+    trips = spark.createDataFrame([(f"t{n}", "r", n % 2, str(n), n) for n in range(9)],
+                                  "trip_id string, route_id string, direction_id int, trip_short_name string, ord int")
+    ingest.TimetableTables.build(stop_times, trips).save(str(tmp_path))
+    assert read.value == len(rows)
+    found = ingest.TimetableTables.load(spark, str(tmp_path))
+    assert found.by_train_number.count() == 9 and found.means.count() == 10 and found.by_last_stop.count() > 0

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 from collections import Counter
 
+from railpulse.checks import queries
 from railpulse.plans import ingest
 from railpulse.sources import raw_events, snapshots, state
 from railpulse.streaming import ingest_stream
@@ -147,3 +148,11 @@ def test_a_repeated_batch_has_its_own_cutoff(spark, tmp_path):
     state.write_cutoff(spark, path, second, batch=1, before=first)
     assert state.read_cutoff(spark, path, 1) == first
     assert state.read_cutoff(spark, path, 2) == second == state.read_cutoff(spark, path)
+
+
+def test_documents_land_in_a_file_for_each_task(spark, tmp_path):
+    docs = spark.range(0, 70).selectExpr("cast(id as string) as value").repartition(7)
+    queries._land(docs, queries._future_document(spark, "900001"), str(tmp_path / "any"))
+    assert len(list((tmp_path / "any").glob("part-*.txt"))) > 6
+    queries._land(docs, queries._future_document(spark, "900001"), str(tmp_path / "few"), 2)
+    assert len(list((tmp_path / "few").glob("part-*.txt"))) == 2

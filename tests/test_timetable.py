@@ -240,7 +240,7 @@ def test_tables_of_one_pass_equal_those_of_single_operators(spark):
         F.when(F.col("id") % 5 != 0, (F.col("id") % 2).cast("int")).alias("direction_id"),
         (1000 - F.col("id")).alias("ord"))
     for feed in ([], ["provider"]):
-        means, by_last_stop = timetable.means_and_last_stop_directions(stop_times, trips, feed)
+        means, by_last_stop, _ = timetable.means_and_last_stop_directions(stop_times, trips, feed)
         for found, single in ((means, timetable.scheduled_metric_means(stop_times, trips, feed)),
                               (by_last_stop, timetable.direction_by_last_stop(trips, stop_times, feed))):
             rows = sorted(map(str, found.select(single.columns).collect()))
