@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railpulse.checks import views
@@ -513,15 +515,25 @@ def raw_store_compacted(spark: SparkSession, sf: str) -> DataFrame:
     another ran again for some days."""
     root = shared_folder(spark, "compacted")
     raw, store = f"{root}/raw", f"{root}/days"
-    views.raw_events(spark, sf).write.parquet(f"{root}/events")
-    rows = spark.read.parquet(f"{root}/events")
     even, day, moment = F.col("trip_id").cast("int") % 2 == 0, F.col("Day"), F.make_date("Year", "Month", "Day")
+    # In folders by what the batches share, so that each reads its own rows and no others.
+    early, odd = F.when(day <= 5, F.lit(0)).otherwise(F.lit(1)), F.when(day < 20, F.lit(2)).when(day >= 20, F.lit(3))
+    views.raw_events(spark, sf).withColumn("part", F.when(even, early).when(~even, odd)).write.partitionBy(
+        "part").parquet(f"{root}/events")
+    rows, part = spark.read.parquet(f"{root}/events"), F.col("part")
     until = LAST_DAY + dt.timedelta(days=1)
-    stores.write_raw_events(rows.where(even & ((day > 5) | (F.col("event_type") == "ARR"))), raw, moment, 0)
-    stores.write_raw_events(rows.where(~even & (day < 20)), raw, moment, 1)
+
+    def land(batches: dict[int, Column]) -> None:
+        """Batches of different names, side by side as two ingests would write them."""
+        def write(batch: int) -> None:
+            stores.write_raw_events(rows.where(batches[batch]), raw, moment, batch)
+
+        with ThreadPoolExecutor(len(batches)) as pool:
+            list(pool.map(inheritable_thread_target(write), batches))
+
+    land({0: (part <= 1) & ((day > 5) | (F.col("event_type") == "ARR")), 1: part == 2})
     compaction.compact_raw_days(spark, raw, store, FIRST_DAY, until, PROVIDERS)
-    stores.write_raw_events(rows.where(even & (day <= 5)), raw, moment, 0)
-    stores.write_raw_events(rows.where(~even & (day >= 20)), raw, moment, 2)
+    land({0: part == 0, 2: part == 3})
     # Of the day after the last only the first hours belong to the month.
     found = compaction.read_raw_days(spark, raw, store, FIRST_DAY, until, PROVIDERS,
                                      before=dt.datetime.combine(until, dt.time(3)))

@@ -17,14 +17,16 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from railpulse.functions import timecols
 from railpulse.functions.once import evaluated_once
 from railpulse.schemas import EVENT, EVENT_COLUMNS, PROVIDER_PATH_NAMES
-from railpulse.sinks.day_versions import KEY, POINTERS, current_versions, publish_days, version_folder
+from railpulse.sinks.day_versions import KEY, POINTERS, current_versions, publish_days, shuffle_tasks, version_folder
 from railpulse.sources import files, raw_events
 
 FILES = T.StructType([
@@ -66,9 +68,22 @@ def _folder(spark: SparkSession, key: Key) -> str:
 
 def _raw_files(spark: SparkSession, raw_root: str, keys: list[Key]) -> dict[Key, list[str]]:
     """Raw files of each day, by their path below the store; only those days' folders are listed."""
-    return {key: [f"{folder}/{name}" for name in files.tree(spark, f"{raw_root}/{folder}")
-                  if name.endswith(".json.gz")]
-            for key in keys for folder in [_raw_folder(spark, key)]}
+    folders = [_raw_folder(spark, key) for key in keys]
+    trees = files.of_each(lambda folder: files.tree(spark, f"{raw_root}/{folder}"), folders)
+    return {key: [f"{folder}/{name}" for name in names if name.endswith(".json.gz")]
+            for key, folder, names in zip(keys, folders, trees)}
+
+
+def _existing(spark: SparkSession, paths: Iterable[str]) -> set[str]:
+    paths = list(paths)
+    return {path for path, there in zip(paths, files.of_each(lambda path: files.exists(spark, path), paths)) if there}
+
+
+def _frame(spark: SparkSession, rows: list[tuple], types: T.StructType) -> DataFrame:
+    """Names as a frame, by Arrow: plain Python rows would start a Python worker on every core."""
+    return spark.createDataFrame(pa.table(
+        [pa.array(values, to_arrow_type(field.dataType)) for values, field in zip(zip(*rows), types)],
+        names=types.names), types)
 
 
 def _wall_clock() -> Column:
@@ -89,9 +104,9 @@ def compact_raw_days(
     if not paths:
         return None
     key_types = T.StructType([f for f in POINTERS if f.name in KEY])
-    covered = spark.createDataFrame(list(listed), key_types)
-    sources = spark.createDataFrame([(path, *key) for key, own in listed.items() for path in own],
-                                    T.StructType([FILES["file"], *key_types]))
+    covered = _frame(spark, list(listed), key_types)
+    sources = _frame(spark, [(path, *key) for key, own in listed.items() for path in own],
+                     T.StructType([FILES["file"], *key_types]))
 
     def write(folder: str) -> None:
         rows = raw_events.read_raw_files(spark, raw_root, [f"{raw_root}/{path}" for path in paths]).select(
@@ -105,7 +120,8 @@ def compact_raw_days(
             F.count("*").alias("events"), F.count_if(F.col("_time").isNull()).alias("untimed"))
         index = sources.withColumn("made_from", F.lit(True)).unionByName(
             made.withColumn("made_from", F.lit(False)), allowMissingColumns=True)
-        index.repartition(*KEY).write.mode("overwrite").partitionBy(*KEY).parquet(f"{folder}/files")
+        # A folder per day, made by all tasks: what takes time is their number.
+        index.repartition(shuffle_tasks(spark), *KEY).write.mode("overwrite").partitionBy(*KEY).parquet(f"{folder}/files")
 
     return publish_days(spark, root, covered, write)
 
@@ -128,11 +144,11 @@ def day_files(
     raw_root, root = raw_root.rstrip("/"), root.rstrip("/")
     listed = _raw_files(spark, raw_root, _keys(first, last, providers))
     pointed = [f"{root}/current/{_folder(spark, key)}" for key in listed]
-    versions = current_versions(spark, root, [path for path in pointed if files.exists(spark, path)])
+    versions = current_versions(spark, root, sorted(_existing(spark, pointed)))
     # A version that covers a day without raw files has no index for it.
-    indexes = {key: path for key, run in versions.items()
-               for path in [f"{version_folder(root, run)}/files/{_folder(spark, key)}"]
-               if files.exists(spark, path)}
+    places = {key: f"{version_folder(root, run)}/files/{_folder(spark, key)}" for key, run in versions.items()}
+    there = _existing(spark, places.values())
+    indexes = {key: path for key, path in places.items() if path in there}
     found = {key: DayFiles([], list(own)) for key, own in listed.items()}
     by_key: dict[Key, list] = {}
     for run in sorted({versions[key] for key in indexes}):

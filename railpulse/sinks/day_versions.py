@@ -56,18 +56,23 @@ def publish_days(
 ) -> str:
     """Write a version by ``write(folder)`` and make it current for ``covered`` days.
 
-    ``covered`` has ``provider, Year, Month, Day``, a row per day, which one task writes; the
-    name of the version is returned.
+    ``covered`` has ``provider, Year, Month, Day``, a row per day; the name of the version is
+    returned. What takes time is the number of pointers' folders, so all tasks of a shuffle make
+    them, which adaptive execution must not join for being small; each is made by one.
     """
     root, run = root.rstrip("/"), runs.new_run()
     write(version_folder(root, run))
     # Only folders of this run's name are replaced, and no temporary folder is shared.
-    covered.select(F.lit(runs.moment()).alias("set_at"), *KEY, F.lit(run).alias("stored_version")).distinct().coalesce(
-        1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *KEY, "stored_version").json(f"{root}/current")
+    covered.select(F.lit(runs.moment()).alias("set_at"), *KEY, F.lit(run).alias("stored_version")).repartition(
+        shuffle_tasks(spark), *KEY).distinct().write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(*KEY, "stored_version").json(f"{root}/current")
     return run
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def version_folder(root: str, run: str) -> str:
     return f"{root.rstrip('/')}/data/stored_version={run}"
 

@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Item, Found = TypeVar("Item"), TypeVar("Found")
+AT_ONCE = 16
+_ESCAPED: dict[str, str] = {}
+
+
+def of_each(look: Callable[[Item], Found], items: Iterable[Item]) -> list[Found]:
+    """``look(item)`` of each, in order; several at once, since each waits for the file system."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(inheritable_thread_target(look), items))
+
 
 def _opened(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    # By its whole name: a name taken part by part asks the JVM for every part.
+    place = getattr(spark._jvm, "org.apache.hadoop.fs.Path")(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
@@ -37,7 +53,10 @@ def tree(spark: SparkSession, path: str) -> list[str]:
 
 def escaped(spark: SparkSession, value: str) -> str:
     """A value as it is spelled in the name of a partition's folder."""
-    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+    if value not in _ESCAPED:
+        utils = getattr(spark._jvm, "org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils")
+        _ESCAPED[value] = utils.escapePathName(value)
+    return _ESCAPED[value]
 
 
 def remove(spark: SparkSession, path: str) -> None:

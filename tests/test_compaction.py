@@ -1,6 +1,7 @@
 import datetime as dt
 import re
 
+from railpulse.checks.queries import QUERIES
 from railpulse.sinks import compaction, stores
 from railpulse.sinks.day_versions import remove_superseded
 from railpulse.sources import files, raw_events
@@ -98,3 +99,29 @@ def test_sorted_within_files(spark, tmp_path):
     (file,) = found.inputFiles()
     times = [r["event_time"] for r in spark.read.parquet(file).orderBy("_metadata.row_index").collect()]
     assert len(times) == 8 and times == sorted(times)
+
+
+def test_batches_of_the_query_read_their_own_folders(spark, sf001, monkeypatch):
+    plans, write = {}, stores.write_raw_events
+
+    def watched(rows, root, processed_at, batch=0):
+        plans.setdefault(batch, []).append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(rows, root, processed_at, batch)
+
+    monkeypatch.setattr(stores, "write_raw_events", watched)
+    assert QUERIES["raw_store_compacted"](spark, sf001).count() == 11095
+    assert sorted((batch, len(own)) for batch, own in plans.items()) == [(0, 2), (1, 1), (2, 1)]
+    assert all(re.search(r"PartitionFilters: \[[^\]]*part#", plan) for own in plans.values() for plan in own)
+
+
+def test_pointers_and_indexes_are_made_by_several_tasks(spark, tmp_path):
+    raw, store = place(tmp_path)
+    write(spark, raw, 0, DAYS[0], f"{DAYS[0]}T10:00:00+00:00")
+    for day in DAYS[1:]:
+        write(spark, raw, 0, day, f"{day}T10:00:00+00:00", provider="Via")
+    run = compaction.compact_raw_days(spark, raw, store, DAYS[0], DAYS[-1], BOTH)
+    for folder, days in (("current", 12), (f"data/stored_version={run}/files", 6)):
+        names = [name for name in files.tree(spark, f"{store}/{folder}") if name.endswith((".json", ".parquet"))]
+        found = [re.match(r"provider=\w+/Year=\d+/Month=\d+/Day=\d+", name)[0] for name in names]
+        assert len(found) == len(set(found)) == days
+        assert len({re.search(r"part-(\d+)", name)[1] for name in names}) > 1
