@@ -32,9 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def clock_text(seconds: Column) -> Column:
-    """Second of the day -> ``HH:MM:SS``; hours may exceed 23."""
-    parts = (seconds / 3600, seconds / 60 % 60, seconds % 60)
-    return F.concat_ws(":", *[F.lpad(F.floor(p).cast("string"), 2, "0") for p in parts])
+    """Second of the day -> ``HH:MM:SS``; hours may exceed 23, up to 99.
+
+    All digits are written as one whole number, of which a leading 1 keeps the zeros.
+    """
+    hours, minutes = (F.call_function("div", seconds, F.lit(n)) for n in (3600, 60))
+    digits = (F.lit(1000000) + hours * 10000 + minutes % 60 * 100 + seconds % 60).cast("string")
+    return F.concat_ws(":", *[F.substr(digits, F.lit(i), F.lit(2)) for i in (2, 4, 6)])
 
 
 def stop_code(number: Column) -> Column:

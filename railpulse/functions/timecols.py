@@ -55,8 +55,12 @@ def clock_seconds(text: Column, extended_hours: bool = False) -> Column:
 
 
 def whole_second(ts: Column) -> Column:
-    """Drop the fraction of a second from a TIMESTAMP_NTZ."""
-    return ts - F.make_dt_interval(secs=F.date_part(F.lit("SECOND"), ts) % 1)
+    """Drop the fraction of a second from a TIMESTAMP_NTZ.
+
+    By intervals, which are whole numbers of microseconds: the rest of a decimal is divided out.
+    """
+    whole = F.second(ts) * F.expr("interval '1' second")
+    return ts - (F.make_dt_interval(secs=F.date_part(F.lit("SECOND"), ts)) - whole)
 
 
 def service_date(

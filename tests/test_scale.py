@@ -6,6 +6,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from railpulse.checks import views
 from railpulse.checks.queries import QUERIES
 from railpulse.functions import timecols
 from railpulse.operators import enrich, timetable
@@ -182,3 +183,20 @@ def test_texts_that_are_cut_off_are_not_parsed(spark):
     found = raw_events.parse_event_documents(docs)
     assert sorted(r["trip_id"] for r in found.collect()) == ["a", "b", "c", "i"]
     assert "EndsWith" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fractions_are_dropped_without_decimal_remainders(spark):
+    times = ["2024-01-15 07:05:09.999999", "1969-12-31 23:59:59.5", "2024-01-15 00:00:00", None]
+    rows = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz"))
+    found = rows.select(timecols.whole_second(F.col("t")).cast("string"))
+    assert [r[0] for r in found.collect()] == ["2024-01-15 07:05:09", "1969-12-31 23:59:59", "2024-01-15 00:00:00", None]
+    assert "%" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_clock_texts_are_written_as_one_number(spark):
+    rows = spark.createDataFrame([(s,) for s in (0, 59, 3600, 86399, 91858, 359999, None)], "s bigint")
+    found = rows.select(views.clock_text(F.col("s")))
+    assert [r[0] for r in found.collect()] == [
+        "00:00:00", "00:00:59", "01:00:00", "23:59:59", "25:30:58", "99:59:59", ""]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lpad" not in plan and "double" not in plan
