@@ -17,6 +17,9 @@ two to five cycles for phrases of five words.
   Phrases are the hashes of their words side by side, not a hash of a hash.
 * Counts are summed in each task, then by shuffle together with those of the steps before.
   Phrases whose cycle is over and that have fewer than ``least`` are dropped.
+* What a task holds does not grow with the table: numbers are stored in rows of ``ROW_TOKENS`` and row
+  groups of ``GROUP_BYTES``, a task of a step reads ``SCAN_BYTES`` of them or of counts at most, and what
+  goes to Python and back are batches of a few MB.
 
 Texts have A-Z lowered, are cut into pieces at ``.,;:!?`` and line ends and these into words at
 spaces and tabs. Phrases don't cross pieces. Everything is by language; null is ``und``. Null texts
@@ -43,7 +46,9 @@ from railpulse.session import shared_folder
 
 LEAST, LONGEST, SHARDS, TOP = 100, 5, 2, 2000
 FIRST_SLOTS, MAX_SLOTS, SLOTS_PER_PHRASE = 1 << 10, 1 << 24, 32  # powers of two
-ROW_TOKENS = 1 << 16  # numbers in a stored row
+ROW_TOKENS = 1 << 12  # numbers in a stored row; a page has 100 rows at least
+BATCH_TOKENS = 1 << 16  # numbers of the rows that are written at once
+GROUP_BYTES, SCAN_BYTES = 1 << 23, 1 << 23  # of a stored row group, and what a task of a step reads
 SCAN_TOKENS = 1 << 19  # numbers whose phrases a task sums at once
 SALTS = 64
 UNKNOWN = "und"
@@ -82,6 +87,7 @@ def word_numbers(text: str, numbers: dict[bytes, int]) -> np.ndarray:
 
 STORED = "part int, tokens binary, number binary, lang string, word string"
 ENTERED, HELD = 1 << 14, 1 << 16  # words of a language that are written at once, and that are remembered
+HELD_IN_ALL = 1 << 18  # words of all languages that a task remembers
 
 
 def _spelled(seed: int, shards: int):
@@ -95,12 +101,14 @@ def _spelled(seed: int, shards: int):
         def tokens(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             nonlocal turn
             flat = np.concatenate(found)
-            for own in np.split(flat, _cuts(flat)):
-                yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([turn % shards], pa.int32()), "tokens": [own.astype("<u8").tobytes()],
-                    "number": pa.array([None], pa.binary()), "lang": pa.array([None], pa.string()),
-                    "word": pa.array([None], pa.string())})
-                turn += 1
+            own = np.split(flat, _cuts(flat))
+            n = len(own)
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array(np.arange(turn, turn + n) % shards, pa.int32()),
+                "tokens": pa.array([x.astype("<u8").tobytes() for x in own], pa.binary()),
+                "number": pa.array([None] * n, pa.binary()), "lang": pa.array([None] * n, pa.string()),
+                "word": pa.array([None] * n, pa.string())})
+            turn += n
 
         def words(lang: str) -> pa.RecordBatch:
             number, word = numbers[lang].entries(entered[lang])
@@ -119,11 +127,16 @@ def _spelled(seed: int, shards: int):
                     numbers[lang], entered[lang] = _Numbers(lang, seed), 2
                 waiting.append(word_numbers(text.as_py(), numbers[lang]))
                 size += len(waiting[-1])
-                if size >= ROW_TOKENS:
+                if size >= BATCH_TOKENS:
                     yield from tokens(waiting)
                     waiting, size = [], 0
                 if len(numbers[lang]) - entered[lang] >= ENTERED:
                     yield words(lang)
+                if sum(map(len, numbers.values())) > HELD_IN_ALL:
+                    for each in list(numbers):
+                        yield words(each)
+                    numbers.clear()
+                    entered.clear()
         if waiting:
             yield from tokens(waiting)
         for lang in list(numbers):
@@ -150,8 +163,11 @@ class Corpus:
             path = shared_folder(spark, "words")
             rows = texts.mapInArrow(_spelled(seed, shards), STORED)
             with _rows_at_once(spark, BATCH_TEXTS):
-                rows.write.option("compression", "zstd").partitionBy("part").parquet(path)
-            self.rows = spark.read.schema(rows.schema).parquet(path)
+                rows.write.option("compression", "zstd").option("parquet.block.size", GROUP_BYTES).partitionBy(
+                    "part").parquet(path)
+            # Vectored reads keep a buffer of the largest read for each reading thread, outside the heap.
+            self.rows = spark.read.schema(rows.schema).option(
+                "parquet.hadoop.vectored.io.enabled", "false").parquet(path)
             entry = F.struct("lang", "word")
             words = stored(self.rows.where(F.col("part") == DICTIONARY).groupBy("number").agg(
                 F.min(entry).alias("entry"), F.max(entry).alias("other")), "dictionary")
@@ -249,21 +265,33 @@ def _phrases(words: pa.Array) -> np.ndarray:
 
 
 SIGHTED = "words binary, fresh long, since int"
-BATCH_ROWS, BATCH_TOKEN_ROWS, BATCH_TEXTS = 1 << 17, 16, 2000  # rows of an Arrow batch
+BATCH_ROWS, BATCH_TOKEN_ROWS, BATCH_TEXTS = 1 << 15, 64, 500  # rows of an Arrow batch
 
 
 @contextmanager
-def _rows_at_once(spark: SparkSession, rows: int):
-    """So many rows go to a Python worker at once; stored rows of numbers are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def _set(spark: SparkSession, name: str, value: int):
     before = spark.conf.get(name, None)
-    spark.conf.set(name, rows)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def _rows_at_once(spark: SparkSession, rows: int):
+    """So many rows go to a Python worker at once; stored rows of numbers are large."""
+    return _set(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+@contextmanager
+def _small_reads(spark: SparkSession):
+    """Tasks read ``SCAN_BYTES`` of stored files at most, and few rows of numbers go to Python at once."""
+    name = "spark.sql.files.maxPartitionBytes"
+    most = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    with _set(spark, name, min(most, SCAN_BYTES)), _rows_at_once(spark, BATCH_TOKEN_ROWS):
+        yield
+
+
 def _scan(table: Broadcast, step: int, lengths: list[int], cycle: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sums(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -322,9 +350,9 @@ class _Table:
 
         # At most one row a slot comes to the driver.
         found = newly.mapInArrow(places, "slot long, reached int").groupBy("slot").agg(
-            F.max("reached").alias("reached")).toPandas()
-        at = found["slot"].to_numpy(np.int64)
-        self.steps[at] = np.maximum(self.steps[at], found["reached"].to_numpy(np.uint8))
+            F.max("reached").alias("reached")).toArrow()
+        at = found["slot"].to_numpy()
+        self.steps[at] = np.maximum(self.steps[at], found["reached"].to_numpy().astype(np.uint8))
 
 
 def frequent_phrases(corpus: Corpus, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -350,13 +378,13 @@ def frequent_phrases(corpus: Corpus, least: int = LEAST, longest: int = LONGEST)
         merged = merged.withColumn("newly", F.col("reached").isNull() & (total >= least)).withColumn(
             "reached", F.coalesce("reached", F.when(total >= least, step + 1)).cast("int"))
         if step == cycle - 1:
-            with _rows_at_once(spark, BATCH_TOKEN_ROWS):
+            with _small_reads(spark):
                 merged = stored(merged, "phrases")
             words = merged.where(_length() == 1).select(F.col("words").alias("number"), total.alias("n"))
             totals = stored(join_on(words, corpus.words, ["number"], how="inner").groupBy("lang").agg(
                 F.sum("n").alias("n")), "totals")
         # Whose cycle is over without enough occurrences is not counted any more.
-        with _rows_at_once(spark, BATCH_TOKEN_ROWS):
+        with _small_reads(spark):
             state = stored(merged.where(
                 F.col("reached").isNotNull() | (F.col("since") + cycle - 1 > step)), "phrases")
         shared.destroy()

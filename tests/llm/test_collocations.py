@@ -1,7 +1,9 @@
 """Counts, scores and ranks of phrases against brute force."""
 
+import gc
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -121,3 +123,33 @@ def test_unusual_tables(spark):
 def test_query_over_the_whole_table(spark, sf001):
     rows = [(r["lang"], r["text"]) for r in spark.read.parquet(f"{sf001}/documents.parquet").collect()]
     assert sorted(tuple(r) for r in op12_counted_collocations(spark, sf001).collect()) == brute(rows, 100)
+
+
+def test_tasks_hold_little_of_a_large_table(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    rows = [(i, "en", " ".join(f"w{x}" for x in rng.integers(0, 50_000, 20_000)).replace("7 ", "7. "))
+            for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(2)
+    corpus = collocations.Corpus(docs)
+    sizes = [len(r["tokens"]) for r in corpus.shard(0).collect()]
+    assert sum(sizes) > 1 << 20 and max(sizes) < 1 << 16
+    name = "spark.sql.files.maxPartitionBytes"
+    before, whole = spark.conf.get(name), corpus.shard(0).rdd.getNumPartitions()
+    monkeypatch.setattr(collocations, "SCAN_BYTES", 1 << 16)
+    with collocations._small_reads(spark):
+        assert corpus.shard(0).rdd.getNumPartitions() > 4 * whole
+    assert spark.conf.get(name) == before
+
+
+def test_words_of_many_languages_are_not_all_remembered(monkeypatch):
+    monkeypatch.setattr(collocations, "HELD_IN_ALL", 500, raising=False)
+    monkeypatch.setattr(collocations, "TaskContext", SimpleNamespace(
+        get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(collocations, "ROW_TOKENS", 50)
+    texts = [(f"l{i % 40}", " ".join(f"w{i}x{k}" for k in range(60))) for i in range(400)]
+    batch = pa.RecordBatch.from_pydict({"text": [t for _, t in texts], "lang": [lang for lang, _ in texts]})
+    most, found = 0, set()
+    for made in collocations._spelled(0, 2)(iter([batch])):
+        most = max(most, sum(len(x) for x in gc.get_objects() if isinstance(x, collocations._Numbers)))
+        found.update((r["lang"], r["word"]) for r in made.to_pylist() if r["part"] == collocations.DICTIONARY)
+    assert most < 700 and found == {(lang, word) for lang, text in texts for word in text.split()}
